@@ -1,0 +1 @@
+"""No streaming operators: every input of this engine is a bounded table."""
