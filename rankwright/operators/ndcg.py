@@ -24,12 +24,23 @@ def _discount_sum(k: int, positions: Column) -> Column:
     return F.element_at(table, (F.least(positions, F.lit(k)) + 1).cast("int"))
 
 
+def session_totals(scored: DataFrame, label: str = "target_label", by: tuple[str, ...] = ("qid",)) -> DataFrame:
+    """Rows and positives per session; they do not depend on the score."""
+    return scored.groupBy(*by).agg(F.count("*").alias("n_rows"), F.sum(label).alias("positives"))
+
+
 def session_ndcg(
-    scored: DataFrame, cuts: tuple[int, ...] = (5,), score: str = "score", label: str = "target_label", by: tuple[str, ...] = ("qid",)
+    scored: DataFrame,
+    cuts: tuple[int, ...] = (5,),
+    score: str = "score",
+    label: str = "target_label",
+    by: tuple[str, ...] = ("qid",),
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Per session: rows, positives and ``ndcg_<k>`` for every cut.
 
     NDCG is NULL for sessions that do not count: no positive, or a single row.
+    A caller that scores the same rows again and again passes their ``totals``.
     """
     keys = list(by)
     levels = scored.groupBy(*keys, score).agg(F.count("*").alias("n"), F.sum(label).alias("hits"))
@@ -45,7 +56,7 @@ def session_ndcg(
             for k in cuts
         ]
     )
-    totals = levels.groupBy(*keys).agg(F.sum("n").alias("n_rows"), F.sum("hits").alias("positives"))
+    totals = totals if totals is not None else session_totals(scored, label, by)
     counts = (F.col("positives") > 0) & (F.col("n_rows") > 1)
     return totals.join(gains, keys).select(
         *keys,

@@ -3,8 +3,8 @@
 The point-in-time ranking must not compare every session with every product of
 its category. It rests on one fact: sales counts only grow. A product that is
 in the top k at time t was either in the top k at an earlier time s, or was sold
-between s and t; and it must by then have at least as many sales as the k-th
-product had at s. So time is cut into nested buckets, and the top k at a coarse
+between s and t and has by then at least as many sales as the k-th product had
+at s. So time is cut into nested buckets, and the top k at a coarse
 bucket's start plus the few products that can still overtake give the exact
 top k at the finer moments inside it.
 """
@@ -98,43 +98,30 @@ def _best(df: DataFrame, k: int, *keys: str) -> DataFrame:
     return df.withColumn("product_rank", F.row_number().over(order)).where(F.col("product_rank") <= k)
 
 
-def _states(tops: DataFrame, totals: DataFrame, changes: DataFrame, before_all: Column, k: int) -> DataFrame:
+def _floor(tops: DataFrame, k: int) -> DataFrame:
+    """The k-th product's sales at each bucket's start: what it takes to rank inside."""
+    return tops.groupBy("category", "bucket").agg(
+        F.coalesce(F.max(F.when(F.col("product_rank") == k, F.col("sales_count"))), F.lit(0)).alias("kth")
+    )
+
+
+def _states(tops: DataFrame, steps: DataFrame, floor: DataFrame, before_all: Column) -> DataFrame:
     """The sales of every product that may rank inside a bucket, as intervals.
 
-    tops     category, bucket, product_id, sales_count, product_rank: the top k
-             at the bucket's start
-    totals   category, bucket, product_id, before, after: a product's sales up to
-             the bucket's start and its end, for buckets in which it was sold
-    changes  bucket, product_id, moment, n: its sales inside the bucket
-    Returns category, bucket, product_id, sales_count, since, until: the count
-    holds for moments after ``since`` up to ``until`` (NULL: the bucket's end).
+    tops   category, bucket, product_id, sales_count: the top k at its start
+    steps  category, bucket, product_id, since, sales_count: totals reached by
+           sales inside the bucket
+    Returns the columns of ``steps`` and ``until``: the total holds for moments
+    after ``since`` up to ``until`` (NULL: the bucket's end).
+
+    A total below the k-th product's at the bucket's start ranks nowhere in the
+    bucket and goes; every later total of the product is larger, so intervals
+    stay whole. A product outside the top k matters from its first sale on only.
     """
-    floor = tops.groupBy("category", "bucket").agg(
-        F.coalesce(F.max(F.when(F.col("product_rank") == k, F.col("sales_count"))), F.lit(0)).alias("kth")
-    )
-    movers = (
-        totals.join(floor, ["category", "bucket"])
-        .where(F.col("after") >= F.col("kth"))
-        .select("category", "bucket", "product_id", "before")
-    )
-    running = Window.partitionBy("bucket", "product_id").orderBy("moment")
-    steps = (
-        changes.join(movers, ["bucket", "product_id"])
-        .withColumn("sales_count", F.col("before") + F.sum("n").over(running))
-        .select("category", "bucket", "product_id", F.col("moment").alias("since"), "sales_count")
-    )
-    start = before_all.cast("bigint").alias("since")
-    entering = movers.select("category", "bucket", "product_id", start, F.col("before").alias("sales_count"))
-    leading = tops.select("category", "bucket", "product_id", start, "sales_count")
+    reached = steps.join(floor, ["category", "bucket"]).where(F.col("sales_count") >= F.col("kth")).drop("kth")
+    leading = tops.select("category", "bucket", "product_id", before_all.cast("bigint").alias("since"), "sales_count")
     following = Window.partitionBy("category", "bucket", "product_id").orderBy("since")
-    # A product both leading and moving starts twice; the first of the two
-    # intervals is empty and goes.
-    return (
-        steps.unionByName(entering)
-        .unionByName(leading)
-        .withColumn("until", F.lead("since").over(following))
-        .where(F.col("until").isNull() | (F.col("since") < F.col("until")))
-    )
+    return reached.unionByName(leading).withColumn("until", F.lead("since").over(following))
 
 
 def _tops_of_children(states: DataFrame, wanted: DataFrame, fanout: int, k: int) -> DataFrame:
@@ -221,23 +208,38 @@ def top_products_as_of(
         .select("category", F.lit(0).cast("bigint").alias("bucket"), "product_id",
                 F.lit(0).cast("bigint").alias("sales_count"), "product_rank")
     )
-    for level in range(depth + 1):
-        parent = _div(F.col("leaf"), fanout ** (depth - level)).alias("bucket")
-        totals = leaves.groupBy("category", parent, "product_id").agg(
-            F.min("before").alias("before"), F.max("after").alias("after")
+    for level in range(depth):
+        steps = leaves.select(
+            "category",
+            "product_id",
+            _div(F.col("leaf"), fanout ** (depth - level - 1)).alias("since"),
+            F.col("after").alias("sales_count"),
         )
-        if level < depth:
-            child = _div(F.col("leaf"), fanout ** (depth - level - 1)).alias("moment")
-            changes = leaves.groupBy(parent, "product_id", child).agg(F.sum("n").alias("n"))
-            states = _states(tops, totals, changes, F.col("bucket") * fanout - 1, k)
-            wanted = asked.select("category", bucket(level + 1).alias("moment"))
-            tops = materialize(_tops_of_children(states, wanted, fanout, k), f"top-products-{level + 1}")
-        else:
-            since_origin = (F.col("tick") - origin).alias("moment")
-            changes = dated.groupBy(F.col("leaf").alias("bucket"), "product_id", since_origin).agg(F.count("*").alias("n"))
-            states = _states(tops, totals, changes, F.lit(-1), k)
-            wanted = asked.select("category", bucket(level).alias("bucket"), moment).distinct()
-            tops = _tops_at_moments(states, wanted, k)
+        if level + 1 < depth:  # several leaves to a step
+            steps = steps.groupBy("category", "product_id", "since").agg(F.max("sales_count").alias("sales_count"))
+        steps = steps.withColumn("bucket", _div(F.col("since"), fanout))
+        states = _states(tops, steps, _floor(tops, k), F.col("bucket") * fanout - 1)
+        wanted = asked.select("category", bucket(level + 1).alias("moment"))
+        tops = materialize(_tops_of_children(states, wanted, fanout, k), f"top-products-{level + 1}")
+
+    floor = _floor(tops, k)
+    movers = (
+        leaves.withColumnRenamed("leaf", "bucket")
+        .join(floor, ["category", "bucket"])
+        .where(F.col("after") >= F.col("kth"))
+        .select("category", "bucket", "product_id", "before")
+    )
+    running = Window.partitionBy("category", "bucket", "product_id").orderBy("since")
+    steps = (
+        dated.select(F.col("leaf").alias("bucket"), "product_id", (F.col("tick") - origin).alias("since"))
+        .join(movers, ["bucket", "product_id"])
+        .groupBy("category", "bucket", "product_id", "since")
+        .agg(F.count("*").alias("n"), F.first("before").alias("before"))
+        .withColumn("sales_count", F.col("before") + F.sum("n").over(running))
+        .drop("n", "before")
+    )
+    wanted = asked.select("category", bucket(depth).alias("bucket"), moment).distinct()
+    tops = _tops_at_moments(_states(tops, steps, floor, F.lit(-1)), wanted, k)
     return asked.select("category", at, moment).join(tops, ["category", "moment"]).select(
         "category", at, "product_id", "sales_count", "product_rank"
     )

@@ -20,12 +20,12 @@ from operator import add
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankwright.config import CATEGORICAL, NDCG_CUTS, RankerParams
 from rankwright.operators.encoding import apply_codes, code_counts, fit_codes
-from rankwright.operators.ndcg import evaluation_counts, session_ndcg
+from rankwright.operators.ndcg import session_ndcg, session_totals
 from rankwright.sources.scratch import materialize
 
 NUMERIC = ("user_age", "retail_price", "cost", "profit_margin")
@@ -75,6 +75,7 @@ class Training:
     best_round: int
 
 
+_PARTS = ("is_train", "qid")
 _CODES = tuple(f"{c}_code" for c in CATEGORICAL)
 
 
@@ -117,21 +118,30 @@ def _with_salt(rows: DataFrame) -> DataFrame:
 def _newton(scored: DataFrame) -> DataFrame:
     """``scored`` with ``step`` and ``hessian`` of the session softmax.
 
-    Sums are taken per (session, salt) first, and joined back on both.
+    Sums are taken per (session, salt), where the rows already lie together, and
+    then over the few salts of a session.
     """
-    part = scored.groupBy("qid", "salt").agg(
-        F.sum(F.exp("score")).alias("z"), F.sum("target_label").alias("hits")
-    )
-    whole = part.groupBy("qid").agg(F.sum("z").alias("z"), F.sum("hits").alias("hits"))
-    sums = part.select("qid", "salt").join(whole, "qid").where(F.col("hits") > 0)
+    part = scored.groupBy("qid", "salt").agg(F.sum(F.exp("score")).alias("z"), F.sum("target_label").alias("hits"))
+    session = Window.partitionBy("qid")
+    sums = part.select("qid", "salt", F.sum("z").over(session).alias("z"), F.sum("hits").over(session).alias("hits"))
     p = F.exp("score") / F.col("z")
     gradient = p - F.col("target_label") / F.col("hits")
     hessian = F.greatest(p * (1 - p), F.lit(MIN_HESSIAN))
-    return scored.join(sums, ["qid", "salt"]).select(
-        "features", (-gradient / hessian).alias("step"), hessian.alias("hessian")
+    return (
+        scored.join(sums.where(F.col("hits") > 0), ["qid", "salt"])
+        .select("features", (-gradient / hessian).alias("step"), hessian.alias("hessian"))
     )
 
 
+def _stored(rows: DataFrame) -> DataFrame:
+    """``rows`` written to the shared folder, then held with each session part together.
+
+    What is lost from memory is read again from the folder. The layout serves
+    all rounds: their sums and joins per (session, salt) move no rows.
+    """
+    return materialize(rows, "ranker-rows").repartition("qid", "salt").persist()
+
+
 def fit_ranker(training: DataFrame, params: RankerParams = RankerParams(), cuts: tuple[int, ...] = NDCG_CUTS) -> Training:
     """Boost until the validation NDCG has not improved for ``patience`` rounds.
 
@@ -143,7 +153,8 @@ def fit_ranker(training: DataFrame, params: RankerParams = RankerParams(), cuts:
     n_codes = code_counts(codes)
     vectors = assemble(_with_salt(training), codes, n_codes)
     rows = vectors.select(*KEYS, "salt", "is_train", "target_label", "features")
-    base = materialize(rows.withColumn("base", F.lit(0.0)), "ranker-rows").persist()
+    base = _stored(rows.withColumn("base", F.lit(0.0)))
+    totals = materialize(session_totals(base, by=_PARTS), "session-totals")
     bins = max([32] + [n + 1 for n in n_codes.values() if n < MAX_CATEGORIES])
     trees: list[DecisionTreeRegressionModel] = []
     pending: list[DecisionTreeRegressionModel] = []
@@ -155,16 +166,18 @@ def fit_ranker(training: DataFrame, params: RankerParams = RankerParams(), cuts:
             featuresCol="features", labelCol="step", weightCol="hessian", maxDepth=params.max_depth,
             maxBins=bins, seed=params.seed + number,
         )
-        tree = grower.fit(_newton(scored.where("is_train")))
+        steps = _newton(scored.where("is_train")).persist()  # growing a tree passes over them several times
+        tree = grower.fit(steps)
+        steps.unpersist()
         trees.append(tree)
         pending.append(tree)
         scored = _with_steps(base, tuple(pending), params.learning_rate, F.col("base"))
         if len(pending) == ROUNDS_PER_WRITE:
-            written = materialize(scored.drop("base").withColumnRenamed("score", "base"), "ranker-rows").persist()
+            written = _stored(scored.drop("base").withColumnRenamed("score", "base"))
             base.unpersist()
             base, pending = written, []
             scored = base.withColumn("score", F.col("base"))
-        curve.append({"round": number + 1, **_round_metrics(scored, cuts)})
+        curve.append({"round": number + 1, **_round_metrics(scored, totals, cuts)})
         current = curve[-1][f"validation_ndcg_{cuts[0]}"]
         if current > best:
             best, best_round = current, number + 1
@@ -175,9 +188,9 @@ def fit_ranker(training: DataFrame, params: RankerParams = RankerParams(), cuts:
     return Training(Ranker(kept, params.learning_rate, codes, n_codes), curve, best_round)
 
 
-def _round_metrics(scored: DataFrame, cuts: tuple[int, ...]) -> dict:
+def _round_metrics(scored: DataFrame, totals: DataFrame, cuts: tuple[int, ...]) -> dict:
     """Mean NDCGs of both parts, as one job."""
-    per_session = session_ndcg(scored, cuts, by=("is_train", "qid"))
+    per_session = session_ndcg(scored, cuts, by=_PARTS, totals=totals)
     rows = per_session.groupBy("is_train").agg(
         *[F.coalesce(F.avg(f"ndcg_{k}"), F.lit(0.0)).alias(f"ndcg_{k}") for k in cuts]
     )

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from rankwright.config import POSITIVE_EVENTS, SESSION_START
 
 
+def positive_events(events: DataFrame) -> DataFrame:
+    """Events that make a sample positive, as a filter Parquet can apply itself."""
+    return events.where(F.col("event_type").isin(*POSITIVE_EVENTS))
+
+
 def session_context(events: DataFrame, products: DataFrame) -> DataFrame:
     """Events of a session on a known product, labelled positive or not.
 
@@ -43,13 +48,3 @@ def session_starts(context: DataFrame) -> DataFrame:
     """The first event time of every session."""
     return context.groupBy("session_id").agg(F.min(SESSION_START).alias(SESSION_START))
 
-
-def interactions(context: DataFrame) -> DataFrame:
-    """One row per (session, user, category, product): positive or not, first seen.
-
-    Repeated events collapse before the shuffle; positives and session starts
-    both follow from this frame, so the events are read and shuffled once.
-    """
-    return context.groupBy("session_id", "user_id", "current_session_category", "interacted_product_id").agg(
-        F.max("is_positive").alias("is_positive"), F.min(SESSION_START).alias(SESSION_START)
-    )
