@@ -30,7 +30,7 @@ NDCG_THRESHOLD = 0.65
 TREES, LEARNING_RATE, TREE_DEPTH = 150, 0.1, 5
 PATIENCE = 15
 NDCG_CUTS = (5, 10)
-MODEL_NAME = "xgbranker-product-recommendation"
+MODEL_NAME = "product-ranker"
 
 
 @dataclass(frozen=True)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _discount_sum(k: int, positions: Column) -> Column:
+def discount_sum(k: int, positions: Column) -> Column:
     """Sum of 1 / log2(1 + p) over p = 1 .. min(positions, k)."""
     sums = [0.0]
     for position in range(1, k + 1):
@@ -51,7 +51,7 @@ def session_ndcg(
         *[
             F.sum(
                 F.col("hits") / F.col("n")
-                * (_discount_sum(k, F.col("upto")) - _discount_sum(k, F.col("upto") - F.col("n")))
+                * (discount_sum(k, F.col("upto")) - discount_sum(k, F.col("upto") - F.col("n")))
             ).alias(f"dcg_{k}")
             for k in cuts
         ]
@@ -62,7 +62,7 @@ def session_ndcg(
         *keys,
         "n_rows",
         "positives",
-        *[F.when(counts, F.col(f"dcg_{k}") / _discount_sum(k, F.col("positives"))).alias(f"ndcg_{k}") for k in cuts],
+        *[F.when(counts, F.col(f"dcg_{k}") / discount_sum(k, F.col("positives"))).alias(f"ndcg_{k}") for k in cuts],
     )
 
 

@@ -18,9 +18,7 @@ def with_ordinal(df: DataFrame, order: list[str], name: str) -> DataFrame:
 
     Equal keys may fall on both sides of a range only if ``order`` is not total.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     # monotonically_increasing_id is (partition << 33) + position in it.
     placed = materialize(ranged.withColumn("_place", F.monotonically_increasing_id()), "ordered")
     part = F.shiftright("_place", 33).alias("_part")

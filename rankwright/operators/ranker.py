@@ -1,13 +1,10 @@
-"""A listwise ranker boosted on DataFrames.
+"""A LambdaMART ranker for NDCG, boosted on DataFrames.
 
-Objective: softmax cross entropy over each session's rows, which for 0/1 labels
-bounds mean NDCG (Bruch et al., "An Analysis of the Softmax Cross Entropy Loss
-for Learning-to-Rank with Binary Relevance", 2019). Unlike pairwise lambdas it
-needs no row pairs: a row's gradient follows from its score and two sums over
-its session, so a round costs time linear in the rows however large a session.
-
-Each tree is fitted to the Newton step -gradient/hessian with the hessian as
-weight, so its leaves already hold the step.
+Each round compares a session's rows with its k leaders under the current
+score, turns the NDCG@k changes of the swaps into gradients (Burges, "From
+RankNet to LambdaRank to LambdaMART", 2010), and grows an MLlib tree on the Newton
+step gradient/hessian with the hessian as weight, so that its leaves already
+hold the step.
 """
 
 from __future__ import annotations
@@ -25,12 +22,12 @@ from pyspark.sql import functions as F
 
 from rankwright.config import CATEGORICAL, NDCG_CUTS, RankerParams
 from rankwright.operators.encoding import apply_codes, code_counts, fit_codes
-from rankwright.operators.ndcg import session_ndcg, session_totals
+from rankwright.operators.ndcg import discount_sum, session_ndcg, session_totals
 from rankwright.sources.scratch import materialize
 
 NUMERIC = ("user_age", "retail_price", "cost", "profit_margin")
 MAX_CATEGORIES = 1024  # beyond this, codes are treated as ordered numbers
-MAX_STEP = 10.0  # bound of one leaf's step, which keeps exp(score) finite
+MAX_STEP = 10.0  # bound of one leaf's step
 MIN_HESSIAN = 1e-6
 ROWS_PER_SALT = 1 << 20
 ROUNDS_PER_WRITE = 10
@@ -115,24 +112,105 @@ def _with_salt(rows: DataFrame) -> DataFrame:
     return rows.join(sizes, "qid").withColumn("salt", spread).drop("_parts")
 
 
-def _newton(scored: DataFrame) -> DataFrame:
-    """``scored`` with ``step`` and ``hessian`` of the session softmax.
+def _leaders(scored: DataFrame, k: int) -> DataFrame:
+    """The k best-scored rows of every session, as bounded arrays.
 
-    Sums are taken per (session, salt), where the rows already lie together, and
-    then over the few salts of a session.
+    ``ids`` holds their (product, user) in rank order; ``hits`` and ``misses``
+    hold rank and score of the positive ones and of the others.
     """
-    part = scored.groupBy("qid", "salt").agg(F.sum(F.exp("score")).alias("z"), F.sum("target_label").alias("hits"))
-    session = Window.partitionBy("qid")
-    sums = part.select("qid", "salt", F.sum("z").over(session).alias("z"), F.sum("hits").over(session).alias("hits"))
-    p = F.exp("score") / F.col("z")
-    gradient = p - F.col("target_label") / F.col("hits")
-    hessian = F.greatest(p * (1 - p), F.lit(MIN_HESSIAN))
+    order = Window.partitionBy("qid").orderBy(F.desc("score"), "product_id", "user_id")
+    ranked = scored.select("qid", "product_id", "user_id", "score", "target_label", F.row_number().over(order).alias("rank"))
+    row = F.struct("rank", "score", "product_id", "user_id", "target_label")
+    top = ranked.where(F.col("rank") <= k).groupBy("qid").agg(F.array_sort(F.collect_list(row)).alias("top"))
+
+    def of_label(value: int) -> Column:
+        return F.transform(F.filter("top", lambda r: r.target_label == value), lambda r: F.struct(r["rank"], r.score))
+
+    return top.select(
+        "qid",
+        F.transform("top", lambda r: F.struct(r.product_id, r.user_id)).alias("ids"),
+        of_label(1).alias("hits"),
+        of_label(0).alias("misses"),
+    )
+
+
+def _discount(rank: Column) -> Column:
+    """1 / log2(1 + rank); 0 for rank 0, which stands for "below the cut"."""
+    return F.when(rank > 0, 1.0 / F.log2(1.0 + rank)).otherwise(0.0)
+
+
+def _total(pairs: Column, name: str) -> Column:
+    return F.aggregate(pairs, F.lit(0.0), lambda sum_, pair: sum_ + pair[name])
+
+
+def compare_with_leaders(scored: DataFrame, parts: DataFrame, k: int) -> DataFrame:
+    """Every row against the k leaders of its session whose label differs.
+
+    Swapping two rows changes NDCG@k only if one of them is among the session's
+    first k, so comparing each row with those k and no others is exact, and
+    linear in the rows. ``parts`` has (qid, salt, idcg) of sessions that count.
+    Adds the row's own ``pull`` (negative gradient) and ``hessian``, its ``rank``
+    (0 below the cut) and, for rows below the cut, the ``pairs`` they had.
+    """
+    placed = parts.join(_leaders(scored, k), "qid")
+    positive = F.col("target_label") == 1
+    wants = F.when(positive, 1.0).otherwise(-1.0)
+
+    def against(row: Column) -> Column:
+        wrong = 1.0 / (1.0 + F.exp(wants * (F.col("score") - row.score)))
+        weight = F.abs(_discount(row["rank"]) - F.col("own_discount")) / F.col("idcg")
+        return F.struct(
+            row["rank"].alias("rank"),
+            (wants * wrong * weight).alias("pull"),
+            (wrong * (1.0 - wrong) * weight).alias("hessian"),
+        )
+
     return (
-        scored.join(sums.where(F.col("hits") > 0), ["qid", "salt"])
-        .select("features", (-gradient / hessian).alias("step"), hessian.alias("hessian"))
+        scored.join(placed, ["qid", "salt"])
+        .withColumn("rank", F.array_position("ids", F.struct("product_id", "user_id")).cast("int"))
+        .withColumn("own_discount", _discount(F.col("rank")))
+        .withColumn("pairs", F.transform(F.when(positive, F.col("misses")).otherwise(F.col("hits")), against))
+        .withColumns({c: _total(F.col("pairs"), c) for c in ("pull", "hessian")})
+        .withColumn("pairs", F.when(F.col("rank") == 0, F.col("pairs")))
+        .drop("ids", "hits", "misses", "idcg", "own_discount")
     )
 
 
+def gather_lambdas(compared: DataFrame, parts: DataFrame) -> DataFrame:
+    """``compared`` with the pulls that leaders get from rows below the cut.
+
+    Those pairs are known to the lower row only; it sends the opposite pull
+    back, summed per leader before any shuffle.
+    """
+    returned = (
+        compared.where(F.col("rank") == 0)
+        .select("qid", F.explode("pairs").alias("pair"))
+        .groupBy("qid", "pair.rank")
+        .agg(-F.sum("pair.pull"), F.sum("pair.hessian"))
+        .toDF("qid", "rank", "pull", "hessian")
+        .groupBy("qid")
+        .agg(F.collect_list(F.struct("rank", "pull", "hessian")).alias("returned"))
+    )
+    back = F.get(F.filter("returned", lambda row: row["rank"] == F.col("rank")), 0)
+    received = {c: F.col(c) + F.coalesce(back[c], F.lit(0.0)) for c in ("pull", "hessian")}
+    return compared.join(parts.join(returned, "qid").drop("idcg"), ["qid", "salt"], "left").withColumns(received).drop(
+        "pairs", "returned", "rank"
+    )
+
+
+def _newton(pulled: DataFrame) -> DataFrame:
+    """The rows a tree is grown on: features, Newton step and its weight."""
+    weight = F.greatest("hessian", F.lit(MIN_HESSIAN))
+    return pulled.select("features", (F.col("pull") / weight).alias("step"), weight.alias("hessian"))
+
+
+def _parts(rows: DataFrame, totals: DataFrame, k: int) -> DataFrame:
+    """(qid, salt, idcg) of every part of the training sessions with a positive."""
+    counted = totals.where(F.col("is_train") & (F.col("positives") > 0))
+    ideal = counted.select("qid", discount_sum(k, F.col("positives")).alias("idcg"))
+    return rows.where("is_train").select("qid", "salt").distinct().join(ideal, "qid")
+
+
 def _stored(rows: DataFrame) -> DataFrame:
     """``rows`` written to the shared folder, then held with each session part together.
 
@@ -155,6 +233,7 @@ def fit_ranker(training: DataFrame, params: RankerParams = RankerParams(), cuts:
     rows = vectors.select(*KEYS, "salt", "is_train", "target_label", "features")
     base = _stored(rows.withColumn("base", F.lit(0.0)))
     totals = materialize(session_totals(base, by=_PARTS), "session-totals")
+    parts = materialize(_parts(base, totals, max(cuts)), "session-parts")
     bins = max([32] + [n + 1 for n in n_codes.values() if n < MAX_CATEGORIES])
     trees: list[DecisionTreeRegressionModel] = []
     pending: list[DecisionTreeRegressionModel] = []
@@ -166,9 +245,13 @@ def fit_ranker(training: DataFrame, params: RankerParams = RankerParams(), cuts:
             featuresCol="features", labelCol="step", weightCol="hessian", maxDepth=params.max_depth,
             maxBins=bins, seed=params.seed + number,
         )
-        steps = _newton(scored.where("is_train")).persist()  # growing a tree passes over them several times
+        # Both are read more than once: the first for its returned pulls, the
+        # second because growing a tree passes over its rows level by level.
+        compared = compare_with_leaders(scored.where("is_train"), parts, max(cuts)).persist()
+        steps = _newton(gather_lambdas(compared, parts)).persist()
         tree = grower.fit(steps)
         steps.unpersist()
+        compared.unpersist()
         trees.append(tree)
         pending.append(tree)
         scored = _with_steps(base, tuple(pending), params.learning_rate, F.col("base"))

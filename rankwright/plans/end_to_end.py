@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from rankwright.config import RunConfig
 from rankwright.operators.features import feature_columns, fill_categories
@@ -26,6 +26,11 @@ def held_out(split: DataFrame, scope: str) -> DataFrame:
     return split if scope == "all" else split.where("not is_train")
 
 
+def training_metrics(spark: SparkSession, fitted: Training) -> DataFrame:
+    best = fitted.curve[fitted.best_round - 1]["validation_ndcg_5"]
+    return spark.createDataFrame([("training", "val_ndcg_5", best)], "stage string, metric string, value double")
+
+
 def run_end_to_end(
     tables: Tables,
     config: RunConfig = RunConfig(),
@@ -36,14 +41,16 @@ def run_end_to_end(
 ) -> DataFrame:
     """The run's evaluation as one row: its id, gate outcome, scores and decision.
 
-    Popularity is counted on validated rows once the gate has passed. A model is
-    saved and published only when its evaluation says approve.
+    Popularity is counted on validated rows once the gate has passed. A closed
+    gate stops the run, or with ``on_fail="report"`` lets it go on with the raw
+    rows. A model is saved and published only when its evaluation says approve.
     """
     spark = tables.events.sparkSession
     run_id = uuid.uuid4().hex
-    validated, report = run_gate(tables, config.max_nulls, as_of, on_fail)
-    if validated is not None:
-        tables = replace(tables, order_items=validated)
+    gate = run_gate(tables, config.max_nulls, as_of)
+    append_metrics(gate.metrics, run_id, config.store)
+    if gate.passed or on_fail == "raise":
+        tables = replace(tables, order_items=gate.require())
     training = fill_categories(training_set(tables, config.top_k))
     uri = register_features(training, config.feature_group, config.store)
     stored = read_feature_table(spark, uri)
@@ -51,6 +58,7 @@ def run_end_to_end(
 
     split = split_by_time(stored, config.validation_share)
     fitted: Training = fit_ranker(split, config.ranker)
+    append_metrics(training_metrics(spark, fitted), run_id, config.store)
     summary = evaluate(fitted.ranker.score(held_out(split, scope)), config.ndcg_threshold)
     append_metrics(evaluation_metrics(summary), run_id, config.store)
     outcome = summary.first()
@@ -61,7 +69,7 @@ def run_end_to_end(
         publish_model(spark, config.model_name, path, run_id, outcome["mean_ndcg_5"], "approve", config.store)
     row = {
         "run_id": run_id,
-        "gate_passed": report["passed"],
+        "gate_passed": gate.passed,
         "rounds": len(fitted.curve),
         "best_round": fitted.best_round,
         **outcome.asDict(),

@@ -1,5 +1,7 @@
 """Tables, catalog, metrics, the ranker and the whole run."""
 
+import math
+import random
 from dataclasses import replace
 
 import pytest
@@ -9,10 +11,11 @@ from pyspark.sql import functions as F
 
 from rankwright.config import RankerParams, RunConfig, StoreConfig
 from rankwright.operators.features import fill_categories
-from rankwright.operators.ndcg import evaluation_counts, session_ndcg
-from rankwright.operators.ranker import Ranker, fit_ranker
+from rankwright.operators.ndcg import discount_sum, evaluation_counts, session_ndcg
+from rankwright.operators.ranker import Ranker, compare_with_leaders, fit_ranker, gather_lambdas
 from rankwright.operators.split import split_by_time
 from rankwright.plans.end_to_end import held_out, run_end_to_end
+from rankwright.plans.gate import ValidationError
 from rankwright.sources import store, tables
 from rankwright.sources.fixtures import fixture_tables
 from rankwright.sources.scratch import new_path
@@ -92,6 +95,39 @@ def fitted(planted):
     return fit_ranker(planted, RankerParams(n_trees=6, patience=6, learning_rate=0.5))
 
 
+def naive_lambdas(rows, k):
+    """Pull and hessian per product over all pairs of one session, by definition."""
+    order = sorted(rows, key=lambda row: (-row[2], row[0]))
+    disc = {row[0]: 1 / math.log2(2 + i) if i < k else 0.0 for i, row in enumerate(order)}
+    ideal = sum(1 / math.log2(2 + i) for i in range(min(k, sum(label for _, label, _ in rows))))
+    out = {product: [0.0, 0.0] for product, _, _ in rows}
+    for high, label, s_high in rows:
+        for low, other, s_low in rows:
+            if label > other:
+                rho = 1 / (1 + math.exp(s_high - s_low))
+                weight = abs(disc[high] - disc[low]) / ideal
+                for product, sign in ((high, 1), (low, -1)):
+                    out[product][0] += sign * rho * weight
+                    out[product][1] += rho * (1 - rho) * weight
+    return out
+
+
+@pytest.mark.parametrize("salts", [1, 3])
+def test_lambdas_equal_the_sum_over_all_pairs(spark, salts):
+    rng = random.Random(11)
+    sessions = {q: [(p, int(rng.random() < 0.3), rng.choice([0.0, 0.5, rng.random()])) for p in range(n)] for q, n in enumerate((4, 9, 30))}
+    sessions[0][0] = (0, 1, 0.2)
+    rows = [(q, 1, p, p % salts, label, score) for q, own in sessions.items() for p, label, score in own]
+    scored = spark.createDataFrame(rows, "qid long, user_id long, product_id long, salt long, target_label int, score double")
+    hits = scored.groupBy("qid").agg(F.sum("target_label").alias("hits"))
+    parts = scored.select("qid", "salt").distinct().join(hits, "qid").select("qid", "salt", discount_sum(3, F.col("hits")).alias("idcg"))
+    got = gather_lambdas(compare_with_leaders(scored, parts, 3), parts).collect()
+    assert len(got) == len(rows)
+    want = {q: naive_lambdas(own, 3) for q, own in sessions.items()}
+    for r in got:
+        assert [r.pull, r.hessian] == pytest.approx(want[r.qid][r.product_id], abs=1e-9)
+
+
 def mean_ndcg(scored):
     return evaluation_counts(session_ndcg(scored)).first()["mean_ndcg_5"]
 
@@ -144,4 +180,6 @@ def test_whole_run_publishes_only_when_approved(spark):
     assert bad["decision"] == "reject" and bad["model_path"] == ""
     assert spark.table(config.store.table_ref("models")).count() == 1
     metrics = spark.table(config.store.table_ref("run_metrics"))
-    assert metrics.where(F.col("run_id") == good["run_id"]).count() == 6
+    assert metrics.where(F.col("run_id") == good["run_id"]).count() == 11
+    with pytest.raises(ValidationError):
+        run_end_to_end(source, config, "2001-01-01")

@@ -42,9 +42,12 @@ def failed(spark, found, max_nulls=100):
 def test_clean_tables_open_the_gate(spark):
     found = tables(spark, [(1, 1, 1, 1, 5.0)])
     assert failed(spark, found) == set()
-    rows, report = run_gate(found, as_of="2021-01-01")
-    assert report["passed"] and report["errors"] == [] and report["warnings"] == []
-    assert rows.count() == 1 == report["stats"]["final_validated_records"]
+    gate = run_gate(found, as_of="2021-01-01")
+    assert gate.passed and gate.report["errors"] == [] and gate.report["warnings"] == []
+    assert gate.require().count() == 1 == gate.report["stats"]["final_validated_records"]
+    assert {r.metric: r.value for r in gate.metrics.collect()} == {
+        "total_missing_values": 0, "duplicate_records": 0, "broken_relations_total": 0, "validation_status": 1,
+    }
 
 
 @pytest.mark.parametrize(
@@ -65,7 +68,7 @@ def test_each_defect_fails_its_own_check_only(spark, check, change):
     assert failed(spark, found) == {check}
     assert violations(check, found).count() == 1
     with pytest.raises(ValidationError) as caught:
-        run_gate(found, as_of="2021-01-01")
+        run_gate(found, as_of="2021-01-01").require()
     assert [check in text for text in caught.value.report["errors"]] == [True]
 
 
