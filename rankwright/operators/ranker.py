@@ -10,6 +10,7 @@ hold the step.
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass
 from functools import reduce
 from operator import add
@@ -30,6 +31,7 @@ MAX_CATEGORIES = 1024  # beyond this, codes are treated as ordered numbers
 MAX_STEP = 10.0  # bound of one leaf's step
 MIN_HESSIAN = 1e-6
 ROWS_PER_SALT = 1 << 20
+ROWS_PER_TASK = 1 << 18
 ROUNDS_PER_WRITE = 10
 KEYS = ("qid", "user_id", "product_id")
 
@@ -215,9 +217,12 @@ def _stored(rows: DataFrame) -> DataFrame:
     """``rows`` written to the shared folder, then held with each session part together.
 
     What is lost from memory is read again from the folder. The layout serves
-    all rounds: their sums and joins per (session, salt) move no rows.
+    all rounds: their joins per (session, salt) move no rows. Partitions are
+    counted by rows, for every tree passes over all of them many times.
     """
-    return materialize(rows, "ranker-rows").repartition("qid", "salt").persist()
+    written = materialize(rows, "ranker-rows")
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(written.count() / ROWS_PER_TASK))
+    return written.repartition(parts, "qid", "salt").persist()
 
 
 def fit_ranker(training: DataFrame, params: RankerParams = RankerParams(), cuts: tuple[int, ...] = NDCG_CUTS) -> Training:
