@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +43,26 @@ def settled(df: DataFrame, names: list[str]) -> DataFrame:
     """
     rest = [F.col(c) for c in df.columns if c not in names]
     return df.select(*rest, F.inline(F.array(F.struct(*names))))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers, once per application.
+
+    Workers import them by name, which lets them keep encoders between tasks even
+    where the package is installed on the driver alone.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = os.path.join(tempfile.mkdtemp(prefix="rankwright-ship-"), "rankwright_modules.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, files in os.walk(os.path.join(top, "rankwright")):
+            for name in (n for n in files if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                out.write(full, os.path.relpath(full, top))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)

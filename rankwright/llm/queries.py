@@ -7,12 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwright.llm import chat, quality, sharding
-from rankwright.llm.common import table
+from rankwright.llm import bpe, chat, packing, quality, sharding
+from rankwright.llm.common import table, word_bpe_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), word_bpe_path())
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op3_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode_texts(table(spark, sf_dir, "documents"), word_bpe_path())
+    return encoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge_documents(docs).select(
@@ -48,6 +63,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
+        "op3_prefix_bpe": op3_prefix_bpe,
         "op6_line_rules": op6_line_rules,
         "op9_rendezvous_sharding": op9_rendezvous_sharding,
         "op10_chat_format": op10_chat_format,
