@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwright.llm import bpe, chat, packing, quality, sharding
+from rankwright.llm import bpe, chat, minhash, packing, quality, sharding
 from rankwright.llm.common import table, word_bpe_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_fast_similarity_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_records(table(spark, sf_dir, "documents"), "doc_id", [1.0] * 40, added=[1.0])
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -66,6 +70,7 @@ def queries() -> dict[str, Query]:
         "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
         "op3_prefix_bpe": op3_prefix_bpe,
         "op6_line_rules": op6_line_rules,
+        "op8_fast_similarity_sketch": op8_fast_similarity_sketch,
         "op9_rendezvous_sharding": op9_rendezvous_sharding,
         "op10_chat_format": op10_chat_format,
     }
