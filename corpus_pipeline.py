@@ -1,28 +1,61 @@
-"""The corpus pipeline: quality rules."""
+"""The corpus pipeline: quality rules, near-duplicates, repeated passages, packing."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankwright.llm.common import word_bpe_path
+from rankwright.llm.minhash import near_duplicates
+from rankwright.llm.packing import pack_documents
 from rankwright.llm.quality import judge_documents
+from rankwright.llm.spans import remove_repeats
 from rankwright.sources.scratch import materialize
 
+#: The columns of documents, which all stages but the last return.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _with_text(docs: DataFrame, column: str) -> DataFrame:
+    text = F.col(column)
+    return docs.withColumns({"text": text, "n_chars": F.length(text).cast("long")}).select(*COLUMNS)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass, with the lines that passed."""
-    kept = judge_documents(docs.select(*COLUMNS)).filter("kept")
-    return kept.withColumn("text", F.col("clean_text")).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    return _with_text(judge_documents(docs.select(*COLUMNS)).filter("kept"), "clean_text")
+
+
+def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: five-word shingles, a similarity of 0.8 or more."""
+    gone = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that an earlier document, or an earlier place, has."""
+    return _with_text(remove_repeats(docs.select(*COLUMNS)), "clean_text")
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences of at most 2048 ids."""
+    return pack_documents(docs, word_bpe_path())
+
 
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near-duplicates", near_duplicate_groups),
+    ("repeated passages", repeated_passages),
+    ("packing", packed_sequences),
+]
 
-STAGES = [("quality rules", quality_rules)]
+#: Hashed sketches, digests and a tokenizer: no SQL counterpart.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over documents, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), "pipeline")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

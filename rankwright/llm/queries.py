@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwright.llm import bpe, chat, minhash, packing, quality, sharding
+from rankwright.llm import bpe, chat, minhash, packing, quality, sharding, spans
 from rankwright.llm.common import table, word_bpe_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,17 @@ def op3_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = spans.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select(
+        "doc_id",
+        F.col("clean_text").alias("text"),
+        F.size("removed").cast("long").alias("n_ranges"),
+        F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"]).alias("removed_chars"),
+        "removed",
+    )
+
+
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge_documents(docs).select(
@@ -69,6 +80,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
         "op3_prefix_bpe": op3_prefix_bpe,
+        "op5_sentence_spans": op5_sentence_spans,
         "op6_line_rules": op6_line_rules,
         "op8_fast_similarity_sketch": op8_fast_similarity_sketch,
         "op9_rendezvous_sharding": op9_rendezvous_sharding,
