@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwright.llm import bpe, chat, minhash, packing, quality, sharding, spans
+from rankwright.llm import bpe, chat, html, minhash, packing, quality, sharding, spans
 from rankwright.llm.common import table, word_bpe_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,10 @@ def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op8_fast_similarity_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -82,6 +86,7 @@ def queries() -> dict[str, Query]:
         "op3_prefix_bpe": op3_prefix_bpe,
         "op5_sentence_spans": op5_sentence_spans,
         "op6_line_rules": op6_line_rules,
+        "op7_line_blocks": op7_line_blocks,
         "op8_fast_similarity_sketch": op8_fast_similarity_sketch,
         "op9_rendezvous_sharding": op9_rendezvous_sharding,
         "op10_chat_format": op10_chat_format,
