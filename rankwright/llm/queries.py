@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwright.llm import bpe, chat, html, minhash, packing, quality, sharding, spans
+from rankwright.llm import bpe, chat, html, minhash, packing, quality, sharding, spans, topk
 from rankwright.llm.common import table, word_bpe_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op3_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_no_random_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
+
+
 def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = spans.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select(
@@ -84,6 +88,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
         "op3_prefix_bpe": op3_prefix_bpe,
+        "op4_no_random_access": op4_no_random_access,
         "op5_sentence_spans": op5_sentence_spans,
         "op6_line_rules": op6_line_rules,
         "op7_line_blocks": op7_line_blocks,
