@@ -56,7 +56,7 @@ class _WordHashes(dict):
 
 
 @lru_cache(maxsize=1)
-def _hashes() -> _WordHashes:
+def word_hashes() -> _WordHashes:
     return _WordHashes()
 
 
@@ -69,7 +69,7 @@ def shingle_set(text: bytes, width: int) -> np.ndarray:
     n = len(found)
     if not n:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_hashes().__getitem__, found), np.uint64, n)
+    h = np.fromiter(map(word_hashes().__getitem__, found), np.uint64, n)
     k = min(n, width)
     run = np.full(n - k + 1, np.uint64(k) * _GOLDEN)
     for i in range(k):

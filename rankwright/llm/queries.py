@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwright.llm import bpe, chat, html, minhash, packing, quality, sharding, spans, topk
+from rankwright.llm import bpe, chat, html, katz, minhash, packing, quality, sharding, spans, topk
 from rankwright.llm.common import table, word_bpe_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op2_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained = F.crc32(F.col("doc_id").cast("string")) % 5 != 1
+    return katz.score_documents(table(spark, sf_dir, "documents"), trained)
+
+
 def op3_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode_texts(table(spark, sf_dir, "documents"), word_bpe_path())
     return encoded.select(
@@ -87,6 +92,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
+        "op2_katz_backoff": op2_katz_backoff,
         "op3_prefix_bpe": op3_prefix_bpe,
         "op4_no_random_access": op4_no_random_access,
         "op5_sentence_spans": op5_sentence_spans,
