@@ -71,7 +71,7 @@ def shingle_set(text: bytes, width: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     h = np.fromiter(map(word_hashes().__getitem__, found), np.uint64, n)
     k = min(n, width)
-    run = np.full(n - k + 1, np.uint64(k) * _GOLDEN)
+    run = np.full(n - k + 1, np.uint64(k * int(_GOLDEN) % 2**64))
     for i in range(k):
         run = mix(run + h[i : n - k + 1 + i]) * _GOLDEN
     return np.unique(run)
@@ -87,7 +87,7 @@ def sketches(sets: list[np.ndarray], bins: int) -> np.ndarray:
     for r in range(2 * bins):
         if not len(items):
             break
-        h = mix(items + np.uint64(r + 1) * _GOLDEN)
+        h = mix(items + np.uint64((r + 1) * int(_GOLDEN) % 2**64))
         # Rounds order the values; the high bits choose the bin, the low bits the value.
         value = (np.uint64(r) << np.uint64(48)) | (h & np.uint64((1 << 48) - 1))
         place = ((h >> np.uint64(48)) * t >> np.uint64(16)).astype(np.int64) if r < bins else r - bins
