@@ -31,6 +31,8 @@ TREES, LEARNING_RATE, TREE_DEPTH = 150, 0.1, 5
 PATIENCE = 15
 NDCG_CUTS = (5, 10)
 MODEL_NAME = "product-ranker"
+ROLLING_WINDOWS = (7, 30, 90, 365)
+INTERACTION_WEIGHTS = {"purchase": 5.0, "cart": 3.0, "product": 1.0, "department": 0.5, "home": 0.1, "cancel": -1.0}
 
 
 @dataclass(frozen=True)

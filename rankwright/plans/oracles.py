@@ -42,6 +42,13 @@ _VIEWS = {
                CASE WHEN id % 89 = 0 THEN -1e0 ELSE cost END AS cost
         FROM fx_products""",
     "fx_orders": "SELECT o_orderkey AS order_id, o_orderdate AS created_at FROM orders",
+    "weighted_events": """
+        SELECT *, CAST(CASE event_type WHEN 'purchase' THEN 5 WHEN 'cart' THEN 3 WHEN 'product' THEN 1 WHEN 'department' THEN 0.5
+                       WHEN 'home' THEN 0.1 WHEN 'cancel' THEN -1 ELSE 0 END AS DECIMAL(10,2)) AS weight
+        FROM fx_events WHERE user_id IS NOT NULL AND created_at IS NOT NULL""",
+    "active_days": """
+        SELECT user_id, CAST(created_at AS DATE) AS day, count(*) AS n, sum(weight) AS weight
+        FROM weighted_events GROUP BY 1, 2""",
     # Validation
     "broken_products": """
         SELECT oi.product_id, count(*) AS items FROM fx_order_items_dirty oi
@@ -315,6 +322,63 @@ _ANSWERS = {
     "deploy_decision": """
         SELECT mean_ndcg_5, 65e-2 AS threshold,
                CASE WHEN mean_ndcg_5 >= 65e-2 THEN 'approve' ELSE 'reject' END AS decision FROM summary""",
+    # Feature tables
+    "interaction_scores": """
+        SELECT user_id, product_id, count(*) AS n_events, CAST(sum(weight) AS DOUBLE) AS score
+        FROM weighted_events WHERE product_id IN (SELECT id FROM fx_products) GROUP BY user_id, product_id""",
+    "user_item_matrix": """
+        SELECT * FROM (SELECT user_id, product_id, CAST(sum(weight) AS DOUBLE) AS weight FROM (
+            SELECT user_id, product_id, weight FROM weighted_events
+            UNION ALL SELECT user_id, product_id, CAST(5 AS DECIMAL(10,2)) FROM fx_order_items WHERE user_id IS NOT NULL)
+        WHERE product_id IN (SELECT id FROM fx_products) GROUP BY user_id, product_id) WHERE weight <> 0""",
+    "rolling_user_activity": """
+        SELECT a.user_id, a.day, """
+    + ", ".join(
+        f"CAST(sum(b.n) FILTER (b.day > a.day - {n}) AS BIGINT) AS events_{n}d, "
+        f"CAST(sum(b.weight) FILTER (b.day > a.day - {n}) AS DOUBLE) AS score_{n}d"
+        for n in (7, 30, 90, 365)
+    )
+    + """
+        FROM active_days a JOIN active_days b ON a.user_id = b.user_id AND b.day <= a.day GROUP BY a.user_id, a.day""",
+    "user_features": """
+        SELECT u.id AS user_id, coalesce(n_events, 0) AS n_events, coalesce(n_sessions, 0) AS n_sessions,
+               coalesce(n_purchases, 0) AS n_purchases, coalesce(n_items, 0) AS n_items, coalesce(n_orders, 0) AS n_orders,
+               coalesce(spend, 0) AS spend, last_event_at, last_item_at
+        FROM fx_users u
+        LEFT JOIN (SELECT user_id, count(*) AS n_events, count(DISTINCT session_id) AS n_sessions,
+                          count(*) FILTER (event_type = 'purchase') AS n_purchases, max(created_at) AS last_event_at
+                   FROM fx_events GROUP BY user_id) e ON e.user_id = u.id
+        LEFT JOIN (SELECT user_id, count(*) AS n_items, count(DISTINCT order_id) AS n_orders,
+                          CAST(sum(CAST(sale_price AS DECIMAL(20,4))) AS DOUBLE) AS spend, max(created_at) AS last_item_at
+                   FROM fx_order_items GROUP BY user_id) i ON i.user_id = u.id""",
+    "product_features": """
+        SELECT p.id AS product_id, category, coalesce(n_views, 0) AS n_views, coalesce(n_carts, 0) AS n_carts,
+               coalesce(n_purchases, 0) AS n_purchases, coalesce(n_items, 0) AS n_items, coalesce(n_buyers, 0) AS n_buyers,
+               coalesce(revenue, 0) AS revenue,
+               CASE WHEN n_views > 0 THEN CAST(n_purchases AS DOUBLE) / n_views END AS conversion
+        FROM fx_products p
+        LEFT JOIN (SELECT product_id, count(*) FILTER (event_type = 'product') AS n_views,
+                          count(*) FILTER (event_type = 'cart') AS n_carts,
+                          count(*) FILTER (event_type = 'purchase') AS n_purchases
+                   FROM fx_events GROUP BY product_id) e ON e.product_id = p.id
+        LEFT JOIN (SELECT product_id, count(*) AS n_items, count(DISTINCT user_id) AS n_buyers,
+                          CAST(sum(CAST(sale_price AS DECIMAL(20,4))) AS DOUBLE) AS revenue
+                   FROM fx_order_items GROUP BY product_id) i ON i.product_id = p.id""",
+    "interaction_features": """
+        SELECT user_id, product_id, count(*) FILTER (event_type = 'product') AS n_views,
+               count(*) FILTER (event_type = 'cart') AS n_carts, count(*) FILTER (event_type = 'purchase') AS n_purchases,
+               CAST(sum(item) AS BIGINT) AS n_items, coalesce(CAST(sum(price) AS DOUBLE), 0) AS spend,
+               min(created_at) AS first_at, max(created_at) AS last_at
+        FROM (SELECT user_id, product_id, event_type, created_at, 0 AS item, CAST(NULL AS DECIMAL(20,4)) AS price FROM fx_events
+              UNION ALL SELECT user_id, product_id, NULL, created_at, 1, CAST(sale_price AS DECIMAL(20,4)) FROM fx_order_items)
+        WHERE user_id IS NOT NULL AND product_id IN (SELECT id FROM fx_products) GROUP BY user_id, product_id""",
+    "temporal_features": """
+        SELECT user_id, session_id, event_type, product_id, created_at, CAST(hour(created_at) AS INTEGER) AS hour,
+               CAST(isodow(created_at) AS INTEGER) AS day_of_week, isodow(created_at) >= 6 AS is_weekend,
+               CAST(trunc(epoch_us(created_at) / 1000000e0 - epoch_us(lag(created_at) OVER (PARTITION BY user_id
+                   ORDER BY created_at, event_type, product_id NULLS FIRST, session_id NULLS FIRST)) / 1000000e0) AS BIGINT)
+                   AS gap_seconds
+        FROM fx_events WHERE user_id IS NOT NULL AND created_at IS NOT NULL""",
 }
 
 

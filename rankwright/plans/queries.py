@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankwright.config import SESSION_START, RankerParams, RunConfig, StoreConfig
+from rankwright.operators import feature_tables as tables_of
 from rankwright.operators import validation as checks
 from rankwright.operators.candidates import candidate_generation, combined_candidates, final_deduped
 from rankwright.operators.encoding import apply_codes, fit_codes
@@ -49,6 +50,10 @@ def _fitted(spark: SparkSession, sf_dir: str) -> Training:
     return _once(spark, sf_dir, "ranker", lambda: fit_ranker(split_by_time(_training(spark, sf_dir)), SHORT_RUN))
 
 
+def _tables(spark: SparkSession, sf_dir: str):
+    return fixture_tables(spark, sf_dir)
+
+
 def _dirty(spark: SparkSession, sf_dir: str):
     return fixture_tables(spark, sf_dir, dirty=True)
 
@@ -257,4 +262,17 @@ def queries() -> dict[str, Query]:
         "ranker_learning_curve": _ranker_learning_curve,
         "ranker_scores": _ranker_scores,
         "end_to_end_run": _end_to_end,
+        "interaction_scores": lambda s, d: tables_of.interaction_scores(_tables(s, d).events, _tables(s, d).products),
+        "rolling_user_activity": lambda s, d: tables_of.rolling_user_activity(_tables(s, d).events),
+        "user_features": lambda s, d: tables_of.user_features(_tables(s, d).users, _tables(s, d).events, _tables(s, d).order_items),
+        "product_features": lambda s, d: tables_of.product_features(
+            _tables(s, d).products, _tables(s, d).events, _tables(s, d).order_items
+        ),
+        "interaction_features": lambda s, d: tables_of.interaction_features(
+            _tables(s, d).events, _tables(s, d).order_items, _tables(s, d).products
+        ),
+        "temporal_features": lambda s, d: tables_of.temporal_features(_tables(s, d).events),
+        "user_item_matrix": lambda s, d: tables_of.user_item_matrix(
+            _tables(s, d).events, _tables(s, d).order_items, _tables(s, d).products
+        ),
     }

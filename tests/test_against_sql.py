@@ -6,6 +6,8 @@ import pytest
 from conftest import ORACLE_SCALE, SMALL
 
 import __spark_entry__ as entry_points
+from rankwright.plans.oracles import oracle_sql
+from rankwright.plans.queries import queries
 
 TABLES = ("nation", "customer", "part", "orders", "lineitem", "events")
 
@@ -31,16 +33,16 @@ def normal(df: pd.DataFrame) -> pd.DataFrame:
     return df.sort_values(list(df.columns), na_position="first").reset_index(drop=True)
 
 
-@pytest.mark.parametrize("name", list(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", list(oracle_sql()))
 def test_query_equals_sql(spark, sql, name):
-    ours = normal(entry_points.queries()[name](spark, ORACLE_SCALE).toPandas())
-    theirs = normal(sql.sql(entry_points.oracle_sql()[name]).df())
+    ours = normal(queries()[name](spark, ORACLE_SCALE).toPandas())
+    theirs = normal(sql.sql(oracle_sql()[name]).df())
     pd.testing.assert_frame_equal(ours, theirs, check_dtype=False)
 
 
 def test_every_sql_text_has_a_query():
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == {
+    assert set(queries()) - set(oracle_sql()) == {
         "ranker_train_summary", "ranker_learning_curve", "ranker_scores", "end_to_end_run",
     }
 
@@ -50,6 +52,6 @@ def test_entry(spark):
 
 
 def test_ranker_queries(spark):
-    queries = entry_points.queries()
-    assert queries["ranker_learning_curve"](spark, SMALL).count() == queries["ranker_train_summary"](spark, SMALL).first()["rounds"]
-    assert queries["ranker_scores"](spark, SMALL).count() == 7617
+    known = queries()
+    assert known["ranker_learning_curve"](spark, SMALL).count() == known["ranker_train_summary"](spark, SMALL).first()["rounds"]
+    assert known["ranker_scores"](spark, SMALL).count() == 7617
