@@ -33,3 +33,25 @@ def with_ordinal(df: DataFrame, order: list[str], name: str) -> DataFrame:
         .withColumn(name, position)
         .drop("_part", "_place", "_offset")
     )
+
+
+def with_total_before(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
+    """``df`` with the sum of ``value`` over all rows before it in the order of a unique column.
+
+    As with ordinals: rows are split by ranges, a window sums inside each, and one sum
+    per partition is all that is added up in one place and broadcast.
+    """
+    ranged = df.repartitionByRange(order).sortWithinPartitions(order).withColumn("_part", F.spark_partition_id())
+    placed = materialize(ranged, "totals")
+    sums = placed.groupBy("_part").agg(F.sum(value).alias("_sum"))
+    preceding = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_part", F.coalesce(F.sum("_sum").over(preceding), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(value).over(inside), F.lit(0))
+    # At most one row per shuffle partition: small enough to broadcast, always.
+    return (
+        placed.withColumn("_before", before)
+        .join(F.broadcast(offsets), "_part")
+        .withColumn(name, F.col("_before") + F.col("_offset"))
+        .drop("_part", "_before", "_offset")
+    )

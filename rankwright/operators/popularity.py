@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 
 from rankwright.config import CANDIDATES_PER_CATEGORY
 from rankwright.functions.timeline import micros
+from rankwright.operators.ordinals import with_total_before
 from rankwright.sources.scratch import materialize
 
 FANOUT = 128
 SALES_PER_BUCKET = 1 << 13
-MAX_DEPTH = 3
 
 
 def popularity_global(products: DataFrame, order_items: DataFrame) -> DataFrame:
@@ -135,8 +135,8 @@ def _tops_of_children(states: DataFrame, wanted: DataFrame, fanout: int, k: int)
     unfolded = states.where(F.col("since") < last).select(
         "category", "product_id", "sales_count", F.explode(F.sequence(F.col("since") + 1, last)).alias("moment")
     )
-    ranked = _best(unfolded, k, "category", "moment")
-    return ranked.join(wanted, ["category", "moment"], "left_semi").withColumnRenamed("moment", "bucket")
+    asked = unfolded.join(wanted.distinct(), ["category", "moment"], "left_semi")
+    return _best(asked, k, "category", "moment").withColumnRenamed("moment", "bucket")
 
 
 def _tops_at_moments(states: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -150,7 +150,7 @@ def _tops_at_moments(states: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 def depth_for(n_sales: int, fanout: int = FANOUT) -> int:
     """Bucket levels so that the finest bucket holds a moderate number of sales."""
     wanted = math.log(max(n_sales, 1) / SALES_PER_BUCKET, fanout)
-    return min(MAX_DEPTH, max(1, math.ceil(wanted)))
+    return max(1, math.ceil(wanted))
 
 
 def top_products_as_of(
@@ -172,21 +172,26 @@ def top_products_as_of(
     )
     asked = (
         moments.where(F.col("category").isNotNull() & F.col(at).isNotNull())
-        .select("category", F.col(at), micros(moments, at).alias("tick"))
+        .select("category", F.col(at), micros(moments, at).alias("clock"))
         .distinct()
     )
-    sales = _dated_sales(order_items)
-    span = sales.agg(F.count("*").alias("n"), F.min("tick").alias("first"), F.max("tick").alias("last")).first()
-    origin = span["first"] or 0
-    depth = depth or depth_for(span["n"], fanout)
+    sales = _dated_sales(order_items).withColumnRenamed("tick", "clock")
+    # The number of sales before every time that is sold or asked at. It grows with each
+    # time sold at, so "strictly before" is the same by this number as by the clock.
+    times = sales.groupBy("clock").agg(F.count("*").alias("n")).unionByName(asked.select("clock", F.lit(0).cast("bigint").alias("n")))
+    told = materialize(with_total_before(times.groupBy("clock").agg(F.sum("n").alias("n")), "clock", "n", "tick"), "times")
+    n_sales = told.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    told = told.select("clock", "tick")
+    asked, sales = asked.join(told, "clock").drop("clock"), sales.join(told, "clock").drop("clock")
+    depth = depth or depth_for(n_sales, fanout)
     # Every level's bucket holds exactly `fanout` buckets of the next; the root
     # bucket (level 0) holds all sales, and later moments fall into its last part.
-    finest = max(1, math.ceil(((span["last"] or 0) - origin + 1) / fanout**depth))
+    finest = max(1, math.ceil(n_sales / fanout**depth))
     widths = [finest * fanout ** (depth - level) for level in range(depth + 1)]
 
     def bucket(level: int, tick: str = "tick") -> Column:
         last = fanout**level - 1
-        return F.least(_div(F.greatest(F.col(tick) - origin, F.lit(0)), widths[level]), F.lit(last).cast("bigint"))
+        return F.least(_div(F.col(tick), widths[level]), F.lit(last).cast("bigint"))
 
     # Sales per product and finest bucket: combined before the shuffle, and all
     # that the coarse levels need. Written once, as every level reads it.
@@ -200,7 +205,7 @@ def top_products_as_of(
         "sales-by-bucket",
     )
 
-    moment = F.greatest(F.col("tick") - origin, F.lit(0)).alias("moment")
+    moment = F.col("tick").alias("moment")
     first = Window.partitionBy("category").orderBy("product_id")
     tops = (
         catalog.withColumn("product_rank", F.row_number().over(first))
@@ -231,7 +236,7 @@ def top_products_as_of(
     )
     running = Window.partitionBy("category", "bucket", "product_id").orderBy("since")
     steps = (
-        dated.select(F.col("leaf").alias("bucket"), "product_id", (F.col("tick") - origin).alias("since"))
+        dated.select(F.col("leaf").alias("bucket"), "product_id", F.col("tick").alias("since"))
         .join(movers, ["bucket", "product_id"])
         .groupBy("category", "bucket", "product_id", "since")
         .agg(F.count("*").alias("n"), F.first("before").alias("before"))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankwright.functions.timeline import micros
+from rankwright.operators.ordinals import with_total_before
 from rankwright.operators.popularity import depth_for, popularity_global, sales_as_of, top_products_as_of
 
 BASE = datetime(2024, 1, 1)
@@ -68,6 +69,29 @@ def test_top_products_equal_brute_force(spark, seed, k, fanout, depth, ts, hot):
     assert got.count() == len(brute_top(*data, k))
 
 
+@pytest.mark.parametrize("crowded", [False, True])
+def test_stray_dates_and_crowded_minutes_change_nothing(spark, crowded):
+    """Sales dated 1900 and 9999, and nine tenths of all sales in one minute."""
+    products, sales, moments = world(6)
+    if crowded:
+        sales = [(i, p, 7_000_000 + (t or 0) % 60_000_000 if (i or 0) % 10 else t) for i, p, t in sales]
+        moments += [("abc"[i % 3], 7_000_000 + i * 1_500_000) for i in range(40)]
+    far = [int((datetime(year, 1, 1) - BASE) / timedelta(microseconds=1)) for year in (1900, 9999)]
+    sales += [(10_000 + i, i % 9, t) for i, t in enumerate(far * 3)]
+    moments += [("a", far[0]), ("b", far[1]), ("c", far[0] + 1)]
+    data = (products, sales, moments)
+    products_, items, moments_ = frames(spark, *data, "timestamp_ntz")
+    got = top_products_as_of(moments_, products_, items, "start", 3, 4, 3)
+    assert {tuple(r) for r in got.collect()} == brute_top(*data, 3)
+
+
+def test_buckets_hold_equal_numbers_of_sales_whatever_the_dates(spark):
+    rows = [(i, 1) for i in range(1000)] + [(-(10**15), 1), (10**15, 3)]
+    told = with_total_before(spark.createDataFrame(rows, "clock long, n long").repartition(7), "clock", "n", "tick")
+    got = {r.clock: r.tick for r in told.collect()}
+    assert got[-(10**15)] == 0 and got[10**15] == 1001 and all(got[i] == i + 1 for i in range(1000))
+
+
 def test_no_sales_ranks_by_id(spark):
     products, items, moments = frames(spark, [(5, "a"), (3, "a"), (9, "b")], [], [("a", 10), ("z", 10)], "timestamp_ntz")
     got = top_products_as_of(moments, products, items, "start", 20)
@@ -90,7 +114,7 @@ def test_popularity_global_keeps_unsold_products(spark):
 
 
 def test_depth_grows_with_the_logarithm_of_sales():
-    assert [depth_for(n) for n in (0, 10, 1_000_000, 100_000_000, 10**10, 10**12)] == [1, 1, 1, 2, 3, 3]
+    assert [depth_for(n) for n in (0, 10, 1_000_000, 100_000_000, 10**10, 10**12)] == [1, 1, 1, 2, 3, 4]
 
 
 def test_micros_are_exact_and_free_of_the_session_zone(spark):
