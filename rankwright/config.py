@@ -37,13 +37,17 @@ INTERACTION_WEIGHTS = {"purchase": 5.0, "cart": 3.0, "product": 1.0, "department
 
 @dataclass(frozen=True)
 class RankerParams:
-    """Boosting settings; ``override`` applies the positive arguments only."""
+    """Boosting settings; ``override`` applies the positive arguments only.
+
+    ``l2`` is added to every row's hessian, which shrinks steps of little curvature.
+    """
 
     n_trees: int = TREES
     learning_rate: float = LEARNING_RATE
     max_depth: int = TREE_DEPTH
     patience: int = PATIENCE
     seed: int = 42
+    l2: float = 0.0
 
     def override(self, n_trees: int = 0, learning_rate: float = 0.0, max_depth: int = 0) -> RankerParams:
         given = {"n_trees": n_trees, "learning_rate": learning_rate, "max_depth": max_depth}
@@ -52,11 +56,17 @@ class RankerParams:
 
 @dataclass(frozen=True)
 class StoreConfig:
-    """Where feature tables live and how their versioned names are built."""
+    """Where feature tables and models live and how their versioned names are built.
+
+    Without a ``location`` the database lies in the catalog's warehouse, and without
+    a ``model_root`` models lie beside it. Neither may lie in the scratch folder.
+    """
 
-    database: str = "recommendation_feature_store"
+    database: str = "rankwright_features"
     version: str = "v1"
     schema_version: int = 1
+    location: str | None = None
+    model_root: str | None = None
 
     def table_ref(self, name: str) -> str:
         return f"{self.database}.{name}_{self.version}"
@@ -67,6 +77,7 @@ class RunConfig:
     """Everything one end-to-end run can be told."""
 
     max_nulls: int = MAX_NULLS
+    ignore_null_keys: bool = False
     top_k: int = CANDIDATES_PER_CATEGORY
     validation_share: float = VALIDATION_SHARE
     ndcg_threshold: float = NDCG_THRESHOLD

@@ -1,4 +1,4 @@
-"""Categories as integer codes, from a dictionary fitted once."""
+"""Categories as integer codes or as mean labels, from a dictionary fitted once."""
 
 from __future__ import annotations
 
@@ -25,11 +25,6 @@ def fit_codes(df: DataFrame, columns: tuple[str, ...] = CATEGORICAL) -> DataFram
     )
 
 
-def code_counts(codes: DataFrame) -> dict[str, int]:
-    """How many codes each column has (one row per column)."""
-    return {row["column"]: row["n"] for row in codes.groupBy("column").agg(F.count("*").alias("n")).collect()}
-
-
 def apply_codes(df: DataFrame, codes: DataFrame, columns: tuple[str, ...] = CATEGORICAL) -> DataFrame:
     """``df`` with a ``<column>_code`` per category; unseen values share one extra code.
 
@@ -43,3 +38,36 @@ def apply_codes(df: DataFrame, codes: DataFrame, columns: tuple[str, ...] = CATE
         known = own.select(F.col("value").alias(column), F.col("code").alias(f"{column}_code"))
         coded = coded.join(known, column, "left").withColumn(f"{column}_code", F.coalesce(f"{column}_code", extra))
     return coded
+
+
+def fit_rates(df: DataFrame, label: str, columns: tuple[str, ...] = CATEGORICAL, prior: float = 20.0) -> DataFrame:
+    """(column, value, rate): the mean label of each value, drawn to the overall mean.
+
+    ``prior`` is the number of average rows that are added to each value, so rare values
+    stay near the mean. The row with a NULL value holds the overall mean, for unseen
+    values. One rule for columns of any size, and one pass for all of them.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]))
+    counts = (
+        fill_categories(df)
+        .select(pairs.alias("p"), F.col(label).cast("double").alias("label"))
+        .groupBy("p.column", "p.value")
+        .agg(F.count("*").alias("n"), F.sum("label").alias("hits"))
+    )
+    overall = counts.groupBy("column").agg((F.sum("hits") / F.sum("n")).alias("mean"))
+    # One row per column: small enough to broadcast, always.
+    rates = counts.where(F.col("value").isNotNull()).join(F.broadcast(overall), "column").select(
+        "column", "value", ((F.col("hits") + prior * F.col("mean")) / (F.col("n") + prior)).alias("rate")
+    )
+    return rates.unionByName(overall.select("column", F.lit(None).cast("string").alias("value"), F.col("mean").alias("rate")))
+
+
+def apply_rates(df: DataFrame, rates: DataFrame, columns: tuple[str, ...] = CATEGORICAL) -> DataFrame:
+    """``df`` with a ``<column>_rate`` per category; unseen values get the overall mean."""
+    rated = fill_categories(df)
+    for column in columns:
+        own = rates.where(F.col("column") == column)
+        mean = own.where(F.col("value").isNull()).select(F.max("rate")).scalar()
+        known = own.where(F.col("value").isNotNull()).select(F.col("value").alias(column), F.col("rate").alias(f"{column}_rate"))
+        rated = rated.join(known, column, "left").withColumn(f"{column}_rate", F.coalesce(f"{column}_rate", mean, F.lit(0.0)))
+    return rated

@@ -12,23 +12,20 @@ from __future__ import annotations
 import json
 import math
 from dataclasses import dataclass
-from functools import reduce
-from operator import add
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankwright.config import CATEGORICAL, NDCG_CUTS, RankerParams
-from rankwright.operators.encoding import apply_codes, code_counts, fit_codes
+from rankwright.operators.encoding import apply_rates, fit_rates
 from rankwright.operators.ndcg import discount_sum, session_ndcg, session_totals
-from rankwright.sources.scratch import materialize
+from rankwright.sources.scratch import materialize, materialize_anew
 
 NUMERIC = ("user_age", "retail_price", "cost", "profit_margin")
-MAX_CATEGORIES = 1024  # beyond this, codes are treated as ordered numbers
-MAX_STEP = 10.0  # bound of one leaf's step
 MIN_HESSIAN = 1e-6
 ROWS_PER_SALT = 1 << 20
 ROWS_PER_TASK = 1 << 18
@@ -38,31 +35,30 @@ KEYS = ("qid", "user_id", "product_id")
 
 @dataclass(frozen=True)
 class Ranker:
-    """Trees, their common rate, and the category dictionary they were grown on."""
+    """Trees, their common rate, and the category rates they were grown on."""
 
     trees: tuple[DecisionTreeRegressionModel, ...]
     learning_rate: float
-    codes: DataFrame
-    n_codes: dict[str, int]
+    rates: DataFrame
 
     def score(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with a ``score``; one lazy projection, no shuffle of its own."""
-        vectors = assemble(rows, self.codes, self.n_codes)
-        return _with_steps(vectors, self.trees, self.learning_rate, F.lit(0.0)).drop("features", *_CODES)
+        """``rows`` with a ``score``: all trees as one model, evaluated once per row."""
+        vectors = assemble(rows, self.rates)
+        return _with_steps(vectors, self.trees, self.learning_rate, F.lit(0.0)).drop("features", *_RATES)
 
     def save(self, path: str) -> None:
-        """Trees in boosting order, the dictionary and the rate, under one folder."""
-        spark = self.codes.sparkSession
+        """Trees in boosting order, the category rates and the learning rate, under one folder."""
+        spark = self.rates.sparkSession
         PipelineModel(list(self.trees)).write().overwrite().save(f"{path}/trees")
-        self.codes.write.mode("overwrite").parquet(f"{path}/codes")
-        settings = json.dumps({"learning_rate": self.learning_rate, "n_codes": self.n_codes})
+        self.rates.write.mode("overwrite").parquet(f"{path}/rates")
+        settings = json.dumps({"learning_rate": self.learning_rate})
         spark.createDataFrame([(settings,)], "settings string").write.mode("overwrite").json(f"{path}/settings")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Ranker:
         settings = json.loads(spark.read.json(f"{path}/settings").first()["settings"])
         trees = PipelineModel.load(f"{path}/trees").stages
-        return Ranker(tuple(trees), settings["learning_rate"], spark.read.parquet(f"{path}/codes"), settings["n_codes"])
+        return Ranker(tuple(trees), settings["learning_rate"], spark.read.parquet(f"{path}/rates"))
 
 
 @dataclass(frozen=True)
@@ -75,36 +71,39 @@ class Training:
 
 
 _PARTS = ("is_train", "qid")
-_CODES = tuple(f"{c}_code" for c in CATEGORICAL)
+_RATES = tuple(f"{c}_rate" for c in CATEGORICAL)
 
 
-def assemble(rows: DataFrame, codes: DataFrame, n_codes: dict[str, int]) -> DataFrame:
-    """``rows`` with the feature vector; category codes are marked as nominal."""
-    coded = apply_codes(rows, codes)
-    for column in CATEGORICAL:
-        n = n_codes.get(column, 0) + 1  # one more for unseen values
-        if n <= MAX_CATEGORIES:
-            name = f"{column}_code"
-            coded = coded.withMetadata(name, {"ml_attr": {"type": "nominal", "name": name, "num_vals": n}})
+def assemble(rows: DataFrame, rates: DataFrame) -> DataFrame:
+    """``rows`` with the feature vector: numbers, and each category's mean label in training.
+
+    Every category is treated alike, whatever its number of values.
+    """
+    rated = apply_rates(rows, rates)
     numbers = [F.coalesce(F.col(c).cast("double"), F.lit(-1.0)).alias(c) for c in NUMERIC]
-    vector = VectorAssembler(inputCols=[f"_{c}" for c in NUMERIC] + list(_CODES), outputCol="features")
-    filled = coded.withColumns({f"_{c}": number for c, number in zip(NUMERIC, numbers)})
+    vector = VectorAssembler(inputCols=[f"_{c}" for c in NUMERIC] + list(_RATES), outputCol="features")
+    filled = rated.withColumns({f"_{c}": number for c, number in zip(NUMERIC, numbers)})
     return vector.transform(filled).drop(*[f"_{c}" for c in NUMERIC])
 
 
-def _bounded(prediction: Column) -> Column:
-    return F.greatest(F.least(prediction, F.lit(MAX_STEP)), F.lit(-MAX_STEP))
+def _ensemble(trees: tuple, rate: float) -> GBTRegressionModel:
+    """Trees of one weight as one MLlib model, which sums them in a single evaluation."""
+    context = SparkContext._active_spark_context
+    gateway = context._gateway
+    regression = context._jvm.org.apache.spark.ml.regression
+    grown = gateway.new_array(regression.DecisionTreeRegressionModel, len(trees))
+    weights = gateway.new_array(context._jvm.double, len(trees))
+    for i, tree in enumerate(trees):
+        grown[i], weights[i] = tree._java_obj, float(rate)
+    model = GBTRegressionModel(regression.GBTRegressionModel("boosted", grown, weights))
+    return model.setFeaturesCol("features").setPredictionCol("_step")
 
 
 def _with_steps(df: DataFrame, trees: tuple, rate: float, start: Column) -> DataFrame:
-    """``df`` with ``score``: the start plus every tree's bounded step."""
-    names = []
-    for number, tree in enumerate(trees):
-        name = f"_step{number}"
-        df = tree.copy({tree.predictionCol: name}).transform(df)
-        names.append(name)
-    steps = [_bounded(F.col(name)) * F.lit(rate) for name in names]
-    return df.withColumn("score", reduce(add, steps, start)).drop(*names)
+    """``df`` with ``score``: the start plus every tree's step."""
+    if not trees:
+        return df.withColumn("score", start)
+    return _ensemble(trees, rate).transform(df).withColumn("score", start + F.col("_step")).drop("_step")
 
 
 def _with_salt(rows: DataFrame) -> DataFrame:
@@ -200,9 +199,9 @@ def gather_lambdas(compared: DataFrame, parts: DataFrame) -> DataFrame:
     )
 
 
-def _newton(pulled: DataFrame) -> DataFrame:
+def _newton(pulled: DataFrame, l2: float) -> DataFrame:
     """The rows a tree is grown on: features, Newton step and its weight."""
-    weight = F.greatest("hessian", F.lit(MIN_HESSIAN))
+    weight = F.greatest(F.col("hessian") + l2, F.lit(MIN_HESSIAN))
     return pulled.select("features", (F.col("pull") / weight).alias("step"), weight.alias("hessian"))
 
 
@@ -213,67 +212,65 @@ def _parts(rows: DataFrame, totals: DataFrame, k: int) -> DataFrame:
     return rows.where("is_train").select("qid", "salt").distinct().join(ideal, "qid")
 
 
-def _stored(rows: DataFrame) -> DataFrame:
-    """``rows`` written to the shared folder, then held with each session part together.
+def _placed(rows: DataFrame, n_rows: int) -> DataFrame:
+    """``rows`` held with each session part together.
 
-    What is lost from memory is read again from the folder. The layout serves
-    all rounds: their joins per (session, salt) move no rows. Partitions are
+    What is lost from memory is read again from the folder ``rows`` lie in. The layout
+    serves all rounds: their joins per (session, salt) move no rows. Partitions are
     counted by rows, for every tree passes over all of them many times.
     """
-    written = materialize(rows, "ranker-rows")
-    parts = max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(written.count() / ROWS_PER_TASK))
-    return written.repartition(parts, "qid", "salt").persist()
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(n_rows / ROWS_PER_TASK))
+    return rows.repartition(parts, "qid", "salt").persist()
 
 
 def fit_ranker(training: DataFrame, params: RankerParams = RankerParams(), cuts: tuple[int, ...] = NDCG_CUTS) -> Training:
-    """Boost until the validation NDCG has not improved for ``patience`` rounds.
+    """Boost until the validation NDCG of the last cut has not improved for ``patience`` rounds.
 
-    ``training`` holds ``is_train``. Only the category counts and one row of
-    metrics per round reach the driver. Scores are written to the shared folder
-    every few rounds, so neither the plan nor a recomputation grows with them.
+    ``training`` holds ``is_train``; both parts need a session with a positive. One row of
+    metrics per round reaches the driver. Each round adds one tree to the scores of
+    the round before; every few rounds they are written to the shared folder and the
+    version before goes, so neither plans, recomputation nor disk grow with the rounds.
     """
-    codes = materialize(fit_codes(training.where("is_train")), "codes")
-    n_codes = code_counts(codes)
-    vectors = assemble(_with_salt(training), codes, n_codes)
-    rows = vectors.select(*KEYS, "salt", "is_train", "target_label", "features")
-    base = _stored(rows.withColumn("base", F.lit(0.0)))
-    totals = materialize(session_totals(base, by=_PARTS), "session-totals")
-    parts = materialize(_parts(base, totals, max(cuts)), "session-parts")
-    bins = max([32] + [n + 1 for n in n_codes.values() if n < MAX_CATEGORIES])
+    rates = materialize(fit_rates(training.where("is_train"), "target_label"), "rates")
+    vectors = assemble(_with_salt(training), rates)
+    rows = vectors.select(*KEYS, "salt", "is_train", "target_label", "features", F.lit(0.0).alias("score"))
+    written, path = materialize_anew(rows, "ranker-rows", None)
+    n_rows = written.count()
+    scored = _placed(written, n_rows)
+    totals = materialize(session_totals(scored, by=_PARTS), "session-totals")
+    parts = materialize(_parts(scored, totals, max(cuts)), "session-parts")
+    for part, flag in (("training", "is_train"), ("validation", "not is_train")):
+        if totals.where(flag).where("positives > 0").isEmpty():
+            raise ValueError(f"the {part} part has no session with a positive")
     trees: list[DecisionTreeRegressionModel] = []
-    pending: list[DecisionTreeRegressionModel] = []
     curve: list[dict] = []
     best, best_round = -1.0, 0
-    scored = base.withColumn("score", F.col("base"))
     for number in range(params.n_trees):
         grower = DecisionTreeRegressor(
-            featuresCol="features", labelCol="step", weightCol="hessian", maxDepth=params.max_depth,
-            maxBins=bins, seed=params.seed + number,
-        )
+            featuresCol="features", labelCol="step", weightCol="hessian", maxDepth=params.max_depth, seed=params.seed + number
+        )
         # Both are read more than once: the first for its returned pulls, the
         # second because growing a tree passes over its rows level by level.
         compared = compare_with_leaders(scored.where("is_train"), parts, max(cuts)).persist()
-        steps = _newton(gather_lambdas(compared, parts)).persist()
-        tree = grower.fit(steps)
-        steps.unpersist()
-        compared.unpersist()
-        trees.append(tree)
-        pending.append(tree)
-        scored = _with_steps(base, tuple(pending), params.learning_rate, F.col("base"))
-        if len(pending) == ROUNDS_PER_WRITE:
-            written = _stored(scored.drop("base").withColumnRenamed("score", "base"))
-            base.unpersist()
-            base, pending = written, []
-            scored = base.withColumn("score", F.col("base"))
-        curve.append({"round": number + 1, **_round_metrics(scored, totals, cuts)})
-        current = curve[-1][f"validation_ndcg_{cuts[0]}"]
+        steps = _newton(gather_lambdas(compared, parts), params.l2).persist()
+        trees.append(grower.fit(steps))
+        moved = _with_steps(scored, (trees[-1],), params.learning_rate, F.col("score")).persist()
+        curve.append({"round": number + 1, **_round_metrics(moved, totals, cuts)})
+        for done in (steps, compared, scored):
+            done.unpersist()
+        scored = moved
+        if (number + 1) % ROUNDS_PER_WRITE == 0:
+            written, path = materialize_anew(moved, "ranker-rows", path)
+            moved.unpersist()
+            scored = _placed(written, n_rows)
+        current = curve[-1][f"validation_ndcg_{cuts[-1]}"]
         if current > best:
             best, best_round = current, number + 1
         elif number + 1 - best_round >= params.patience:
             break
-    base.unpersist()
+    scored.unpersist()
     kept = tuple(trees[:best_round])
-    return Training(Ranker(kept, params.learning_rate, codes, n_codes), curve, best_round)
+    return Training(Ranker(kept, params.learning_rate, rates), curve, best_round)
 
 
 def _round_metrics(scored: DataFrame, totals: DataFrame, cuts: tuple[int, ...]) -> dict:

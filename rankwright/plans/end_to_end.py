@@ -14,8 +14,7 @@ from rankwright.operators.split import split_by_time
 from rankwright.plans.evaluation import evaluate, evaluation_metrics, feature_metrics
 from rankwright.plans.gate import run_gate
 from rankwright.plans.training_set import training_set
-from rankwright.sources.scratch import shared_root
-from rankwright.sources.store import append_metrics, publish_model, read_feature_table, register_features
+from rankwright.sources.store import append_metrics, model_path, publish_model, read_feature_table, register_features
 from rankwright.sources.tables import Tables
 
 
@@ -37,7 +36,6 @@ def run_end_to_end(
     as_of: str | None = None,
     on_fail: str = "raise",
     scope: str = "held_out",
-    model_root: str | None = None,
 ) -> DataFrame:
     """The run's evaluation as one row: its id, gate outcome, scores and decision.
 
@@ -45,9 +43,13 @@ def run_end_to_end(
     gate stops the run, or with ``on_fail="report"`` lets it go on with the raw
     rows. A model is saved and published only when its evaluation says approve.
     """
+    if on_fail not in ("raise", "report"):
+        raise ValueError(f"on_fail must be raise or report, not {on_fail!r}")
+    if config.ranker.n_trees < 1:
+        raise ValueError("a run needs at least one tree")
     spark = tables.events.sparkSession
     run_id = uuid.uuid4().hex
-    gate = run_gate(tables, config.max_nulls, as_of)
+    gate = run_gate(tables, config.max_nulls, as_of, config.ignore_null_keys)
     append_metrics(gate.metrics, run_id, config.store)
     if gate.passed or on_fail == "raise":
         tables = replace(tables, order_items=gate.require())
@@ -64,7 +66,7 @@ def run_end_to_end(
     outcome = summary.first()
     path = ""
     if outcome["decision"] == "approve":
-        path = f"{model_root or shared_root(spark)}/models/{config.model_name}/{run_id}"
+        path = model_path(spark, config.model_name, run_id, config.store)
         fitted.ranker.save(path)
         publish_model(spark, config.model_name, path, run_id, outcome["mean_ndcg_5"], "approve", config.store)
     row = {

@@ -126,7 +126,7 @@ def _store_for(sf_dir: str) -> StoreConfig:
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, *dispositions: str) -> DataFrame:
     rows, target = fill_categories(_training(spark, sf_dir)), _store_for(sf_dir)
-    store.create_database(spark, target.database)
+    store.create_database(spark, target)
     for disposition in dispositions:
         store.save_table(rows, target.table_ref(name), disposition, rows.schema)
     return spark.table(target.table_ref(name))

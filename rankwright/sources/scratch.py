@@ -21,7 +21,9 @@ def shared_root(spark: SparkSession) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = _LOCAL_FALLBACK.setdefault(app, tempfile.mkdtemp(prefix="rankwright-"))
+        if app not in _LOCAL_FALLBACK:
+            _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="rankwright-")
+        root = _LOCAL_FALLBACK[app]
     return f"{root.rstrip('/')}/rankwright/{app}"
 
 
@@ -39,3 +41,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_anew(df: DataFrame, label: str, previous: str | None) -> tuple[DataFrame, str]:
+    """As ``materialize``, dropping the version written before; also the new version's path."""
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    df.write.parquet(path)
+    if previous and previous.startswith(shared_root(spark)):
+        old = spark._jvm.org.apache.hadoop.fs.Path(previous)
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    return spark.read.schema(df.schema).parquet(path), path

@@ -19,11 +19,26 @@ _METRICS = "run_id string, stage string, metric string, value double"
 _MODELS = "model string, path string, run_id string, metric string, value double, decision string"
 
 
-def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """The database, by default in the shared folder when it is not there yet."""
-    if not spark.catalog.databaseExists(name):
-        place = location or f"{shared_root(spark)}/{name}.db"
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{place}'")
+def _durable(spark: SparkSession, path: str) -> str:
+    """``path``, unless it lies in the folder that goes with the application."""
+    if strip_scheme(path).startswith(strip_scheme(shared_root(spark))):
+        raise ValueError(f"{path} lies in the scratch folder and would go with it")
+    return path.rstrip("/")
+
+
+def create_database(spark: SparkSession, store: StoreConfig) -> None:
+    """The database at its location, by default in the catalog's warehouse."""
+    place = f" LOCATION '{_durable(spark, store.location)}'" if store.location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{store.database}`{place}")
+
+
+def model_path(spark: SparkSession, model: str, run_id: str, store: StoreConfig) -> str:
+    """Where a run's model is kept: under the model root, or beside the database's tables."""
+    root = store.model_root
+    if root is None:
+        create_database(spark, store)
+        root = f"{spark.catalog.getDatabase(store.database).locationUri.rstrip('/')}_models"
+    return f"{_durable(spark, root)}/{model}/{run_id}"
 
 
 def save_table(
@@ -85,7 +100,7 @@ def _append_new(spark: SparkSession, rows: DataFrame, ref: str, schema: str, key
 def register_features(training: DataFrame, group: str, store: StoreConfig = StoreConfig()) -> str:
     """Load the feature table (replacing it), add missing catalog entries, return its URI."""
     spark = training.sparkSession
-    create_database(spark, store.database)
+    create_database(spark, store)
     ref = store.table_ref(group)
     save_table(training, ref)
     entries = [
@@ -106,7 +121,7 @@ def feature_catalog(spark: SparkSession, store: StoreConfig = StoreConfig()) ->
 def append_metrics(metrics: DataFrame, run_id: str, store: StoreConfig = StoreConfig()) -> None:
     """Add (stage, metric, value) rows of a run to the metrics table."""
     spark = metrics.sparkSession
-    create_database(spark, store.database)
+    create_database(spark, store)
     rows = metrics.select(F.lit(run_id).alias("run_id"), "stage", "metric", F.col("value").cast("double").alias("value"))
     save_table(rows, store.table_ref("run_metrics"), "WRITE_APPEND", T.StructType.fromDDL(_METRICS))
 
@@ -115,6 +130,6 @@ def publish_model(
     spark: SparkSession, model: str, path: str, run_id: str, value: float, decision: str, store: StoreConfig = StoreConfig()
 ) -> None:
     """Add a model version to the model table."""
-    create_database(spark, store.database)
+    create_database(spark, store)
     row = spark.createDataFrame([(model, path, run_id, "mean_ndcg_5", value, decision)], _MODELS)
     save_table(row, store.table_ref("models"), "WRITE_APPEND", T.StructType.fromDDL(_MODELS))

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rankwright.config import RankerParams, RunConfig, StoreConfig
+from rankwright.operators.encoding import apply_rates, fit_rates
 from rankwright.operators.features import fill_categories
 from rankwright.operators.ndcg import discount_sum, evaluation_counts, session_ndcg
 from rankwright.operators.ranker import Ranker, compare_with_leaders, fit_ranker, gather_lambdas
@@ -18,13 +19,13 @@ from rankwright.plans.end_to_end import held_out, run_end_to_end
 from rankwright.plans.gate import ValidationError
 from rankwright.sources import store, tables
 from rankwright.sources.fixtures import fixture_tables
-from rankwright.sources.scratch import new_path
+from rankwright.sources.scratch import new_path, shared_root
 
 
 @pytest.fixture(scope="module")
 def target(spark):
     config = StoreConfig(database="test_store")
-    store.create_database(spark, config.database)
+    store.create_database(spark, config)
     return config
 
 
@@ -47,6 +48,44 @@ def test_explicit_schema_is_enforced(spark, target):
     assert spark.table(target.table_ref("typed")).dtypes == [("id", "decimal(30,0)")]
 
 
+def test_durable_output_stays_out_of_the_scratch_folder(spark, target, tmp_path):
+    root = store.strip_scheme(shared_root(spark))
+    assert root not in spark.catalog.getDatabase(target.database).locationUri
+    assert root not in store.model_path(spark, "m", "r", target)
+    elsewhere = replace(target, database="elsewhere", location=f"{tmp_path}/db", model_root=f"{tmp_path}/models")
+    store.create_database(spark, elsewhere)
+    assert f"{tmp_path}/db" in spark.catalog.getDatabase("elsewhere").locationUri
+    assert store.model_path(spark, "m", "r", elsewhere) == f"{tmp_path}/models/m/r"
+    for wrong in (replace(target, database="wrong", location=f"{root}/db"), replace(target, model_root=f"{root}/models")):
+        with pytest.raises(ValueError, match="scratch"):
+            store.create_database(spark, wrong)
+            store.model_path(spark, "m", "r", wrong)
+
+
+def test_categories_of_any_size_are_treated_alike(spark):
+    rows = [(f"b{i % 1500}", f"c{i % 500}", "x", int(i % 1500 < 300)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "brand string, user_country string, user_gender string, target_label int")
+    rates = fit_rates(df, "target_label", prior=2.0)
+    known = {(r.column, r.value): r.rate for r in rates.collect()}
+    assert len(known) == 1500 + 500 + 1 + 3
+    assert known["brand", "b7"] == pytest.approx((4 + 2 * 0.2) / 6) and known["brand", "b900"] == pytest.approx(0.4 / 6)
+    assert known["user_country", None] == pytest.approx(0.2)
+    seen = apply_rates(df.limit(1).withColumn("brand", F.lit("new")), rates).first()
+    assert seen.brand_rate == pytest.approx(0.2)
+
+
+def test_a_part_without_positives_is_a_clear_error(planted):
+    with pytest.raises(ValueError, match="validation"):
+        fit_ranker(planted.where("is_train"), RankerParams(n_trees=1))
+
+
+def test_options_are_checked(spark):
+    with pytest.raises(ValueError, match="on_fail"):
+        run_end_to_end(fixture_tables(spark, SMALL), RunConfig(), on_fail="ignore")
+    with pytest.raises(ValueError, match="tree"):
+        run_end_to_end(fixture_tables(spark, SMALL), RunConfig(ranker=RankerParams(n_trees=0)))
+
+
 def test_uris_and_sql(spark):
     assert store.strip_scheme(store.table_uri("db.t_v1")) == "db.t_v1" == store.strip_scheme("db.t_v1")
     assert store.parent_uri("s3://bucket/run/model.bin") == "s3://bucket/run"
