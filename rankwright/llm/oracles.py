@@ -2,6 +2,118 @@
 
 from __future__ import annotations
 
+from rankwright.llm.quality import LineRules
+
+_WORD = r"[^\x20\x09-\x0D]+"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: The table of the reflected CRC-32 by its polynomial, and a checksum over a text's bytes.
+_CRC_TABLE = """crc_table AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(CAST(i AS BIGINT), CAST(range(8) AS BIGINT[])),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+        list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST(('0x' || h) AS BIGINT))),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+def _op4() -> str:
+    return """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+            FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5"""
+
+
+def _op6(rules: LineRules = LineRules()) -> str:
+    def quoted(pattern: str) -> str:
+        return "'" + pattern.replace("'", "''") + "'"
+
+    def count(pattern: str) -> str:
+        return f"(length(line) - length(regexp_replace(line, {quoted(pattern)}, '', 'g')))"
+
+    fault = f"""(n > 0 AND (
+        {count(rules.symbols)} > {rules.max_symbols!r}e0 * n
+        OR regexp_matches(line, {quoted("(?i)" + rules.navigation)}) OR regexp_matches(line, {quoted("(?i)" + rules.boilerplate)})
+        OR (n < {rules.prose_from} AND NOT regexp_matches(rtrim(line, ' '), {quoted(rules.sentence_end)}))
+        OR (n >= {rules.ends_from} AND len(regexp_extract_all(line, '[.!?]+')) > {rules.max_ends!r}e0 * n)
+        OR (n >= {rules.distinct_from} AND len(list_distinct(w)) < {rules.min_distinct!r}e0 * n)))"""
+    return f"""
+        WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words FROM documents),
+        windows AS (SELECT doc_id, i, words[i] AS a, words[i + 1] AS b, words[i + 2] AS c
+                    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM docs)),
+        twice AS (SELECT doc_id, a, b, c FROM windows GROUP BY ALL HAVING count(*) > 1),
+        covered AS (SELECT doc_id, count(DISTINCT i + d) AS n FROM windows JOIN twice USING (doc_id, a, b, c), range(3) AS r(d) GROUP BY doc_id),
+        lines AS (SELECT doc_id, line, regexp_extract_all(line, '{_WORD}') AS w, len(regexp_extract_all(line, '{_WORD}')) AS n
+                  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)),
+        judged AS (SELECT doc_id, CAST(sum(n) FILTER (NOT {fault}) AS BIGINT) AS kept_words,
+                          count(*) FILTER (n > 0) - count(DISTINCT line) FILTER (n > 0) AS n_dup_lines FROM lines GROUP BY doc_id),
+        counted AS (
+            SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+                   CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols, n_dup_lines,
+                   coalesce(covered.n, 0) AS n_repeat_words, coalesce(kept_words, 0) AS kept_words
+            FROM docs LEFT JOIN covered USING (doc_id) JOIN judged USING (doc_id))
+        SELECT *, base_failed = false AND n_words - kept_words <= {rules.max_lost!r}e0 * n_words AS kept FROM (
+            SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)"""
+
+
+def _op8() -> str:
+    return f"""
+        WITH RECURSIVE docs AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS w FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, w[i : least(i + 2, len(w))] AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+            JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+        named AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM named LEFT JOIN sizes USING (doc_id)"""
+
+
+def _op9() -> str:
+    cost = "-ln((CAST(('0x' || substr(md5('k' || doc_id || '#' || s), 1, 13)) AS BIGINT) + 5e-1) / 4503599627370496e0)"
+    return f"""
+        WITH {_CRC_TABLE},
+        costs AS (SELECT doc_id, s, {cost} AS cost FROM documents, range(41) AS r(s)),
+        placed AS (SELECT doc_id, CAST(arg_min(s, cost) FILTER (s < 40) AS INTEGER) AS shard, CAST(arg_min(s, cost) AS INTEGER) AS grown_shard
+                   FROM costs GROUP BY doc_id)
+        SELECT doc_id, CAST(strlen(coalesce(text, '')) + 16 AS BIGINT) AS size, {_crc32("coalesce(text, '')")} AS text_crc32, 'key' AS law,
+               shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, grown_shard
+        FROM documents JOIN placed USING (doc_id), crc_table"""
+
+
+def _op10() -> str:
+    escaped = r"replace(replace(replace(text, '\', '\\'), '### ', '#\## '), '</turn>', '<\/turn>')"
+    return rf"""
+        WITH turns AS (
+            SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, t, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS x(t, r))
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(4 + length(role) + 2 + length({escaped}) + 8) AS BIGINT) AS formatted_chars,
+               regexp_full_match(string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'x' END, ''
+                   ORDER BY turn, role, text), 's?(ua)+') AS valid
+        FROM turns GROUP BY conv_id"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_no_random_access": _op4(),
+        "op6_line_rules": _op6(),
+        "op8_fast_similarity_sketch": _op8(),
+        "op9_rendezvous_sharding": _op9(),
+        "op10_chat_format": _op10(),
+    }
