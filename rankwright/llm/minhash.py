@@ -8,13 +8,13 @@ compared on the full shingle sets.
 
 Documents with equal sets are one class first. Then, per band key:
 
-1. each class is compared with the smallest class there, and linked classes get a
-   component;
-2. where a key still holds several components, the classes outside the largest one
-   are compared with all classes of other components.
+1. each class is compared with the one there that meets most others, the hub, and
+   linked classes get a component;
+2. two classes of a hub in different components, not both linked to it, are compared
+   if what each adds to the hub and lacks of it lets them reach the threshold at all.
 
-So every pair that shares a key is either connected or has been compared, and no
-group is expanded into all its pairs. A pair at the threshold of 0.85 shares none of
+So every pair that shares a key is connected, compared or ruled out by exact counts,
+and no group is expanded into all its pairs. A pair at the threshold of 0.85 shares none of
 40 bands of 6 with probability 6e-9.
 """
 
@@ -26,7 +26,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankwright.llm.common import ship_package
@@ -47,11 +47,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def hash_word(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+
+
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
-        found = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        found = self[word] = hash_word(word)
         return found
 
 
@@ -134,19 +138,13 @@ def sketch_documents(documents: DataFrame, width: int, bands: int, rows: int) ->
     return documents.mapInArrow(run, "id long, n_shingles long, digest binary, keys array<long>")
 
 
-def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    both = np.searchsorted(a, b)
-    both[both == len(a)] = 0
-    shared = int((a[both] == b).sum())
-    return 100 * shared >= percent * (len(a) + len(b) - shared)
-
+def compared_pairs(pairs: DataFrame, documents: DataFrame, width: int, with_added: bool = False) -> DataFrame:
+    """Pairs (``a``, ``b``) with the sizes of their full shingle sets, ``n_a`` and ``n_b``, and ``shared``.
 
-def linked_pairs(pairs: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) whose full shingle sets reach ``percent`` of Jaccard similarity.
-
-    Each ``b`` is compared in groups of bounded size: its shingles are copied to as
-    many groups as its pairs need, so a hub is spread over tasks. Texts travel once;
-    their sets then go only where they are compared.
+    ``added`` holds the shingles of ``a`` that ``b`` lacks, if asked for. Each ``b`` is
+    compared in groups of bounded size: its shingles are copied to as many groups as
+    its pairs need, so a hub is spread over tasks. Texts travel once; their sets then
+    go only where they are compared.
     """
     sizes = pairs.groupBy("b").agg(F.ceil(F.count("*") / COMPARED_PER_GROUP).cast("int").alias("groups"))
     grouped = pairs.join(sizes, "b").withColumn("part", F.pmod(F.xxhash64("a"), F.col("groups")).cast("int"))
@@ -170,22 +168,66 @@ def linked_pairs(pairs: DataFrame, documents: DataFrame, width: int, percent: in
                 yield pa.RecordBatch.from_arrays(columns, ["id", "hub", "part", "shingles"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = np.empty(0, np.uint64)
+        of, hub = np.empty(0, np.uint64), None
         for batch in batches:
-            a, b = [], []
-            for id_, hub, packed in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3)), strict=True):
+            ids, hubs, sizes_, shared, added = [], [], [], [], []
+            for id_, hub_, packed in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3)), strict=True):
                 found = np.frombuffer(packed, np.uint64)
-                if id_ == hub:
-                    of = found
-                elif _similar(of, found, percent):
-                    a.append(id_)
-                    b.append(hub)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                if id_ == hub_:
+                    of, hub = found, hub_
+                    continue
+                both = np.isin(found, of, assume_unique=True)
+                ids.append(id_), hubs.append(hub), sizes_.append((len(found), len(of))), shared.append(int(both.sum()))
+                added.append(found[~both].view(np.int64) if with_added else [])
+            columns = [pa.array(x, pa.int64()) for x in (ids, hubs, [n for n, _ in sizes_], [n for _, n in sizes_], shared)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(added, pa.list_(pa.int64()))], ["a", "b", "n_a", "n_b", "shared", "added"])
 
     placed = wanted.mapInArrow(shingles, "id long, hub long, part int, shingles binary")
     # A hub's own row comes first in each of its groups.
     groups = placed.repartition("hub", "part").sortWithinPartitions("hub", "part", F.col("id") != F.col("hub"))
-    return groups.mapInArrow(compare, "a long, b long")
+    return groups.mapInArrow(compare, "a long, b long, n_a long, n_b long, shared long, added array<long>")
+
+
+def _left_to_compare(compared: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+    """The pairs (``a``, ``b``) of classes under one hub that may be linked though a hub does not link them.
+
+    Let x not be linked to hub h. A class y of the same hub shares with x what both have
+    of h, at most |h| less the larger of what they lack, and what both added to h. So
+    without a common addition, y must be small enough for that bound, which no y
+    as large as h is; with some, their number enters the bound. Both cases are joins of
+    few rows: additions are the edits of copies and seldom agree, and only an x just
+    short of the hub has a partner smaller than the hub.
+    """
+    ones = compared.join(named.withColumnRenamed("node", "a"), "a", "left").select(
+        F.col("b").alias("hub"), F.col("a").alias("id"), F.coalesce("component", "a").alias("component"), "linked",
+        F.col("n_a").alias("n"), F.col("n_b").alias("n_hub"), (F.col("n_b") - F.col("shared")).alias("lacks"), "added",
+    )
+    open_ = ones.filter(~F.col("linked")).groupBy("hub").agg(F.min("n").alias("_"))
+    ones = ones.join(open_.select("hub"), "hub")
+    least = ones.groupBy("hub").agg(F.min("n").alias("least"))
+
+    def side(df: DataFrame, mark: str) -> DataFrame:
+        return df.withColumnsRenamed({c: f"{c}_{mark}" for c in ("id", "component", "linked", "n", "lacks", "n_hub") if c in df.columns})
+
+    other = (F.col("component_x") != F.col("component_y")) & (F.col("linked_y") | (F.col("id_x") < F.col("id_y")))
+    fitting = 100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")
+    most = F.col("n_hub_x") - F.greatest("lacks_x", "lacks_y")  # of h in both
+
+    def reaches(shared: Column) -> Column:
+        return (100 + percent) * shared >= percent * (F.col("n_x") + F.col("n_y"))
+
+    plain = ones.drop("added")
+    near = plain.filter(~F.col("linked")).join(least, "hub").filter(
+        (100 + percent) * (F.col("n_hub") - F.col("lacks")) >= percent * (F.col("n") + F.col("least"))
+    )
+    alone = side(near, "x").join(side(plain.drop("n_hub"), "y"), "hub").filter(other & fitting & reaches(most))
+
+    edits = ones.withColumn("edit", F.explode("added")).drop("added")
+    agreed = side(edits.filter(~F.col("linked")), "x").join(side(edits.drop("n_hub"), "y"), ["hub", "edit"]).filter(other & fitting)
+    counted = agreed.groupBy("hub", "id_x", "id_y", "n_x", "n_y", "n_hub_x", "lacks_x", "lacks_y").agg(F.count("*").alias("both"))
+    together = counted.filter(reaches(most + F.col("both")))
+    columns = [F.col("id_x").alias("a"), F.col("id_y").alias("b")]
+    return alone.select(*columns).unionByName(together.select(*columns)).distinct()
 
 
 def near_duplicates(
@@ -213,35 +255,24 @@ def near_duplicates(
     classes = filled.groupBy("digest", "n_shingles").agg(F.min("id").alias("class"))
     # The smallest member stands for its class; repeated rows of it are one.
     heads = filled.join(classes.select(F.col("class").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-    banded = heads.select("id", "n_shingles", F.explode("keys").alias("band"))
-    shared = banded.groupBy("band").agg(F.min("id").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    met = materialize(banded.join(shared.select("band", "hub"), "band"), "bands")
+    banded = heads.select("id", F.explode("keys").alias("band"))
+    shared = banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    met = materialize(banded.join(shared, "band"), "bands")
+    # The class that meets most others leads a key: an original rather than one of its copies.
+    weight = met.groupBy("id").agg(F.sum("n").alias("weight"))
+    lead = met.select("id", "band").join(weight, "id").groupBy("band").agg(F.min_by("id", F.struct(-F.col("weight"), F.col("id"))).alias("hub"))
+    met = materialize(met.drop("n").join(lead, "band"), "bands")
 
     texts = ids.filter("id is not null")
-    hubs = heads.select(F.col("id").alias("b"), F.col("n_shingles").alias("n_b"))
-    first = met.filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"), F.col("n_shingles").alias("n_a")).distinct()
-    fitting = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
-    first = first.join(hubs, "b").filter(fitting).select("a", "b")
-    links = materialize(linked_pairs(first, texts, width, percent), "linked")
+    pairs = met.filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    linked = 100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))
+    compared = compared_pairs(pairs, texts, width, with_added=True).withColumn("linked", linked)
+    compared = materialize(compared, "compared")
+    links = compared.filter("linked").select("a", "b")
     named = components(links, "a", "b")
-
-    # Keys that still hold several components: compare what is outside the largest.
-    held = met.join(named.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    held = materialize(held.drop("hub"), "held")
-    mixed = held.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("band")
-    held = held.join(mixed, "band")
-    counts = held.groupBy("band", "component").agg(F.count("*").alias("n"))
-    largest = counts.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
-    held = held.join(largest, "band")
-    outside = held.filter("component <> largest").select("band", F.col("id").alias("b"), F.col("component").alias("other"), F.col("n_shingles").alias("n_b"))
-    second = (
-        held.withColumnRenamed("id", "a").withColumnRenamed("n_shingles", "n_a").join(outside, "band")
-        .filter("component <> other and (component = largest or a < b)")
-        .filter(fitting).select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    )
-    second = materialize(second, "pairs")
+    second = materialize(_left_to_compare(compared, named, percent), "pairs")
     if not second.isEmpty():
-        more = materialize(linked_pairs(second, texts, width, percent), "linked")
+        more = materialize(compared_pairs(second, texts, width).filter(linked).select("a", "b"), "linked")
         if not more.isEmpty():
             named = components(links.unionByName(more), "a", "b")
 
