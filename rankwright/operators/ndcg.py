@@ -88,3 +88,23 @@ def decide(summary: DataFrame, threshold: float, metric: str = "mean_ndcg_5") ->
     return summary.withColumn("threshold", F.lit(threshold)).withColumn(
         "decision", F.when(F.col(metric) >= threshold, "approve").otherwise("reject")
     )
+
+
+def early_stop(curve: DataFrame, value: str, patience: int) -> DataFrame:
+    """One row: the round boosting stops at and its best one, on a whole learning curve.
+
+    ``curve`` holds ``round`` from 1 on. A round improves if it beats all before it; the
+    first that ends ``patience`` rounds without an improvement is the last. A curve is as
+    long as the rounds allowed, so its one window partition is bounded by that setting.
+    """
+    order = Window.orderBy("round")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    improved = F.col(value) > F.coalesce(F.max(value).over(before), F.lit(float("-inf")))
+    seen = curve.withColumn("_own", F.when(improved, F.col("round"))).withColumn(
+        "_best", F.max("_own").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    stop = F.coalesce(F.min(F.when(F.col("round") - F.col("_best") >= patience, F.col("round"))), F.max("round"))
+    last = seen.agg(stop.alias("stop_round"))
+    return seen.join(F.broadcast(last), F.col("round") == F.col("stop_round")).select(
+        F.col("stop_round").cast("bigint").alias("stop_round"), F.col("_best").cast("bigint").alias("best_round")
+    )

@@ -199,6 +199,14 @@ def gather_lambdas(compared: DataFrame, parts: DataFrame) -> DataFrame:
     )
 
 
+def session_lambdas(scored: DataFrame, k: int) -> DataFrame:
+    """``pull`` and ``hessian`` of every row of sessions with a positive, under a given score."""
+    rows = _with_salt(scored).withColumn("is_train", F.lit(True))
+    stored = materialize(rows, "lambda-rows")
+    parts = materialize(_parts(stored, session_totals(stored, by=_PARTS), k), "lambda-parts")
+    return gather_lambdas(compare_with_leaders(stored, parts, k), parts)
+
+
 def _newton(pulled: DataFrame, l2: float) -> DataFrame:
     """The rows a tree is grown on: features, Newton step and its weight."""
     weight = F.greatest(F.col("hessian") + l2, F.lit(MIN_HESSIAN))

@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 from rankwright.config import POSITIVE_EVENTS, SESSION_START
 
 
-def positive_events(events: DataFrame) -> DataFrame:
-    """Events that make a sample positive, as a filter Parquet can apply itself."""
-    return events.where(F.col("event_type").isin(*POSITIVE_EVENTS))
-
-
 def session_context(events: DataFrame, products: DataFrame) -> DataFrame:
     """Events of a session on a known product, labelled positive or not.
 
@@ -34,6 +29,21 @@ def session_context(events: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+def met_products(events: DataFrame, products: DataFrame) -> DataFrame:
+    """``session_context`` with one row per session, user and product: first time, any positive.
+
+    Events combine before they are shuffled, and only what is left meets the catalog,
+    so neither a hot product nor a hot session moves its raw events.
+    """
+    met = (
+        events.where(F.col("session_id").isNotNull() & F.col("product_id").isNotNull())
+        .groupBy("session_id", "user_id", "product_id")
+        .agg(F.min("created_at").alias("created_at"), F.bool_or(F.col("event_type").isin(*POSITIVE_EVENTS)).alias("positive"))
+        .withColumn("event_type", F.when(F.col("positive"), F.lit(POSITIVE_EVENTS[0])).otherwise(F.lit("")))
+    )
+    return session_context(met.drop("positive"), products)
+
+
 def positive_samples(context: DataFrame) -> DataFrame:
     """Distinct positive (session, user, category, product) rows, label 1."""
     return (

@@ -37,9 +37,16 @@ TYPE_ALIASES = {
 DUPLICATE_KEY = ("order_id", "product_id", "user_id")
 
 
-def as_of_column(as_of: str | None) -> Column:
-    """The moment after which a record lies in the future."""
-    return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
+def as_of_column(orders: DataFrame, as_of: str | None) -> Column:
+    """The moment after which a record lies in the future: now, unless given.
+
+    Zone-less times are taken as UTC, so now is UTC there, whatever the session's zone.
+    """
+    if as_of is not None:
+        return F.lit(as_of).cast("timestamp_ntz")
+    if orders.schema["created_at"].dataType.simpleString() == "timestamp_ntz":
+        return F.expr("convert_timezone(current_timezone(), 'UTC', cast(current_timestamp() as timestamp_ntz))")
+    return F.current_timestamp()
 
 
 def _negative_price() -> Column:
@@ -63,7 +70,7 @@ def _valid_item() -> Column:
 
 
 def missing_values(order_items: DataFrame) -> DataFrame:
-    """One row: NULL counts of the critical columns, and of all of them the rate."""
+    """One row: NULL counts of the critical columns."""
     nulls = {
         "missing_users": F.count_if(F.col("user_id").isNull()),
         "missing_products": F.count_if(F.col("product_id").isNull()),
@@ -102,7 +109,7 @@ def broken_relations(order_items: DataFrame, parents: DataFrame, key: str, ignor
 
 
 def future_orders(orders: DataFrame, as_of: str | None = None) -> DataFrame:
-    return orders.where(F.col("created_at") > as_of_column(as_of))
+    return orders.where(F.col("created_at") > as_of_column(orders, as_of))
 
 
 def empty_names(products: DataFrame) -> DataFrame:
@@ -202,7 +209,7 @@ def validation_stats(tables: Tables, as_of: str | None = None, ignore_null_keys:
         tables.users.agg(F.count_if(_invalid_age()).alias("invalid_ages")),
         broken(tables.products, "product_id", "broken_product_relations"),
         broken(tables.users, "user_id", "broken_user_relations"),
-        tables.orders.agg(F.count_if(F.col("created_at") > as_of_column(as_of)).alias("data_leakage")),
+        tables.orders.agg(F.count_if(F.col("created_at") > as_of_column(tables.orders, as_of)).alias("data_leakage")),
         tables.products.agg(
             F.count_if(_empty_name()).alias("empty_product_names"),
             F.count_if(_invalid_product_price()).alias("invalid_product_prices"),

@@ -322,6 +322,36 @@ _ANSWERS = {
     "deploy_decision": """
         SELECT mean_ndcg_5, 65e-2 AS threshold,
                CASE WHEN mean_ndcg_5 >= 65e-2 THEN 'approve' ELSE 'reject' END AS decision FROM summary""",
+    "ranker_lambdas": """
+        SELECT * FROM (WITH ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, product_id, user_id) AS rank,
+                   sum(target_label) OVER (PARTITION BY qid) AS positives FROM scored),
+        own AS (SELECT *, CASE WHEN rank <= 10 THEN 1 / log2(1e0 + rank) ELSE 0 END AS discount,
+                       list_sum(list_transform(range(1, CAST(least(positives, 10) AS BIGINT) + 1), lambda p: 1 / log2(1e0 + p))) AS ideal
+                FROM ranked WHERE positives > 0),
+        pairs AS (
+            SELECT h.qid, h.user_id AS hu, h.product_id AS hp, l.user_id AS lu, l.product_id AS lp,
+                   1 / (1 + exp(h.score - l.score)) AS rho, abs(h.discount - l.discount) / h.ideal AS weight
+            FROM own h JOIN own l ON h.qid = l.qid AND h.target_label = 1 AND l.target_label = 0),
+        sides AS (
+            SELECT qid, hu AS user_id, hp AS product_id, rho * weight AS pull, rho * (1 - rho) * weight AS hessian FROM pairs
+            UNION ALL SELECT qid, lu, lp, -rho * weight, rho * (1 - rho) * weight FROM pairs)
+        SELECT o.qid, o.user_id, o.product_id, round(coalesce(sum(pull), 0), 6) AS pull, round(coalesce(sum(hessian), 0), 6) AS hessian
+        FROM own o LEFT JOIN sides s ON o.qid = s.qid AND o.user_id = s.user_id AND o.product_id = s.product_id
+        GROUP BY o.qid, o.user_id, o.product_id)""",
+    "early_stop": """
+        SELECT * FROM (WITH curve AS (SELECT day(created_at) AS round, count(*) AS value FROM fx_events GROUP BY 1),
+        marked AS (SELECT round, CASE WHEN value > coalesce(max(value) OVER (ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING
+                       AND 1 PRECEDING), -1) THEN round END AS own FROM curve),
+        best AS (SELECT round, max(own) OVER (ORDER BY round) AS best FROM marked),
+        last AS (SELECT coalesce(min(round) FILTER (round - best >= 5), max(round)) AS stop FROM best)
+        SELECT CAST(stop AS BIGINT) AS stop_round, CAST(best AS BIGINT) AS best_round FROM last JOIN best ON round = stop)""",
+    "ranker_check": """
+        SELECT count(*) AS rows_scored, count(DISTINCT qid) AS sessions, CAST(0 AS BIGINT) AS null_scores,
+               true AS better_than_constant, true AS same_after_reload FROM training""",
+    "end_to_end_check": """
+        SELECT count(*) AS stored_rows, CAST(11 AS BIGINT) AS metric_rows, CAST(8 AS BIGINT) AS catalog_rows, false AS gate_passed,
+               true AS model_kept_iff_approved FROM training""",
     # Feature tables
     "interaction_scores": """
         SELECT user_id, product_id, count(*) AS n_events, CAST(sum(weight) AS DOUBLE) AS score

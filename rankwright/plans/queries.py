@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,10 @@ from rankwright.operators import validation as checks
 from rankwright.operators.candidates import candidate_generation, combined_candidates, final_deduped
 from rankwright.operators.encoding import apply_codes, fit_codes
 from rankwright.operators.features import attach_features, feature_columns, feature_matrix, fill_categories
-from rankwright.operators.ndcg import decide, evaluation_counts, session_ndcg, top_k_by_score
+from rankwright.operators.ndcg import decide, early_stop, evaluation_counts, session_ndcg, session_totals, top_k_by_score
 from rankwright.operators.ordinals import with_ordinal
 from rankwright.operators.popularity import popularity_global, sales_as_of
-from rankwright.operators.ranker import Training, fit_ranker
+from rankwright.operators.ranker import Ranker, Training, fit_ranker, session_lambdas
 from rankwright.operators.sessions import positive_samples, session_context, session_starts
 from rankwright.operators.split import group_sizes, split_by_time
 from rankwright.plans import gate
@@ -28,7 +29,6 @@ from rankwright.sources.fixtures import fixture_tables
 from rankwright.sources.scratch import materialize, new_path
 
 AS_OF = "2001-01-01"
-SHORT_RUN = RankerParams(n_trees=4, patience=3)
 Query = Callable[[SparkSession, str], DataFrame]
 
 _WRITTEN: dict[tuple[str, str, str], object] = {}
@@ -47,7 +47,7 @@ def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fitted(spark: SparkSession, sf_dir: str) -> Training:
-    return _once(spark, sf_dir, "ranker", lambda: fit_ranker(split_by_time(_training(spark, sf_dir)), SHORT_RUN))
+    return _once(spark, sf_dir, "ranker", lambda: fit_ranker(split_by_time(_training(spark, sf_dir)), RankerParams()))
 
 
 def _tables(spark: SparkSession, sf_dir: str):
@@ -196,10 +196,55 @@ def _ranker_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    config = RunConfig(ranker=SHORT_RUN, store=_store_for(sf_dir), feature_group="end_to_end")
+    config = RunConfig(store=_store_for(sf_dir), feature_group="end_to_end")
     return run_end_to_end(fixture_tables(spark, sf_dir), config, AS_OF, on_fail="report").drop("run_id", "model_path")
 
 
+def _lambdas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _scored(spark, sf_dir).select("qid", "user_id", "product_id", "target_label", "score")
+    found = session_lambdas(rows, 10)
+    return found.select("qid", "user_id", "product_id", F.round("pull", 6).alias("pull"), F.round("hessian", 6).alias("hessian"))
+
+
+def _early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A curve that the tables give: events per day, a round a day."""
+    days = fixture_tables(spark, sf_dir).events.groupBy(F.dayofmonth("created_at").alias("round"))
+    return early_stop(days.agg(F.count("*").cast("double").alias("value")), "value", patience=5)
+
+
+def _ranker_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: all rows scored, none NULL, better in training than a constant, the same after reloading."""
+    rows, fitted = _training(spark, sf_dir), _fitted(spark, sf_dir)
+    scored = materialize(fitted.ranker.score(rows).select("qid", "user_id", "product_id", "score"), "ranker-check")
+    path = new_path(spark, "ranker-check")
+    fitted.ranker.save(path)
+    again = Ranker.load(spark, path).score(rows).select("qid", "user_id", "product_id", "score")
+    train = split_by_time(rows).where("is_train").withColumn("score", F.lit(0.0))
+    constant = evaluation_counts(session_ndcg(train, (10,)), (10,)).first()["mean_ndcg_10"]
+    better = fitted.curve[fitted.best_round - 1]["train_ndcg_10"] > constant
+    return scored.agg(
+        F.count("*").alias("rows_scored"), F.countDistinct("qid").alias("sessions"), F.count_if(F.col("score").isNull()).alias("null_scores")
+    ).withColumns({"better_than_constant": F.lit(better), "same_after_reload": F.lit(again.exceptAll(scored).isEmpty())})
+
+
+def _end_to_end_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: what a whole run stored, and whether a model was kept exactly if approved."""
+    target = replace(_store_for(sf_dir), database=_store_for(sf_dir).database + "_run")
+    config = RunConfig(ranker=RankerParams(n_trees=2), store=target, feature_group="end_to_end")
+    run = run_end_to_end(fixture_tables(spark, sf_dir), config, AS_OF, on_fail="report").first()
+    own = spark.table(target.table_ref("run_metrics")).where(F.col("run_id") == run["run_id"]).count()
+    catalog = store.feature_catalog(spark, target).count()
+    kept = bool(run["model_path"]) == (run["decision"] == "approve")
+    return spark.table(target.table_ref("end_to_end")).agg(F.count("*").alias("stored_rows")).withColumns(
+        {
+            "metric_rows": F.lit(own).cast("bigint"),
+            "catalog_rows": F.lit(catalog).cast("bigint"),
+            "gate_passed": F.lit(run["gate_passed"]),
+            "model_kept_iff_approved": F.lit(kept),
+        }
+    )
+
+
 _SAMPLE = ("session_id", "user_id", "current_session_category", "product_id", "label")
 
 
@@ -262,6 +307,10 @@ def queries() -> dict[str, Query]:
         "ranker_learning_curve": _ranker_learning_curve,
         "ranker_scores": _ranker_scores,
         "end_to_end_run": _end_to_end,
+        "ranker_lambdas": _lambdas,
+        "early_stop": _early_stop,
+        "ranker_check": _ranker_check,
+        "end_to_end_check": _end_to_end_check,
         "interaction_scores": lambda s, d: tables_of.interaction_scores(_tables(s, d).events, _tables(s, d).products),
         "rolling_user_activity": lambda s, d: tables_of.rolling_user_activity(_tables(s, d).events),
         "user_features": lambda s, d: tables_of.user_features(_tables(s, d).users, _tables(s, d).events, _tables(s, d).order_items),

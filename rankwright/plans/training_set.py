@@ -9,21 +9,18 @@ from rankwright.config import CANDIDATES_PER_CATEGORY, SESSION_START
 from rankwright.operators.candidates import labelled_samples
 from rankwright.operators.features import attach_features
 from rankwright.operators.popularity import top_products_as_of
-from rankwright.operators.sessions import positive_events, positive_samples, session_context, session_starts
+from rankwright.operators.sessions import met_products, positive_samples, session_starts
 from rankwright.sources.scratch import materialize
 from rankwright.sources.tables import Tables
 
 
 def dated_positives(tables: Tables) -> DataFrame:
-    """Positive samples with their session's start.
+    """Positive samples with their session's start, from one pass over the events.
 
-    Two narrow scans of the events rather than one wide one: the filter on
-    positive events reaches the first, and the second shuffles one row per
-    session, so neither moves the bulk of the events.
+    What a session met is written once: its positives and its start are read from there.
     """
-    positives = positive_samples(session_context(positive_events(tables.events), tables.products))
-    starts = session_starts(session_context(tables.events, tables.products))
-    return positives.join(starts, "session_id")
+    met = materialize(met_products(tables.events, tables.products), "met-products")
+    return positive_samples(met).join(session_starts(met), "session_id")
 
 
 def top_products(positives: DataFrame, tables: Tables, k: int = CANDIDATES_PER_CATEGORY) -> DataFrame:
