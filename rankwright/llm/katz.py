@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankwright.llm.common import ship_package
-from rankwright.llm.minhash import mix, word_hashes
+from rankwright.llm.minhash import hash_word, mix
 from rankwright.sources.scratch import materialize
 
 #: Pseudo-words; no word holds white space.
@@ -129,7 +129,7 @@ class _Numbered(dict):
 
 
 def _hash_of(word: bytes) -> np.uint64:
-    return np.uint64(word_hashes()[word])
+    return np.uint64(hash_word(word))
 
 
 def _pack48(x: np.ndarray) -> bytes:
@@ -168,7 +168,7 @@ def _split_pairs(documents: DataFrame, blocks: int, hot: dict[bytes, int]) -> Da
             raise ValueError("a document with over 33 million different words")
         key = np.sort((second << np.uint64(_ID_BITS + _DOC_BITS)) | (first << np.uint64(_DOC_BITS)) | doc)
         del second, first, doc
-        names = np.fromiter(map(word_hashes().__getitem__, numbers), np.uint64, len(numbers))
+        names = np.fromiter(map(hash_word, numbers), np.uint64, len(numbers))  # each once: nothing to remember
         doc = (key & np.uint64((1 << _DOC_BITS) - 1)).astype(np.uint16)
         pair = key >> np.uint64(_DOC_BITS)
         new = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
@@ -227,7 +227,8 @@ def _by_target(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[di
     target, rows = None, []
     for batch in batches:
         for i in range(batch.num_rows):
-            row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+            row = {name: batch.column(name)[i] for name in batch.schema.names}
+            row = {k: x.as_buffer() if pa.types.is_binary(x.type) else x.as_py() for k, x in row.items()}
             if row["target"] != target and rows:
                 yield target, rows
                 rows = []
@@ -256,6 +257,13 @@ def _by_context(blocks: int, contexts: np.ndarray) -> Iterator[tuple[int, np.nda
             yield target, at
 
 
+def _touched(docs: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The documents of a chunk that occur, and the sums of each value over their occurrences."""
+    n = int(docs.max()) + 1
+    at = np.flatnonzero(np.bincount(docs, minlength=n))
+    return at.astype("<u2"), [np.bincount(docs, weights=v, minlength=n)[at] for v in values]
+
+
 def _count_block(rows: list[dict], blocks: int, hot: dict[int, int], constant: float) -> Iterator[tuple]:
     """What a block of second words passes on.
 
@@ -267,67 +275,76 @@ def _count_block(rows: list[dict], blocks: int, hot: dict[int, int], constant: f
     """
     w2 = np.concatenate([np.repeat(np.frombuffer(r["a"], "<u8"), np.frombuffer(r["b"], "<u4")) for r in rows])
     w1 = np.concatenate([_unpack48(r["c"]) for r in rows])
-    counts = np.concatenate([np.frombuffer(r["d"], "<u4") for r in rows]).astype(np.int64)
-    docs, trains, base = [], [], 0
-    sizes = []
+    trained = []
     for r in rows:
-        docs.append(np.frombuffer(r["e"], "<u2").astype(np.int64) + base)
-        trains.append(np.unpackbits(np.frombuffer(r["f"], np.uint8)))
-        sizes.append(len(trains[-1]))
-        base += sizes[-1]
-    doc, train = np.concatenate(docs), np.concatenate(trains)
-    del docs
-    in_training = np.add.reduceat(train[doc].astype(np.int64), np.cumsum(counts) - counts)
-    pairs, pair_of = _grouped(mix(w2 ^ mix(w1)))
-    r_of = _sum_by(pair_of, in_training, len(pairs)).astype(np.int64)
-    words, word_of = _grouped(w2)
-    c_of = _sum_by(word_of, in_training, len(words)).astype(np.int64)
-    own_types = int((c_of > 0).sum())
-    for i in np.flatnonzero(np.isin(words, np.fromiter(hot, np.uint64, len(hot)))):
-        own_types -= int(c_of[i] > 0)  # words of several blocks are counted by the caller
-        c_of[i] = hot[int(words[i])]
-
-    r_at, c_at = r_of[pair_of], c_of[word_of]  # of each chunk's pairs
-    half = np.log10(c_at + 0.5)
-    # As a later token's context, a word divides by its count.
-    context = np.where(w2 == _hash_of(_END), 0.0, np.log10(np.maximum(c_at, 1)))
-    seen = np.where(r_at > TURING, np.log10(np.maximum(r_at - constant, 0.25)), 0.0)
-    score = np.where(r_at > 0, seen, half) - context
-    d, of = base, doc
-    each = [_sum_by(of, np.repeat(x, counts), d) for x in (half, score, c_at > 0, *(r_at == k for k in range(1, TURING + 1)), r_at == 0)]
-    at = 0
-    for r, size in zip(rows, sizes, strict=True):
-        part = [x[at : at + size] for x in each]
-        small = np.concatenate(part[2:]).astype("<u4").tobytes()
-        yield (r["chunk"] % blocks, 2, r["chunk"], part[0].tobytes(), part[1].tobytes(), small, b"", b"", b"")
-        at += size
-
-    missing = np.flatnonzero(np.repeat(r_at == 0, counts))
-    context_of = np.repeat(w1, counts)[missing]
-    chunk_of = np.repeat(np.array([r["chunk"] for r in rows], np.int64), [sum(np.frombuffer(r["d"], "<u4")) for r in rows])[missing]
-    start_of = np.repeat(np.cumsum([0, *sizes[:-1]]), [sum(np.frombuffer(r["d"], "<u4")) for r in rows])[missing]
-    local = (doc[missing] - start_of).astype("<u2")
-    for target, at_ in _by_context(blocks, context_of):
-        order = at_[np.argsort(chunk_of[at_], kind="stable")]
-        chunks, first = np.unique(chunk_of[order], return_index=True)
-        runs = np.diff(np.append(first, len(order)))
+        counts = np.frombuffer(r["d"], "<u4").astype(np.int64)
+        flags = np.unpackbits(np.frombuffer(r["f"], np.uint8))[np.frombuffer(r["e"], "<u2")]
+        trained.append(np.add.reduceat(flags, np.cumsum(counts) - counts, dtype=np.int32))
+    in_training = np.concatenate(trained)
+    del trained
+    ends = np.cumsum([len(r["d"]) // 4 for r in rows])
+
+    # Counts of pairs and words, a quarter of the words at a time to bound memory.
+    r_at, c_at = np.empty(len(w2), np.int32), np.empty(len(w2), np.int64)
+    own_types, of_counts, seen_pairs = 0, np.zeros(TURING + 1, np.int64), []
+    hot_words = np.fromiter(hot, np.uint64, len(hot))
+    quarter = (w2 >> np.uint64(13)) & np.uint64(3)
+    for part in range(4):
+        at = np.flatnonzero(quarter == part)
+        if not len(at):
+            continue
+        pairs, pair_of = _grouped(mix(w2[at] ^ mix(w1[at])))
+        r_of = _sum_by(pair_of, in_training[at], len(pairs)).astype(np.int32)
+        first_at = np.empty(len(pairs), np.int64)
+        first_at[pair_of] = at
+        words, word_of = _grouped(w2[at])
+        c_of = _sum_by(word_of, in_training[at], len(words)).astype(np.int64)
+        own_types += int((c_of > 0).sum())
+        for i in np.flatnonzero(np.isin(words, hot_words)):
+            own_types -= int(c_of[i] > 0)  # words of several blocks are counted by the caller
+            c_of[i] = hot[int(words[i])]
+        r_at[at], c_at[at] = r_of[pair_of], c_of[word_of]
+        of_counts += [int((r_of == k).sum()) for k in range(1, TURING + 2)]
+        seen_pairs.append(first_at[r_of > 0])
+
+    unseen: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for r, end in zip(rows, ends, strict=True):
+        own = slice(end - len(r["d"]) // 4, end)
+        counts, docs = np.frombuffer(r["d"], "<u4"), np.frombuffer(r["e"], "<u2")
+        r_own, c_own = r_at[own], c_at[own]
+        half = np.log10(c_own + 0.5)
+        # As a later token's context, a word divides by its count.
+        context = np.where(w2[own] == _hash_of(_END), 0.0, np.log10(np.maximum(c_own, 1)))
+        large = np.where(r_own > TURING, np.log10(np.maximum(r_own - constant, 0.25)), 0.0)
+        score = np.where(r_own > 0, large, half) - context
+        each = [half, score, c_own > 0, *(r_own == k for k in range(1, TURING + 1)), r_own == 0]
+        at, sums = _touched(docs, [np.repeat(x, counts) for x in each])
+        small = np.concatenate(sums[2:]).astype("<u4").tobytes()
+        yield (r["chunk"] % blocks, 2, r["chunk"], sums[0].tobytes(), sums[1].tobytes(), small, at.tobytes(), b"", b"")
+        missing = np.repeat(r_own == 0, counts)
+        unseen.append((np.repeat(w1[own], counts)[missing], docs[missing], np.full(int(missing.sum()), r["chunk"], np.int64)))
+
+    contexts, docs, chunks = (np.concatenate(x) for x in zip(*unseen, strict=True))
+    del unseen
+    for target, at in _by_context(blocks, contexts):
+        found, first = np.unique(chunks[at], return_index=True)  # chunks come in order
+        runs = np.diff(np.append(first, len(at)))
         yield (
-            target, 4, 0, _pack48(context_of[order]), local[order].tobytes(), chunks.tobytes(), runs.astype("<u4").tobytes(), b"", b"",
+            target, 4, 0, _pack48(contexts[at]), docs[at].astype("<u2").tobytes(), found.tobytes(), runs.astype("<u4").tobytes(), b"", b"",
         )
 
-    first_at = np.zeros(len(pairs), np.int64)
-    first_at[pair_of] = np.arange(len(pair_of))
-    known = r_of > 0
-    r, at_ = r_of[known], first_at[known]
-    contexts, context_index = _grouped(w1[at_])
+    at = np.concatenate(seen_pairs) if seen_pairs else np.empty(0, np.int64)
+    r, contexts, mass = r_at[at], w1[at], c_at[at] + 0.5
+    del w2, w1, r_at, c_at
+    contexts, index = _grouped(contexts)
     n = len(contexts)
-    mass = _sum_by(context_index, c_at[at_] + 0.5, n)
-    numbers = [_sum_by(context_index, r == k, n) for k in range(1, TURING + 1)]
-    numbers += [_sum_by(context_index, r > TURING, n), _sum_by(context_index, np.where(r > TURING, r, 0), n)]
+    mass = _sum_by(index, mass, n)
+    numbers = [_sum_by(index, r == k, n) for k in range(1, TURING + 1)]
+    numbers += [_sum_by(index, r > TURING, n), _sum_by(index, np.where(r > TURING, r, 0), n)]
     table = np.stack(numbers).astype("<u4")
-    for target, at_ in _by_context(blocks, contexts):
-        yield (target, 3, 0, _pack48(contexts[at_]), mass[at_].tobytes(), table[:, at_].tobytes(), b"", b"", b"")
-    totals = [*(int((r_of == k).sum()) for k in range(1, TURING + 2)), int(in_training.sum()), own_types]
+    for target, at in _by_context(blocks, contexts):
+        yield (target, 3, 0, _pack48(contexts[at]), mass[at].tobytes(), table[:, at].tobytes(), b"", b"", b"")
+    totals = [*of_counts.tolist(), int(in_training.sum()), own_types]
     yield (0, 5, 0, np.array(totals, "<i8").tobytes(), b"", b"", b"", b"", b"")
 
 
@@ -372,9 +389,10 @@ def _document_sums(rows: list[dict]) -> Iterator[tuple[np.ndarray, ...]]:
         sums, small = np.zeros((2, n)), np.zeros((TURING + 2, n))
         for r in parts:
             if r["kind"] == 2:
-                sums[0] += np.frombuffer(r["a"], "<f8")[:n]
-                sums[1] += np.frombuffer(r["b"], "<f8")[:n]
-                small += np.frombuffer(r["c"], "<u4").reshape(TURING + 2, -1)[:, :n]
+                at = np.frombuffer(r["d"], "<u2")
+                sums[0, at] += np.frombuffer(r["a"], "<f8")
+                sums[1, at] += np.frombuffer(r["b"], "<f8")
+                small[:, at] += np.frombuffer(r["c"], "<u4").reshape(TURING + 2, -1)
             elif r["kind"] == 6:
                 sums[1, np.frombuffer(r["a"], "<u2")] += np.frombuffer(r["b"], "<f8")
         yield ids, train, tokens, sums, small
@@ -417,7 +435,7 @@ def score_documents(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, group in _by_target(batches):
             pairs = [r for r in group if r["kind"] == 1]
-            passed = [tuple(r.values()) for r in group if r["kind"] == 0]
+            passed = [tuple(x.to_pybytes() if isinstance(x, pa.Buffer) else x for x in r.values()) for r in group if r["kind"] == 0]
             if passed:
                 yield _batch(passed)
             if pairs:
