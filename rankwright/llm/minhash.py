@@ -223,7 +223,9 @@ def _left_to_compare(compared: DataFrame, named: DataFrame, percent: int) -> Dat
     alone = side(near, "x").join(side(plain.drop("n_hub"), "y"), "hub").filter(other & fitting & reaches(most))
 
     edits = ones.withColumn("edit", F.explode("added")).drop("added")
-    agreed = side(edits.filter(~F.col("linked")), "x").join(side(edits.drop("n_hub"), "y"), ["hub", "edit"]).filter(other & fitting)
+    agreed = side(edits.filter(~F.col("linked")), "x").join(side(edits.drop("n_hub"), "y"), ["hub", "edit"])
+    added = [F.col(f"n_{c}") - F.col("n_hub_x") + F.col(f"lacks_{c}") for c in ("x", "y")]
+    agreed = agreed.filter(other & fitting & reaches(most + F.least(*added)))  # as if the smaller addition agreed whole
     counted = agreed.groupBy("hub", "id_x", "id_y", "n_x", "n_y", "n_hub_x", "lacks_x", "lacks_y").agg(F.count("*").alias("both"))
     together = counted.filter(reaches(most + F.col("both")))
     columns = [F.col("id_x").alias("a"), F.col("id_y").alias("b")]
