@@ -43,7 +43,7 @@ from rankwright.sources.scratch import materialize
 #: Pseudo-words; no word holds white space.
 _START, _END = b" start", b" end"
 #: Bounds of a chunk of documents, and the tokens of a block of words.
-CHUNK_DOCUMENTS, CHUNK_TOKENS, BLOCK_TOKENS = 8192, 4_000_000, 6_000_000
+CHUNK_DOCUMENTS, CHUNK_TOKENS, BLOCK_TOKENS = 8192, 2_000_000, 4_000_000
 #: Counts up to this one are discounted by Good and Turing's estimate.
 TURING = 5
 _ID_BITS, _DOC_BITS = 25, 14
@@ -80,7 +80,8 @@ def _frequent(documents: DataFrame, share: float) -> tuple[int, list[bytes]]:
 
     A task passes on the words with more than half that share of its own tokens, which
     is at most 2 / share of them; a word above the share overall is above half of it in
-    some task. The list is at most 1 / share long.
+    some task. The list is at most 1 / share long, by its condition. It only says which
+    words are dealt over several blocks; a word it lacks is counted like any other.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,7 +91,7 @@ def _frequent(documents: DataFrame, share: float) -> tuple[int, list[bytes]]:
                 found = _tokens(text)
                 seen.update(found)
                 total += len(found) + 1
-            if len(seen) > 1_000_000:  # words too rare to matter may go; a share only falls by this
+            if len(seen) > 300_000:  # words far below the share go; the list only directs rows, it counts nothing
                 seen = Counter({w: n for w, n in seen.items() if n > share / 4 * total})
         words = [w for w, n in seen.items() if n > share / 2 * total]
         yield pa.RecordBatch.from_arrays(
@@ -99,7 +100,7 @@ def _frequent(documents: DataFrame, share: float) -> tuple[int, list[bytes]]:
 
     summed = documents.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     total = summed.filter(F.col("word") == F.lit(bytearray(b" "))).agg(F.sum("n")).first()[0] or 0
-    found = summed.filter((F.col("n") > share * total) & (F.col("word") != F.lit(bytearray(b" ")))).limit(int(1 / share) + 1).collect()
+    found = summed.filter((F.col("n") > share * total) & (F.col("word") != F.lit(bytearray(b" ")))).collect()
     return total, sorted(bytes(r["word"]) for r in found)
 
 
