@@ -75,6 +75,15 @@ def _tokens(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def _texts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches in small slices, so few texts are Python objects at a time; then memory goes back."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        del batch
+    pa.default_memory_pool().release_unused()
+
+
 def _frequent(documents: DataFrame, share: float) -> tuple[int, list[bytes]]:
     """All tokens, and the words that make up more than ``share`` of them.
 
@@ -86,12 +95,12 @@ def _frequent(documents: DataFrame, share: float) -> tuple[int, list[bytes]]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, total = Counter(), 0
-        for batch in batches:
+        for batch in _texts(batches):
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 found = _tokens(text)
                 seen.update(found)
                 total += len(found) + 1
-            if len(seen) > 300_000:  # words far below the share go; the list only directs rows, it counts nothing
+            if len(seen) > 100_000:  # words far below the share go; the list only directs rows, it counts nothing
                 seen = Counter({w: n for w, n in seen.items() if n > share / 4 * total})
         words = [w for w, n in seen.items() if n > share / 2 * total]
         yield pa.RecordBatch.from_arrays(
@@ -110,7 +119,7 @@ def _counted(documents: DataFrame, words: list[bytes]) -> dict[bytes, int]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
-        for batch in batches:
+        for batch in _texts(batches):
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 seen.update(filter(wanted.__contains__, _tokens(text)))
         yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], ["word", "n"])
@@ -204,7 +213,7 @@ def _split_pairs(documents: DataFrame, blocks: int, hot: dict[bytes, int]) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
         ids, trains, lengths, tokens, numbers = [], [], [], array("I"), _Numbered()
-        for batch in batches:
+        for batch in _texts(batches):
             texts = batch.column(1).cast(pa.binary())
             for id_, text, train in zip(batch.column(0).to_pylist(), texts.to_pylist(), batch.column(2).to_pylist(), strict=True):
                 before = len(tokens)
@@ -442,6 +451,7 @@ def score_documents(
             if pairs:
                 for row in _count_block(pairs, blocks, hot_hashes, constant):
                     yield _batch([row])
+        pa.default_memory_pool().release_unused()
 
     counted = materialize(dealt(_split_pairs(rows, blocks, hot)).mapInArrow(count, _PAIRS), "counted")
 
