@@ -1,24 +1,27 @@
-"""Substring dedup by sliding sentence spans.
+"""Substring dedup by sliding sentence spans and windows of words.
 
 Sentences are slid over in runs: from every sentence the shortest run forward, and to
-every sentence the shortest run backward, that has enough sentences and words. All
-runs are hashed and joined globally; every occurrence of a repeated run but the first
-is marked, and the sentences it covers are removed. The first is the one with the
-smallest key and place. Runs in both directions let a passage be covered from its
-first to its last sentence.
-
-Very long sentences are cut into pieces of a set number of words, so that text
-without end marks has runs too.
+every sentence the shortest run backward, that has enough sentences and words. Beside
+them stand windows of the least number of words, whatever their sentences: of each few
+neighbouring ones the one with the smallest hash is taken, so two texts that share a
+long enough stretch take the same windows in it, wherever it lies and whatever
+sentences it is part of.
+
+All runs and windows are hashed and joined globally; every occurrence of a repeated
+one but the first goes, and with it the words to both sides that it has in common with
+the first. The first is the one with the smallest key and place. As words are added to
+both sides, backward runs, and runs so long that they hold a window, need not be joined.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +39,12 @@ class SpanRules:
     min_sentences: int = 3
     min_words: int = 40
     longest: int = 16  # words of a piece of a long sentence
+    sure: int = 51  # words from which a repeated stretch is found wherever it lies
+
+    @property
+    def neighbours(self) -> int:
+        """Windows of which one is taken: a stretch of `sure` words has as many."""
+        return self.sure - self.min_words + 1
 
 
 def sentences(text: str, longest: int) -> list[tuple[int, int, str]]:
@@ -55,72 +64,157 @@ def sentences(text: str, longest: int) -> list[tuple[int, int, str]]:
     return out
 
 
-def text_spans(text: str, rules: SpanRules) -> list[tuple[int, int, bytes]]:
-    """(start, end, digest of 12 bytes) of every run of a text, letters' case aside."""
-    parts = sentences(text, rules.longest)
-    n = len(parts)
-    if n < rules.min_sentences:
-        return []
-    counts = [p[2].count(" ") + 1 for p in parts]
-    buffer = b"".join(hashlib.blake2b(p[2].lower().encode("utf-8", "surrogatepass"), digest_size=16).digest() for p in parts)
-    runs = set()
-    last, total = 0, 0  # parts[first:last] have `total` words
+#: Odd, so it has an inverse modulo 2**64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+@lru_cache(1 << 17)
+def _word_hash(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.lower().encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _forward(counts: list[int], rules: SpanRules) -> Iterator[tuple[int, int]]:
+    """(first, last) of the shortest run from every part of ``counts`` words."""
+    last, total, n = 0, 0, len(counts)  # parts[first:last] have `total` words
     for first in range(n):
         while last < n and (last - first < rules.min_sentences or total < rules.min_words):
             total += counts[last]
             last += 1
         if last - first < rules.min_sentences or total < rules.min_words:
-            break
-        runs.add((first, last))
+            return
+        yield first, last
         total -= counts[first]
-    first, total = n, 0
-    for last in range(n, 0, -1):
-        while first > 0 and (last - first < rules.min_sentences or total < rules.min_words):
-            first -= 1
-            total += counts[first]
-        if last - first < rules.min_sentences or total < rules.min_words:
-            break
-        runs.add((first, last))
-        total -= counts[last - 1]
-    digest = hashlib.blake2b
-    return [(parts[a][0], parts[b - 1][1], digest(buffer[16 * a : 16 * b], digest_size=12).digest()) for a, b in sorted(runs)]
+
+
+def _probes(text: str, rules: SpanRules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first word and number of words of every run and window that is joined."""
+    parts = sentences(text, rules.longest)
+    words = [w for p in parts for w in p[2].split(" ")]
+    n, k = len(words), rules.min_words
+    if n < k:
+        none = np.empty(0, np.int64)
+        return none.astype(np.uint64), none, none
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(np.fromiter(map(_word_hash, words), np.uint64, n) * _powers(_BASE, n), out=sums[1:])
+    back = _powers(_INVERSE, n)
+
+    counts = [p[2].count(" ") + 1 for p in parts]
+    edges = [0, *np.cumsum(counts).tolist()]
+    places = {(edges[a], edges[b] - edges[a]) for a, b in _forward(counts, rules) if edges[b] - edges[a] < rules.sure}
+    if n >= rules.sure:
+        hashes = _mixed((sums[k:] - sums[: n - k + 1]) * back[: n - k + 1])
+        near = np.lib.stride_tricks.sliding_window_view(hashes, rules.neighbours)
+        places.update((i, k) for i in np.unique(near.argmin(axis=1) + np.arange(len(near))).tolist())
+    at, size = np.array(sorted(places), np.int64).reshape(-1, 2).T
+    return _mixed((sums[at + size] - sums[at]) * back[at] + size.astype(np.uint64)), at, size
+
+
+def _digest(words: list[str], size: int) -> bytes:
+    return hashlib.blake2b(" ".join(words).lower().encode("utf-8", "surrogatepass"), digest_size=size).digest()
+
+
+def text_spans(text: str, rules: SpanRules) -> list[tuple[int, int, bytes]]:
+    """(start, end, digest of 12 bytes) of every run and window of a text, letters' case aside."""
+    counts = [p[2].count(" ") + 1 for p in sentences(text, rules.longest)]
+    n = len(counts)
+    edges = [0, *np.cumsum(counts).tolist()]
+    runs = {(edges[a], edges[b]) for a, b in _forward(counts, rules)}
+    runs |= {(edges[n - b], edges[n - a]) for a, b in _forward(counts[::-1], rules)}
+    _, at, size = _probes(text, rules)
+    runs.update(zip(at.tolist(), (at + size).tolist(), strict=True))
+    words, starts = text.split(), _word_starts(text)
+    return [(starts[a], starts[b], _digest(words[a:b], 12)) for a, b in sorted(runs)]
+
+
+def _word_starts(text: str) -> list[int]:
+    """Where each word starts, the first at 0, and the text's end."""
+    return [0, *[m.start() for m in _WORD.finditer(text)][1:], len(text)]
 
 
 def document_spans(documents: DataFrame, rules: SpanRules) -> DataFrame:
-    """All runs of (``id``, ``text``): the digest as ``k1``, ``k2``, and code-point offsets."""
+    """What is joined of (``id``, ``text``): the hash as ``k1``; first word and number of words in ``place``."""
     ship_package(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids, k1, k2, starts, ends = [], [], [], [], []
                 for id_, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    for start, end, digest in text_spans(text, rules):
-                        a, b = struct.unpack("<qi", digest)
-                        ids.append(id_), k1.append(a), k2.append(b), starts.append(start), ends.append(end)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(k1, pa.int64()), *(pa.array(x, pa.int32()) for x in (k2, starts, ends))],
-                    ["id", "k1", "k2", "start", "end"],
-                )
+                    keys, first, size = _probes(text, rules)
+                    if len(keys):
+                        columns = [np.full(len(keys), id_, np.int64), keys.view(np.int64), first << 16 | size]
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["id", "k1", "place"])
 
-    return documents.mapInArrow(run, "id long, k1 long, k2 int, start int, end int")
+    return documents.mapInArrow(run, "id long, k1 long, place long")
+
+
+def _occurrences(documents: DataFrame, rules: SpanRules) -> DataFrame:
+    """Digest, offsets and nearby words of each of the ``places`` of (``id``, ``text``).
+
+    ``left`` and ``right`` are hashes of the words to both sides, nearest first;
+    ``starts`` and ``ends`` where a span would start or end with that many of them.
+    """
+    reach = rules.neighbours
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                id_, text, places = (batch.column(c)[i].as_py() for c in range(3))
+                words, at = text.split(), _word_starts(text)
+                rows = []
+                for place in sorted(set(places)):
+                    a, b = place >> 16, (place >> 16) + (place & 65535)
+                    if b > len(words):  # of another text with this key
+                        continue
+                    digest = _digest(words[a:b], 16)
+                    low, high = max(0, a - reach), min(len(words), b + reach)
+                    left, right = ([_word_hash(w) for w in x] for x in (words[low:a][::-1], words[b:high]))
+                    rows.append((id_, digest, at[a], at[b], left, right, at[low:a][::-1], at[b + 1 : high + 1]))
+                for k in range(0, len(rows), 1024):
+                    ids, digests, starts, ends, *lists = zip(*rows[k : k + 1024], strict=True)
+                    columns = [pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())]
+                    columns += [pa.array([np.array(x, np.uint64).view(np.int64) for x in y], pa.list_(pa.int64())) for y in lists[:2]]
+                    columns += [pa.array(y, pa.list_(pa.int32())) for y in lists[2:]]
+                    yield pa.RecordBatch.from_arrays(columns, ["id", "digest", "start", "end", "left", "right", "starts", "ends"])
+
+    kinds = "left array<long>, right array<long>, starts array<int>, ends array<int>"
+    return documents.select("id", "text", "places").mapInArrow(run, f"id long, digest binary, start int, end int, {kinds}")
 
 
 def repeated_ranges(documents: DataFrame, rules: SpanRules) -> DataFrame:
-    """``id`` and sorted ``ranges`` (start, end) of what repeats an earlier run.
+    """``id`` and sorted ``ranges`` (start, end) of what repeats an earlier run or window.
 
-    Half of the digest finds the candidates: its counts combine before the shuffle.
-    Only occurrences of those travel on, so a passage in a third of all documents is
-    one counted key and then rows of a join, which adaptive skew splitting divides.
+    Hashes of 64 bits find the candidates: their counts combine before the shuffle.
+    Only candidates travel on to be compared by digests of 128 bits, so a passage in a
+    third of all documents is one counted key and then rows of a join, which adaptive
+    skew splitting divides. Each is compared word by word with the first occurrence
+    of its digest; words that only a later one shares with it stay.
     """
-    spans = document_spans(documents, rules)
-    known = materialize(spans, "spans")
+    known = materialize(document_spans(documents, rules), "spans")
     often = known.groupBy("k1").agg(F.count("*").alias("n")).filter("n > 1").select("k1")
-    again = materialize(known.join(often, "k1"), "spans")
-    first = again.groupBy("k1", "k2").agg(F.min(F.struct("id", "start", "end")).alias("first"), F.count("*").alias("n"))
-    later = again.join(first.filter("n > 1"), ["k1", "k2"]).filter(F.struct("id", "start", "end") != F.col("first"))
-    return later.groupBy("id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("ranges"))
+    places = known.join(often, "k1").groupBy("id").agg(F.collect_list("place").alias("places"))
+    again = materialize(_occurrences(documents.join(places, "id"), rules), "spans")
+    first = again.groupBy("digest").agg(F.min(F.struct("id", "start", "end", "left", "right")).alias("first"), F.count("*").alias("n"))
+    later = again.join(first.filter("n > 1"), "digest").filter("id != first.id or start != first.start")
+    same = "array_position(zip_with({0}, first.{0}, (a, b) -> a <=> b), false)"
+    shared = later.withColumns({f"n_{x}": F.expr(f"if({same.format(x)} = 0, size({x}), {same.format(x)} - 1)") for x in ("left", "right")})
+    grown = shared.selectExpr(
+        "id", "if(n_left = 0, start, starts[int(n_left - 1)]) as start", "if(n_right = 0, end, ends[int(n_right - 1)]) as end"
+    )
+    return grown.groupBy("id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("ranges"))
 
 
 def remove_repeats(

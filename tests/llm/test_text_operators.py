@@ -188,3 +188,23 @@ def test_main_text(spark):
     assert out[4][1] == ("Long text of an unmarked page. " * 6).strip() + "\nShort."
     assert out[5][1] == "bare text" and out[7][2] == 200_000 * 5 - 1
     assert html.extract_pages(table.limit(0)).count() == 0
+
+
+def words_of(seed, n):
+    return prose(seed, n)[:-1].split()
+
+
+def test_spans_find_passages_at_any_offset_and_inside_other_sentences(spark):
+    shared = words_of(300, 500)
+    texts = [" ".join(shared)] + [" ".join(words_of(301 + i, i) + shared + words_of(340 + i, 7)) for i in range(1, 18)]
+    kept = ["", *(" ".join(words_of(301 + i, i) + words_of(340 + i, 7)) for i in range(1, 18))]
+    for at, sizes in enumerate(([20] * 3, [30] * 2, [15] * 4, [51])):
+        passage = " ".join(prose(400 + 10 * at + i, n) for i, n in enumerate(sizes))
+        passage = passage[:-1]
+        for k in range(3):
+            seed = 500 + 20 * at + 2 * k
+            texts.append(f"{prose(seed, 9 + k)[:-1]} {passage} {prose(seed + 1, 11)}")
+            kept.append(f"{prose(seed, 9 + k)[:-1]} {prose(seed + 1, 11)}" if k else texts[-1])
+    kept[0] = texts[0]
+    rows = {r.doc_id: r.clean_text for r in spans.remove_repeats(docs(spark, *texts)).collect()}
+    assert [rows[i] for i in range(len(texts))] == kept
