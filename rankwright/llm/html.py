@@ -40,15 +40,25 @@ _CONTAINER = frozenset(
 )
 _NOT_TEXT = frozenset("aside button dialog footer form menu nav".split())
 _ARTICLE = frozenset(("article", "main"))
-_NAMES = re.compile(r"(?:\bclass|\bid|\brole)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
-#: Words in class, id or role names of what is not the article.
+#: Elements whose name and attributes say nothing about their text.
+_NEVER = frozenset("html body main article".split())
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
+#: Class, id or role names of what is not the article.
 _OTHER = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb"
     " breadcrumbs sidebar side footer masthead cookie cookies consent notice notices alert popup modal newsletter subscribe signup"
     " login search share sharing social related recommended comment comments respond reply replies disqus pagination pager toolbar"
     " widget complementary contentinfo skip".split()
 )
+#: Words that say nothing beside those: a name of several words must have no others.
+_NEUTRAL = frozenset(
+    "area articles bar block bottom box button buttons container content form global icons inner item items left link links list lists main"
+    " page post posts primary right secondary section sections site sub text top wrap wrapper".split()
+)
+#: Words that say it as the first or last of any name, but for one that says what a page has or lacks.
+_EDGES = frozenset("ad ads advert adverts advertisement advertising nav navbar navigation menu breadcrumb breadcrumbs".split())
+_ABOUT = frozenset("has no with without is not".split())
 
 
 @dataclass(frozen=True)
@@ -59,37 +69,56 @@ class BlockRules:
     link_cost: float = 2.0  # weight lost per linked character where it is not
 
 
+def _names_other(name: str, in_article: bool) -> bool:
+    parts = [x for x in re.split(r"[^a-z]+", name) if x]
+    other = [x for x in parts if x in _OTHER or x == "header" and not in_article]
+    if not other or not _ABOUT.isdisjoint(parts):
+        return False
+    return parts[0] in _EDGES or parts[-1] in _EDGES or all(x in other or x in _NEUTRAL for x in parts)
+
+
 def _other(tag: str, attrs: str, in_article: bool) -> bool:
+    """Whether an element is not the article by its tag, its names or as hidden."""
+    if tag in _NEVER:
+        return False
     if tag in _NOT_TEXT or (tag == "header" and not in_article):
         return True
     if not attrs:
         return False
-    names = [x for m in _NAMES.findall(attrs) for x in re.split(r"[^a-z]+", " ".join(m).lower())]
-    if "header" in names and not in_article:
-        return True
-    return not _OTHER.isdisjoint(names) or bool(_HIDDEN.search(attrs))
+    for m in _ATTRIBUTE.finditer(attrs):
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name == "hidden" and value != "false" or name == "style" and _NO_DISPLAY.search(value):
+            return True
+        # The id of a heading or another line is an anchor made of its words.
+        if name in ("class", "role") or name == "id" and tag in _CONTAINER:
+            if any(_names_other(x, in_article) for x in value.split()):
+                return True
+    return False
 
 
 def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     """(text, linked characters, in the article) of each line; whether an article is marked.
 
-    Lines of other elements are there with an empty text, so they count as a gap.
+    Lines of other elements are there with an empty text, so they count as a gap. An
+    element that holds more than half of the page's text is not judged, but by its
+    tag if that is a menu's, footer's or dialog's.
     """
-    lines: list[tuple[str, int, bool]] = []
+    found: list[tuple[str, int, int, tuple[int, ...]]] = []  # text, linked, open articles, open judged elements
     buffer: list[str] = []
-    linked = other = articles = links = 0  # open elements of each kind
-    marked = False
-    stack: list[tuple[str, bool]] = []  # tag, whether it holds other text
-    passing = False  # a line element with other text that ends with its line
+    linked = articles = links = 0
+    judged: list[bool] = []  # of each judged element: whether it may be the article by its share
+    opened: list[int] = []  # the judged elements that are open
+    stack: list[tuple[str, bool]] = []  # tag, whether it is judged
+    passing = -1  # a judged line element, which ends with its line
 
     def end_line() -> None:
         nonlocal linked, passing
         if buffer:
             text = " ".join(html.unescape("".join(buffer)).split())
             if text:
-                lines.append((text if not other and not passing else "", linked, articles > 0))
+                found.append((text, linked, articles, (*opened, passing) if passing >= 0 else tuple(opened)))
             buffer.clear()
-        linked, passing = 0, False
+        linked, passing = 0, -1
 
     for m in _TOKEN.finditer(page):
         tag = m["tag"]
@@ -109,7 +138,8 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             if any(t == tag for t, _ in stack):
                 while stack:
                     t, bad = stack.pop()
-                    other -= bad
+                    if bad:
+                        opened.pop()
                     articles -= t in _ARTICLE
                     links -= t == "a"
                     if t == tag:
@@ -118,17 +148,26 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         if tag in _VOID or attrs.rstrip().endswith("/") and tag not in _CONTAINER:
             continue
         bad = _other(tag, attrs, articles > 0)
+        if bad:
+            judged.append(tag not in _NOT_TEXT or tag == "form")
         if tag in _CONTAINER:
             stack.append((tag, bad))
-            other += bad
-            if tag in _ARTICLE:
-                articles += 1
-                marked = marked or not other
+            if bad:
+                opened.append(len(judged) - 1)
+            articles += tag in _ARTICLE
             links += tag == "a"
         elif bad:
-            passing = True
+            passing = len(judged) - 1
     end_line()
-    return lines, marked
+
+    total, held = 0, [0] * len(judged)
+    for text, _, _, inside in found:
+        total += len(text)
+        for i in inside:
+            held[i] += len(text)
+    other = {i for i, size in enumerate(held) if not judged[i] or 2 * size <= total}
+    lines = [(text if other.isdisjoint(inside) else "", linked, articles > 0) for text, linked, articles, inside in found]
+    return lines, any(text and inside for text, _, inside in lines)
 
 
 def main_text(page: str, rules: BlockRules = BlockRules()) -> str:

@@ -208,3 +208,23 @@ def test_spans_find_passages_at_any_offset_and_inside_other_sentences(spark):
     kept[0] = texts[0]
     rows = {r.doc_id: r.clean_text for r in spans.remove_repeats(docs(spark, *texts)).collect()}
     assert [rows[i] for i in range(len(texts))] == kept
+
+
+ARTICLE = "<h1>Title of it</h1><p>" + "A sentence of the article stands here. " * 9 + "</p><p>Its last words.</p>"
+ARTICLE_TEXT = "Title of it\n" + ("A sentence of the article stands here. " * 9).strip() + "\nIts last words."
+
+
+@pytest.mark.parametrize(
+    "before",
+    ['<body class="has-sidebar">', '<body class="no-sidebar search">', '<body><div class="elementor-widget-text-editor">', '<div class="overflow-hidden">',
+     '<div style="overflow: hidden">', '<article class="post related">', '<main id="widget">', '<div class="side">', '<div data-x="hidden">'],
+)
+def test_names_do_not_lose_the_article(before):
+    assert html.main_text(f"<html>{before}{ARTICLE}") == ARTICLE_TEXT
+
+
+def test_sections_and_headings_whose_anchors_sound_like_menus_stay():
+    page = f'<article>{ARTICLE}<section id="related-work"><h2 id="search-algorithms">Search</h2><p>Words.</p></section>'
+    assert html.main_text(page) == f"{ARTICLE_TEXT}\nSearch\nWords."
+    for other in ('class="main-menu"', 'class="ad-slot-7"', 'class="related-posts"', "hidden", 'style="color:red; display:none"', 'role="search"'):
+        assert html.main_text(f"<article>{ARTICLE}<div {other}>Other words</div></article>") == ARTICLE_TEXT
