@@ -22,11 +22,17 @@ from rankwright.llm.common import ship_package
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|head)\b(?!-).*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>"
     r"|[^<]+|<",
     re.DOTALL | re.IGNORECASE,
 )
+#: Elements without text of the page; the first two run to its end if they are not closed.
+_RAW = {
+    tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE)
+    for tag in "script style title noscript template svg math iframe object canvas textarea select".split()
+}
+_TO_THE_END = frozenset(("script", "style"))
+_SELF_CLOSED = re.compile(r"(?:^|[\s\"']|(?:^|\s)[^\s=]+)/\s*\Z")
 #: Elements that end a line of text where they begin and end.
 _BLOCK = frozenset(
     "address article aside blockquote body br button caption dd details dialog div dl dt fieldset figcaption figure footer form"
@@ -67,6 +73,7 @@ class BlockRules:
     surge: int = 1  # weight a window needs to begin text where the article is marked
     surge_unmarked: int = 86  # where it is not
     link_cost: float = 2.0  # weight lost per linked character where it is not
+    menu_share: float = 0.8  # linked characters per character from which a line is a menu's
 
 
 def _names_other(name: str, in_article: bool) -> bool:
@@ -120,10 +127,12 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             buffer.clear()
         linked, passing = 0, -1
 
-    for m in _TOKEN.finditer(page):
+    at, unclosed = 0, set()
+    while m := _TOKEN.match(page, at):
+        at = m.end()
         tag = m["tag"]
         if tag is None:
-            if m["raw"] or m[0].startswith("<!") or m[0].startswith("<?"):
+            if m[0].startswith("<!") or m[0].startswith("<?"):
                 if m["cdata"]:
                     buffer.append(html.escape(m["cdata"], quote=False))
                 continue
@@ -132,6 +141,15 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
                 linked += len(m[0])
             continue
         tag, attrs = tag.lower(), m["attrs"] or ""
+        if tag in _RAW:
+            if not m["close"] and tag not in unclosed and not _SELF_CLOSED.search(attrs):
+                if end := _RAW[tag].search(page, at):
+                    at = end.end()
+                elif tag in _TO_THE_END:
+                    break
+                else:
+                    unclosed.add(tag)
+            continue
         if tag in _BLOCK:
             end_line()
         if m["close"]:
@@ -173,17 +191,17 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
 def main_text(page: str, rules: BlockRules = BlockRules()) -> str:
     """The main text, one line per block; empty if there is none."""
     lines, marked = page_lines(page)
-    if marked:
-        weights = [len(text) if inside else 0 for text, _, inside in lines]
-        need = rules.surge
-    else:
-        weights = [max(0, int(len(text) - rules.link_cost * linked)) for text, linked, _ in lines]
-        need = rules.surge_unmarked
-    n, k = len(weights), rules.window
-    total, sums = sum(weights[:k]), []
-    for i in range(n):
-        sums.append(total)
-        total += (weights[i + k] if i + k < n else 0) - weights[i]
+    weights = [max(0, int(len(text) - rules.link_cost * linked)) for text, linked, _ in lines]
+    inside = [len(text) if article else 0 for text, _, article in lines]
+    if marked and sum(inside) >= sum(w for w, (_, _, article) in zip(weights, lines, strict=True) if not article):
+        weights, need = inside, rules.surge
+        lasting = weights
+    else:  # no mark, or one on less of the page than lies outside of it
+        marked, need = False, rules.surge_unmarked
+        # A line with more than a few words of its own does not end the text.
+        lasting = [len(text) if linked < rules.menu_share * len(text) else 0 for text, linked, _ in lines]
+    sums, ahead = _window_sums(weights, rules.window), _window_sums(lasting, rules.window)
+    n = len(weights)
     if sums and max(sums) < need:  # a page of short lines only: any text begins it
         need = 1
     kept, i = [], 0
@@ -191,13 +209,22 @@ def main_text(page: str, rules: BlockRules = BlockRules()) -> str:
         if sums[i] < need or not weights[i]:
             i += 1
             continue
-        while i < n and sums[i]:  # from the surge until the window has dived to nothing
-            if weights[i]:
+        while i < n and ahead[i]:  # from the surge until the window has dived to nothing
+            if lines[i][0] and (weights[i] or not marked):
                 kept.append(lines[i][0])
             i += 1
     return "\n".join(kept)
 
 
+def _window_sums(weights: list[int], k: int) -> list[int]:
+    """The sum of the window of ``k`` lines that begins at each line."""
+    total, sums = sum(weights[:k]), []
+    for i, weight in enumerate(weights):
+        sums.append(total)
+        total += (weights[i + k] if i + k < len(weights) else 0) - weight
+    return sums
+
+
 def extract_pages(
     pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", rules: BlockRules = BlockRules()
 ) -> DataFrame:

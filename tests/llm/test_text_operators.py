@@ -228,3 +228,28 @@ def test_sections_and_headings_whose_anchors_sound_like_menus_stay():
     assert html.main_text(page) == f"{ARTICLE_TEXT}\nSearch\nWords."
     for other in ('class="main-menu"', 'class="ad-slot-7"', 'class="related-posts"', "hidden", 'style="color:red; display:none"', 'role="search"'):
         assert html.main_text(f"<article>{ARTICLE}<div {other}>Other words</div></article>") == ARTICLE_TEXT
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>T</title><meta charset=utf-8><body>{ARTICLE}",
+        f'<head><script>var t = "<p>no</p>";</script><link rel=x>{ARTICLE}',
+        f"<svg width='1' />{ARTICLE}<object data=x>", f"<svg/><select name=x>{ARTICLE}<svg><text>no</text></svg>",
+        f"{ARTICLE}<script>var t = '<p>no</p>'",
+    ],
+)
+def test_unclosed_and_self_closed_elements_lose_nothing(page):
+    assert html.main_text(page) == ARTICLE_TEXT
+
+
+def test_teasers_marked_as_articles_do_not_hide_the_text():
+    teasers = "".join(f'<article class="card"><a href="/{i}">Teaser {i}</a></article>' for i in range(3))
+    assert html.main_text(f"<body><div>{ARTICLE}</div>{teasers}").startswith(ARTICLE_TEXT)
+    assert html.main_text(f"<body><p>Site of a name</p><article>{ARTICLE}</article>") == ARTICLE_TEXT
+
+
+def test_lines_with_many_links_stay_within_an_unmarked_text():
+    items = [f'<li>Read more <a href="/{i}">in this part {i}</a></li>' for i in range(6)]
+    out = html.main_text(f"<div>{ARTICLE}<ul>{''.join(items)}</ul>{ARTICLE}</div>")
+    assert out == "\n".join([ARTICLE_TEXT, *(f"Read more in this part {i}" for i in range(6)), ARTICLE_TEXT])
