@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rankwright.llm.common import word_bpe_path
 from rankwright.llm.minhash import near_duplicates
 from rankwright.llm.packing import pack_documents
-from rankwright.llm.quality import judge_documents
+from rankwright.llm.quality import CORPUS_RULES, judge_documents
 from rankwright.llm.spans import remove_repeats
 from rankwright.sources.scratch import materialize
 
@@ -23,7 +23,7 @@ def _with_text(docs: DataFrame, column: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass, with the lines that passed."""
-    return _with_text(judge_documents(docs.select(*COLUMNS)).filter("kept"), "clean_text")
+    return _with_text(judge_documents(docs.select(*COLUMNS), CORPUS_RULES).filter("kept"), "clean_text")
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

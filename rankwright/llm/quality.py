@@ -35,6 +35,24 @@ class LineRules:
     sentence_end: str = r"[.!?…。！？:;][\"'”’»)\]]*$"
     prose_from: int = 12  # words from which a line may also break off
     max_lost: float = 0.5  # of the document's words
+    free_symbols: int | None = None  # groups of `symbols` behind a line's mark that count nothing; None counts each sign
+    boilerplate_below: int | None = None  # words from which a line is no boilerplate
+    boilerplate_share: float = 0.0  # characters of `boilerplate` per character of the line
+    goes_on: int | None = None  # lines below in which a line's sentence may end
+    wrapped_from: int = 4  # words from which a line goes on whatever sign the next begins with
+    mark: str = r"^\s*([-*+•>]|#{1,6}|[0-9]{1,3}[.)])\s+"  # of a list item, a heading, a quotation
+
+
+#: For whole corpora: what clean one-line, wrapped, listed and Markdown texts have passes.
+#: ``op6_line_rules`` keeps the plain rules, which its SQL states.
+CORPUS_RULES = LineRules(
+    boilerplate=r"all rights reserved|terms (of use|and conditions)|privacy policy|use of cookies|accept cookies"
+    r"|enable javascript|lorem ipsum|^\W*(licensed under|released under|this work is licensed under).*",
+    free_symbols=2,
+    boilerplate_below=25,
+    boilerplate_share=0.3,
+    goes_on=8,
+)
 
 
 def base_counts(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -94,20 +112,49 @@ def _count(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
 
-def line_fault(line: Column, rules: LineRules) -> Column:
-    """The first rule a line breaks, or null if it passes. Blank lines pass."""
+def line_fault(line: Column, rules: LineRules, goes_on: Column | None = None) -> Column:
+    """The first rule a line breaks, or null if it passes. Blank lines pass.
+
+    ``goes_on``: whether the lines below end the line's sentence.
+    """
     n = F.size(words(line))
+    if rules.free_symbols is None:
+        symbols = _count(line, rules.symbols) > rules.max_symbols * n
+    else:
+        groups = F.regexp_count(F.regexp_replace(line, rules.mark, ""), F.lit(f"{rules.symbols}+"))
+        symbols = (groups > rules.free_symbols) & (groups > rules.max_symbols * n)
+    boilerplate = line.rlike(f"(?i){rules.boilerplate}")
+    if rules.boilerplate_below is not None:
+        boilerplate = (n < rules.boilerplate_below) & boilerplate
+    if rules.boilerplate_share:
+        boilerplate &= _count(line, f"(?i){rules.boilerplate}") >= rules.boilerplate_share * F.length(line)
+    unended = (n < rules.prose_from) & ~F.rtrim(line).rlike(rules.sentence_end)
+    if goes_on is not None:
+        unended &= ~goes_on
     return (
         F.when(n == 0, None)
-        .when(_count(line, rules.symbols) > rules.max_symbols * n, "symbols")
+        .when(symbols, "symbols")
         .when(line.rlike(f"(?i){rules.navigation}"), "navigation")
-        .when(line.rlike(f"(?i){rules.boilerplate}"), "boilerplate")
-        .when((n < rules.prose_from) & ~F.rtrim(line).rlike(rules.sentence_end), "punctuation")
+        .when(boilerplate, "boilerplate")
+        .when(unended, "punctuation")
         .when((n >= rules.ends_from) & (F.regexp_count(line, F.lit("[.!?]+")) > rules.max_ends * n), "shouting")
         .when((n >= rules.distinct_from) & (F.size(F.array_distinct(words(line))) < rules.min_distinct * n), "repetition")
     )
 
 
+def _goes_on(line: Column, i: Column, rules: LineRules) -> Column:
+    """Whether line ``i`` of ``_lines`` is marked, or its sentence ends in the lines below.
+
+    Those are the next few up to a blank one. Either the next begins with a small
+    letter, or the line has the words of a wrapped line or a verse.
+    """
+    below = F.slice("_ends", i + 2, rules.goes_on)
+    ended = F.aggregate(below, F.lit(0), lambda done, x: F.when(done != 0, done).otherwise(x)) == 1
+    size = F.size(words(line))
+    follows = F.get(F.col("_lines"), i + 1).rlike(r"^\W*\p{Ll}") | (size >= rules.wrapped_from)
+    return (line.rlike(rules.mark) & (size > 2)) | (ended & F.coalesce(follows, F.lit(False)))
+
+
 def clean_lines(documents: DataFrame, rules: LineRules = LineRules(), text: str = "text") -> DataFrame:
     """``documents`` with ``clean_text``, ``kept_words``, ``line_faults`` and ``line_verdict``.
 
@@ -116,10 +163,23 @@ def clean_lines(documents: DataFrame, rules: LineRules = LineRules(), text: str
     A text without words, null included, loses nothing and passes; its clean text is
     empty. Repeated rows are judged alike. Row-wise: nothing is shuffled.
     """
-    verdicts = F.transform(F.split(whole_text(text), "\n"), lambda line: F.struct(line.alias("line"), line_fault(line, rules).alias("fault")))
+    lines = F.split(whole_text(text), "\n")
+    counted = documents.withColumn("_n", F.size(words(whole_text(text))))
+    if rules.goes_on is None:
+        verdicts = F.transform(lines, lambda line: F.struct(line.alias("line"), line_fault(line, rules).alias("fault")))
+    else:
+        ended = F.transform(
+            lines,
+            lambda x: F.when(~x.rlike(NOT_BLANK), -1)
+            .when(x.rlike(rules.sentence_end.removesuffix("$") + r"(\s|$)") | (F.size(words(x)) >= rules.prose_from), 1)
+            .otherwise(0),
+        )
+        counted = settled(counted.withColumns({"_lines": lines, "_ends": ended}), ["_lines", "_ends"])
+        verdicts = F.transform(
+            "_lines", lambda line, i: F.struct(line.alias("line"), line_fault(line, rules, _goes_on(line, i, rules)).alias("fault"))
+        )
     judged = (
-        documents.withColumn("_n", F.size(words(whole_text(text))))
-        .withColumn("_judged", verdicts)
+        counted.withColumn("_judged", verdicts)
         .withColumn(
             "clean_text",
             F.array_join(F.transform(F.filter("_judged", lambda x: x["fault"].isNull()), lambda x: x["line"]), "\n"),
@@ -133,7 +193,7 @@ def clean_lines(documents: DataFrame, rules: LineRules = LineRules(), text: str
             ),
         )
         .withColumn("line_verdict", F.col("_n") - F.col("kept_words") <= rules.max_lost * F.col("_n"))
-        .drop("_n", "_judged")
+        .drop("_n", "_judged", "_lines", "_ends")
     )
     return settled(judged, ["clean_text", "kept_words", "line_faults", "line_verdict"])
 

@@ -253,3 +253,22 @@ def test_lines_with_many_links_stay_within_an_unmarked_text():
     items = [f'<li>Read more <a href="/{i}">in this part {i}</a></li>' for i in range(6)]
     out = html.main_text(f"<div>{ARTICLE}<ul>{''.join(items)}</ul>{ARTICLE}</div>")
     assert out == "\n".join([ARTICLE_TEXT, *(f"Read more in this part {i}" for i in range(6)), ARTICLE_TEXT])
+
+
+def test_clean_documents_are_kept_by_the_pipeline(spark):
+    import textwrap
+
+    import corpus_pipeline
+
+    plain = " ".join(prose(s, 11).capitalize() for s in range(700, 708))
+    one_line = f"{plain} They read the privacy policy, the terms of use, and All rights reserved. {plain[:90]}"
+    wrapped = "\n".join(textwrap.wrap(plain, 60))
+    verse = "\n\n".join("\n".join([*(prose(720 + 4 * k + i, 6)[:-1].title() for i in range(3)), prose(760 + k, 5).title()]) for k in range(5))
+    sentences = [f"{prose(s, 7).capitalize()}" for s in range(780, 790)]
+    markdown = "# A heading\n\n" + "\n".join(f"* **{x.split()[0]}** is {x[:-1]}" for x in sentences)
+    percent = "\n".join(f"{x[:-1]} rose 5% last year." for x in sentences)
+    clean = [one_line, wrapped, verse, markdown, percent]
+    junk = ["\n".join(["No end here"] * 40), "\n".join(["Home | About us | Contact us"] * 40), "\n".join(f"{x} All rights reserved." for x in ["Site"] * 40)]
+    table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(clean + junk)], "doc_id long, text string, lang string, source string, n_chars long")
+    rows = {r.doc_id: r.text for r in corpus_pipeline.quality_rules(spark, table, "").collect()}
+    assert rows == dict(enumerate(clean))
