@@ -162,7 +162,7 @@ def document_spans(documents: DataFrame, rules: SpanRules) -> DataFrame:
 
 
 def _occurrences(documents: DataFrame, rules: SpanRules) -> DataFrame:
-    """Digest, offsets and nearby words of each of the ``places`` of (``id``, ``text``).
+    """Digest, offsets and nearby words of each of the ``places`` (words a to b) of (``id``, ``text``).
 
     ``left`` and ``right`` are hashes of the words to both sides, nearest first;
     ``starts`` and ``ends`` where a span would start or end with that many of them.
@@ -175,42 +175,66 @@ def _occurrences(documents: DataFrame, rules: SpanRules) -> DataFrame:
                 id_, text, places = (batch.column(c)[i].as_py() for c in range(3))
                 words, at = text.split(), _word_starts(text)
                 rows = []
-                for place in sorted(set(places)):
-                    a, b = place >> 16, (place >> 16) + (place & 65535)
+                for a, b in ((x["a"], x["b"]) for x in places):
                     if b > len(words):  # of another text with this key
                         continue
                     digest = _digest(words[a:b], 16)
                     low, high = max(0, a - reach), min(len(words), b + reach)
                     left, right = ([_word_hash(w) for w in x] for x in (words[low:a][::-1], words[b:high]))
-                    rows.append((id_, digest, at[a], at[b], left, right, at[low:a][::-1], at[b + 1 : high + 1]))
+                    rows.append((id_, a, b, digest, at[a], at[b], left, right, at[low:a][::-1], at[b + 1 : high + 1]))
                 for k in range(0, len(rows), 1024):
-                    ids, digests, starts, ends, *lists = zip(*rows[k : k + 1024], strict=True)
-                    columns = [pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())]
+                    ids, firsts, lasts, digests, starts, ends, *lists = zip(*rows[k : k + 1024], strict=True)
+                    columns = [pa.array(x, pa.int64()) for x in (ids, firsts, lasts)] + [pa.array(digests, pa.binary())]
+                    columns += [pa.array(x, pa.int32()) for x in (starts, ends)]
                     columns += [pa.array([np.array(x, np.uint64).view(np.int64) for x in y], pa.list_(pa.int64())) for y in lists[:2]]
                     columns += [pa.array(y, pa.list_(pa.int32())) for y in lists[2:]]
-                    yield pa.RecordBatch.from_arrays(columns, ["id", "digest", "start", "end", "left", "right", "starts", "ends"])
+                    yield pa.RecordBatch.from_arrays(columns, ["id", "a", "b", "digest", "start", "end", "left", "right", "starts", "ends"])
 
-    kinds = "left array<long>, right array<long>, starts array<int>, ends array<int>"
-    return documents.select("id", "text", "places").mapInArrow(run, f"id long, digest binary, start int, end int, {kinds}")
+    kinds = "start int, end int, left array<long>, right array<long>, starts array<int>, ends array<int>"
+    return documents.select("id", "text", "places").mapInArrow(run, f"id long, a long, b long, digest binary, {kinds}")
 
 
 def repeated_ranges(documents: DataFrame, rules: SpanRules) -> DataFrame:
     """``id`` and sorted ``ranges`` (start, end) of what repeats an earlier run or window.
 
-    Hashes of 64 bits find the candidates: their counts combine before the shuffle.
-    Only candidates travel on to be compared by digests of 128 bits, so a passage in a
-    third of all documents is one counted key and then rows of a join, which adaptive
-    skew splitting divides. Each is compared word by word with the first occurrence
-    of its digest; words that only a later one shares with it stay.
+    Hashes of 64 bits find each candidate's first place; their minimum combines
+    before the shuffle, so a passage in a third of all documents is one key and then
+    rows of a join, which adaptive skew splitting divides. Candidates of a document
+    that keep their distance to the same document are merged; only the merged
+    stretches are compared, by digests of 128 bits, and then grown word by word.
+    Words that a place shares with later ones than the first stay.
     """
     known = materialize(document_spans(documents, rules), "spans")
-    often = known.groupBy("k1").agg(F.count("*").alias("n")).filter("n > 1").select("k1")
-    places = known.join(often, "k1").groupBy("id").agg(F.collect_list("place").alias("places"))
-    again = materialize(_occurrences(documents.join(places, "id"), rules), "spans")
-    first = again.groupBy("digest").agg(F.min(F.struct("id", "start", "end", "left", "right")).alias("first"), F.count("*").alias("n"))
-    later = again.join(first.filter("n > 1"), "digest").filter("id != first.id or start != first.start")
-    same = "array_position(zip_with({0}, first.{0}, (a, b) -> a <=> b), false)"
-    shared = later.withColumns({f"n_{x}": F.expr(f"if({same.format(x)} = 0, size({x}), {same.format(x)} - 1)") for x in ("left", "right")})
+    first = known.groupBy("k1").agg(F.min(F.struct("id", "place")).alias("first"), F.count("*").alias("n"))
+    later = known.join(first.filter("n > 1").select("k1", "first"), "k1").filter("id != first.id or place != first.place")
+    lanes = (
+        later.selectExpr("id", "first.id as of", "(place >> 16) - (first.place >> 16) as off", "place >> 16 as a", "(place >> 16) + (place & 65535) as b")
+        .groupBy("id", "of", "off")
+        .agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("places"))
+    )
+    merged = F.expr(
+        """aggregate(places, cast(array() as array<struct<a: bigint, b: bigint>>),
+             (done, x) -> case
+               when size(done) > 0 and x.a <= done[size(done) - 1].b
+               then concat(slice(done, 1, size(done) - 1), array(named_struct(
+                      'a', done[size(done) - 1].a, 'b', greatest(x.b, done[size(done) - 1].b))))
+               else concat(done, array(x)) end)"""
+    )
+    stretches = materialize(lanes.select("id", "of", "off", F.inline(merged)), "spans")
+    asked = stretches.selectExpr("id", "named_struct('a', a, 'b', b) as x").union(
+        stretches.selectExpr("of", "named_struct('a', a - off, 'b', b - off)")
+    )
+    places = asked.groupBy("id").agg(F.collect_set("x").alias("places"))
+    found = materialize(_occurrences(documents.join(places, "id"), rules), "spans")
+    origin = found.selectExpr("id as of", "a as of_a", "b as of_b", "digest as of_digest", "left as of_left", "right as of_right")
+    pairs = (
+        stretches.join(found, ["id", "a", "b"])
+        .withColumns({"of_a": F.expr("a - off"), "of_b": F.expr("b - off")})
+        .join(origin, ["of", "of_a", "of_b"])
+        .filter("digest = of_digest")
+    )
+    same = "array_position(zip_with({0}, of_{0}, (x, y) -> x <=> y), false)"
+    shared = pairs.withColumns({f"n_{x}": F.expr(f"if({same.format(x)} = 0, size({x}), {same.format(x)} - 1)") for x in ("left", "right")})
     grown = shared.selectExpr(
         "id", "if(n_left = 0, start, starts[int(n_left - 1)]) as start", "if(n_right = 0, end, ends[int(n_right - 1)]) as end"
     )
