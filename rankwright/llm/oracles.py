@@ -109,6 +109,29 @@ def _op10() -> str:
         FROM turns GROUP BY conv_id"""
 
 
+def _op13() -> str:
+    def draw(i: int) -> str:
+        return f"CAST(('0x' || substr(digest, {8 * i + 1}, 8)) AS BIGINT)"
+
+    def joined(first: str, last: str) -> str:
+        return f"array_to_string(lines[{first} : {last}], '')"
+
+    return f"""
+        WITH docs AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id) AS digest,
+                   regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines FROM documents),
+        cuts AS (SELECT *, len(lines) AS n, {draw(0)} % (len(lines) + 1) AS x, {draw(1)} % (len(lines) + 1) AS y FROM docs),
+        parts AS (
+            SELECT *, {joined("1", "least(x, y)")} AS p, {joined("least(x, y) + 1", "greatest(x, y)")} AS m, {joined("greatest(x, y) + 1", "n")} AS s,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR {draw(2)} % 100 >= 100
+                        THEN 'plain' WHEN {draw(3)} % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM cuts)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(text) AS restored_sha256 FROM parts"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_no_random_access": _op4(),
@@ -116,4 +139,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_fast_similarity_sketch": _op8(),
         "op9_rendezvous_sharding": _op9(),
         "op10_chat_format": _op10(),
+        "op13_swar_fill_in_middle": _op13(),
     }

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwright.llm import bpe, chat, html, katz, minhash, packing, quality, sharding, spans, topk
-from rankwright.llm.common import table, word_bpe_path
+from rankwright.llm import bpe, chat, fingerprints, html, katz, middle, minhash, packing, quality, sharding, spans, topk
+from rankwright.llm.common import table, whole_text, word_bpe_path
+from rankwright.llm.neighbours import with_next
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +90,40 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_invertible_bloom_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text"))
+    paired = with_next(docs, "doc_id", "text", "next").withColumn("n_chars", F.length("text"))
+    quarter = F.floor(F.col("n_chars") / 4).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars") - quarter), F.substring("next", F.lit(1), quarter))
+    versions = paired.withColumn("edited", edited).withColumns(
+        {"edited_sha256": F.sha2("edited", 256), "n_chars": F.col("n_chars").cast("long")}
+    )
+    compared = fingerprints.compare_versions(versions, ["doc_id", "n_chars", "edited_sha256"], "text", ["edited", "next"])
+    return compared.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        F.col("edited_likeness").alias("near_edited"),
+        F.col("next_likeness").alias("near_next"),
+        "n_paragraphs",
+        F.size("edited_lost").cast("long").alias("n_lost"),
+        F.size("edited_gained").cast("long").alias("n_gained"),
+        "edited_cells",
+        "next_cells",
+    )
+
+
+def op13_swar_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    restored = middle.restore_text(F.col("output"), F.col("form"))
+    return moved.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
@@ -101,4 +136,6 @@ def queries() -> dict[str, Query]:
         "op8_fast_similarity_sketch": op8_fast_similarity_sketch,
         "op9_rendezvous_sharding": op9_rendezvous_sharding,
         "op10_chat_format": op10_chat_format,
+        "op12_invertible_bloom_fingerprints": op12_invertible_bloom_fingerprints,
+        "op13_swar_fill_in_middle": op13_swar_fill_in_middle,
     }
