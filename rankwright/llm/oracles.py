@@ -109,6 +109,34 @@ def _op10() -> str:
         FROM turns GROUP BY conv_id"""
 
 
+def _op11() -> str:
+    return f"""
+        WITH {_CRC_TABLE},
+        turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+                  FROM conversations WHERE conv_id IS NOT NULL),
+        convs AS (SELECT conv_id, {_crc32("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM turns), crc_table),
+        rebuilt AS (
+            SELECT c.conv_id, 0 AS part, pos, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 20 AND pos <= h
+            UNION ALL SELECT conv_id, 1, pos, role, text FROM convs JOIN turns USING (conv_id) WHERE pos > h),
+        placed AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS depth, text,
+                          sha256(length(role) || ':' || role || text) AS turn FROM rebuilt),
+        pathed AS (SELECT conv_id, depth, text, string_agg(turn, ',') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM placed
+                   UNION ALL SELECT conv_id, 0, '', '' FROM convs),
+        prefixes AS (SELECT *, lag(path) OVER (PARTITION BY conv_id ORDER BY depth) AS above,
+                            depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM pathed),
+        nodes AS (SELECT path, depth, min(conv_id) AS conv_id, any_value(above) AS above, count(*) AS n_convs,
+                         (count(*) - 1) * any_value(len(regexp_extract_all(text, '{_WORD}'))) AS own_saved,
+                         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+                  FROM prefixes GROUP BY path, depth),
+        children AS (SELECT above AS path, count(*) AS n FROM nodes WHERE above IS NOT NULL GROUP BY above),
+        facts AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (path)),
+        sums AS (SELECT p.path, count(*) FILTER (f.n_children = 0) AS n_leaves, CAST(sum(f.own_saved) AS BIGINT) AS saved_tokens
+                 FROM prefixes p JOIN facts f ON f.conv_id = p.conv_id AND f.depth >= p.depth GROUP BY p.path)
+        SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+        FROM facts f JOIN sums USING (path) LEFT JOIN nodes p ON p.path = f.above"""
+
+
 def _op13() -> str:
     def draw(i: int) -> str:
         return f"CAST(('0x' || substr(digest, {8 * i + 1}, 8)) AS BIGINT)"
@@ -139,5 +167,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_fast_similarity_sketch": _op8(),
         "op9_rendezvous_sharding": _op9(),
         "op10_chat_format": _op10(),
+        "op11_prefix_trie": _op11(),
         "op13_swar_fill_in_middle": _op13(),
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwright.llm import bpe, chat, fingerprints, html, katz, middle, minhash, packing, quality, sharding, spans, topk
+from rankwright.llm import bpe, chat, fingerprints, html, katz, middle, minhash, packing, quality, sharding, spans, topk, trie
 from rankwright.llm.common import table, whole_text, word_bpe_path
 from rankwright.llm.neighbours import with_next
 
@@ -90,6 +90,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"), every=20, most=3)
+
+
 def op12_invertible_bloom_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text"))
     paired = with_next(docs, "doc_id", "text", "next").withColumn("n_chars", F.length("text"))
@@ -136,6 +140,7 @@ def queries() -> dict[str, Query]:
         "op8_fast_similarity_sketch": op8_fast_similarity_sketch,
         "op9_rendezvous_sharding": op9_rendezvous_sharding,
         "op10_chat_format": op10_chat_format,
+        "op11_prefix_trie": op11_prefix_trie,
         "op12_invertible_bloom_fingerprints": op12_invertible_bloom_fingerprints,
         "op13_swar_fill_in_middle": op13_swar_fill_in_middle,
     }

@@ -35,7 +35,7 @@ def test_query_equals_sql(spark, sql, name):
 def test_every_operator_and_the_pipeline_are_registered():
     known = entry_points.queries()
     assert set(queries()) | {"pipeline"} <= set(known)
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in known) == 1
     assert set(oracle_sql()) <= set(entry_points.oracle_sql())
 
