@@ -39,7 +39,9 @@ INTERACTION_WEIGHTS = {"purchase": 5.0, "cart": 3.0, "product": 1.0, "department
 class RankerParams:
     """Boosting settings; ``override`` applies the positive arguments only.
 
-    ``l2`` is added to every row's hessian, which shrinks steps of little curvature.
+    ``l2`` is added to a leaf's hessian, which shrinks steps of little curvature; a leaf
+    holds a hessian of ``min_hessian`` at least. ``folds`` is the number of parts of the
+    sessions whose category rates are fitted on the other parts.
     """
 
     n_trees: int = TREES
@@ -47,7 +49,9 @@ class RankerParams:
     max_depth: int = TREE_DEPTH
     patience: int = PATIENCE
     seed: int = 42
-    l2: float = 0.0
+    l2: float = 1.0
+    min_hessian: float = 1e-3
+    folds: int = 5
 
     def override(self, n_trees: int = 0, learning_rate: float = 0.0, max_depth: int = 0) -> RankerParams:
         given = {"n_trees": n_trees, "learning_rate": learning_rate, "max_depth": max_depth}

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankwright.config import CATEGORICAL
 from rankwright.operators.features import fill_categories
 from rankwright.operators.ordinals import with_ordinal
+from rankwright.sources.scratch import materialize
 
 
 def fit_codes(df: DataFrame, columns: tuple[str, ...] = CATEGORICAL) -> DataFrame:
@@ -40,34 +41,82 @@ def apply_codes(df: DataFrame, codes: DataFrame, columns: tuple[str, ...] = CATE
     return coded
 
 
-def fit_rates(df: DataFrame, label: str, columns: tuple[str, ...] = CATEGORICAL, prior: float = 20.0) -> DataFrame:
-    """(column, value, rate): the mean label of each value, drawn to the overall mean.
+def fold_of(key: str, folds: int) -> Column:
+    """One of ``folds`` parts, by a digest of a key: rows of one key are in one part."""
+    digest = F.conv(F.substring(F.sha2(F.coalesce(F.col(key).cast("string"), F.lit("")), 256), 1, 8), 16, 10)
+    return (digest.cast("long") % folds).cast("int")
+
+
+def fit_rates(
+    df: DataFrame,
+    label: str,
+    columns: tuple[str, ...] = CATEGORICAL,
+    prior: float = 20.0,
+    folds: int = 0,
+    key: str = "qid",
+) -> DataFrame:
+    """(column, value, fold, rate): the mean label of each value, drawn to the overall mean.
 
     ``prior`` is the number of average rows that are added to each value, so rare values
     stay near the mean. The row with a NULL value holds the overall mean, for unseen
     values. One rule for columns of any size, and one pass for all of them.
+
+    Rows with a NULL fold hold the rates of all rows. With ``folds``, each part of the
+    keys has rates of its own, from the rows of the other parts: given to the rows the
+    rates were fitted on, they keep a row's label, and its session's, out of its features.
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]))
+    fold = fold_of(key, folds) if folds else F.lit(None).cast("int")
     counts = (
         fill_categories(df)
-        .select(pairs.alias("p"), F.col(label).cast("double").alias("label"))
-        .groupBy("p.column", "p.value")
+        .select(pairs.alias("p"), F.col(label).cast("double").alias("label"), fold.alias("fold"))
+        .groupBy("p.column", "p.value", "fold")
         .agg(F.count("*").alias("n"), F.sum("label").alias("hits"))
     )
-    overall = counts.groupBy("column").agg((F.sum("hits") / F.sum("n")).alias("mean"))
-    # One row per column: small enough to broadcast, always.
-    rates = counts.where(F.col("value").isNotNull()).join(F.broadcast(overall), "column").select(
-        "column", "value", ((F.col("hits") + prior * F.col("mean")) / (F.col("n") + prior)).alias("rate")
+    if folds:
+        counts = _left_out(materialize(counts, "rate-counts"), folds)
+    overall = counts.groupBy("column", "fold").agg((F.sum("hits") / F.sum("n")).alias("mean"))
+    # One row per column and fold: small enough to broadcast, always.
+    rates = (
+        counts.where(F.col("value").isNotNull())
+        .join(F.broadcast(overall.withColumnsRenamed({"column": "_column", "fold": "_fold"})), F.col("column").eqNullSafe(F.col("_column")) & F.col("fold").eqNullSafe(F.col("_fold")))
+        .select("column", "value", "fold", ((F.col("hits") + prior * F.col("mean")) / (F.col("n") + prior)).alias("rate"))
     )
-    return rates.unionByName(overall.select("column", F.lit(None).cast("string").alias("value"), F.col("mean").alias("rate")))
+    unseen = overall.where(F.col("mean").isNotNull()).select("column", F.lit(None).cast("string").alias("value"), "fold", F.col("mean").alias("rate"))
+    return rates.unionByName(unseen)
+
 
+def _left_out(counts: DataFrame, folds: int) -> DataFrame:
+    """Counts per fold as counts of all (fold NULL) and of all but one fold."""
+    whole = counts.groupBy("column", "value").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+    own = counts.withColumnsRenamed({"n": "_n", "hits": "_hits", "value": "_value"}).withColumnRenamed("column", "_column")
+    every = whole.withColumn("fold", F.explode(F.array(*[F.lit(i) for i in range(folds)])))
+    same = F.col("column").eqNullSafe(F.col("_column")) & F.col("value").eqNullSafe(F.col("_value"))
+    rest = every.join(own.withColumnRenamed("fold", "_fold"), same & (F.col("fold") == F.col("_fold")), "left").select(
+        "column", "value", "fold",
+        (F.col("n") - F.coalesce("_n", F.lit(0))).alias("n"), (F.col("hits") - F.coalesce("_hits", F.lit(0.0))).alias("hits"),
+    )
+    return rest.where("n > 0").unionByName(whole.withColumn("fold", F.lit(None).cast("int")).select("column", "value", "fold", "n", "hits"))
 
-def apply_rates(df: DataFrame, rates: DataFrame, columns: tuple[str, ...] = CATEGORICAL) -> DataFrame:
-    """``df`` with a ``<column>_rate`` per category; unseen values get the overall mean."""
-    rated = fill_categories(df)
+
+def apply_rates(
+    df: DataFrame, rates: DataFrame, columns: tuple[str, ...] = CATEGORICAL, fold: Column | None = None
+) -> DataFrame:
+    """``df`` with a ``<column>_rate`` per category; unseen values get the overall mean.
+
+    ``fold`` gives the part a row belongs to, for rows the rates were fitted on, and NULL
+    for others.
+    """
+    rated = fill_categories(df).withColumn("_fold", fold if fold is not None else F.lit(None).cast("int"))
     for column in columns:
         own = rates.where(F.col("column") == column)
-        mean = own.where(F.col("value").isNull()).select(F.max("rate")).scalar()
-        known = own.where(F.col("value").isNotNull()).select(F.col("value").alias(column), F.col("rate").alias(f"{column}_rate"))
-        rated = rated.join(known, column, "left").withColumn(f"{column}_rate", F.coalesce(f"{column}_rate", mean, F.lit(0.0)))
-    return rated
+        known = own.where(F.col("value").isNotNull()).select(
+            F.col("value").alias("_value"), F.col("fold").alias("_of"), F.col("rate").alias(f"{column}_rate")
+        )
+        # One row per fold.
+        means = own.where(F.col("value").isNull()).select(F.col("fold").alias("_of"), F.col("rate").alias("_mean"))
+        same = (F.col(column) == F.col("_value")) & F.col("_fold").eqNullSafe(F.col("_of"))
+        rated = rated.join(known, same, "left").drop("_value", "_of")
+        rated = rated.join(F.broadcast(means), F.col("_fold").eqNullSafe(F.col("_of")), "left").drop("_of")
+        rated = rated.withColumn(f"{column}_rate", F.coalesce(f"{column}_rate", "_mean", F.lit(0.0))).drop("_mean")
+    return rated.drop("_fold")

@@ -2,31 +2,30 @@
 
 Each round compares a session's rows with its k leaders under the current
 score, turns the NDCG@k changes of the swaps into gradients (Burges, "From
-RankNet to LambdaRank to LambdaMART", 2010), and grows an MLlib tree on the Newton
-step gradient/hessian with the hessian as weight, so that its leaves already
-hold the step.
+RankNet to LambdaRank to LambdaMART", 2010), and grows a tree on histograms of
+features that were binned once, with Newton steps in its leaves.
 """
 
 from __future__ import annotations
 
 import json
 import math
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
-from pyspark import SparkContext
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankwright.config import CATEGORICAL, NDCG_CUTS, RankerParams
-from rankwright.operators.encoding import apply_rates, fit_rates
+from rankwright.operators.encoding import apply_rates, fit_rates, fold_of
+from rankwright.operators.histogram import Tree, fit_bounds, grow_tree, with_bins, with_step
+from rankwright.operators.lambdas import PAIR_UNIT, ROW_UNIT, with_values
 from rankwright.operators.ndcg import discount_sum, session_ndcg, session_totals
-from rankwright.sources.scratch import materialize, materialize_anew
+from rankwright.operators.trees import TREE_TABLE, read_trees, tree_rows, tree_score, tree_table
+from rankwright.sources import files
+from rankwright.sources.scratch import materialize, new_name, new_path
 
 NUMERIC = ("user_age", "retail_price", "cost", "profit_margin")
-MIN_HESSIAN = 1e-6
+FEATURES = NUMERIC + tuple(f"{c}_rate" for c in CATEGORICAL)
 ROWS_PER_SALT = 1 << 20
 ROWS_PER_TASK = 1 << 18
 ROUNDS_PER_WRITE = 10
@@ -37,19 +36,24 @@ KEYS = ("qid", "user_id", "product_id")
 class Ranker:
     """Trees, their common rate, and the category rates they were grown on."""
 
-    trees: tuple[DecisionTreeRegressionModel, ...]
+    trees: tuple[Tree, ...]
     learning_rate: float
     rates: DataFrame
 
     def score(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with a ``score``: all trees as one model, evaluated once per row."""
-        vectors = assemble(rows, self.rates)
-        return _with_steps(vectors, self.trees, self.learning_rate, F.lit(0.0)).drop("features", *_RATES)
+        """``rows`` with a ``score``: all trees in one expression over the features."""
+        known = assemble(rows, self.rates)
+        score = tree_score(self.trees, self.learning_rate, [F.col(f"_{c}") for c in FEATURES])
+        return known.withColumn("score", score).drop(*[f"_{c}" for c in FEATURES])
+
+    def table(self) -> DataFrame:
+        """The trees as rows, one per node."""
+        return tree_table(self.rates.sparkSession, self.trees, FEATURES)
 
     def save(self, path: str) -> None:
-        """Trees in boosting order, the category rates and the learning rate, under one folder."""
+        """The table of trees, the category rates and the learning rate, under one folder."""
         spark = self.rates.sparkSession
-        PipelineModel(list(self.trees)).write().overwrite().save(f"{path}/trees")
+        self.table().write.mode("overwrite").parquet(f"{path}/trees")
         self.rates.write.mode("overwrite").parquet(f"{path}/rates")
         settings = json.dumps({"learning_rate": self.learning_rate})
         spark.createDataFrame([(settings,)], "settings string").write.mode("overwrite").json(f"{path}/settings")
@@ -57,8 +61,8 @@ class Ranker:
     @staticmethod
     def load(spark: SparkSession, path: str) -> Ranker:
         settings = json.loads(spark.read.json(f"{path}/settings").first()["settings"])
-        trees = PipelineModel.load(f"{path}/trees").stages
-        return Ranker(tuple(trees), settings["learning_rate"], spark.read.parquet(f"{path}/rates"))
+        trees = read_trees(spark.read.schema(TREE_TABLE).parquet(f"{path}/trees").collect(), FEATURES)
+        return Ranker(trees, settings["learning_rate"], spark.read.parquet(f"{path}/rates"))
 
 
 @dataclass(frozen=True)
@@ -71,39 +75,18 @@ class Training:
 
 
 _PARTS = ("is_train", "qid")
-_RATES = tuple(f"{c}_rate" for c in CATEGORICAL)
 
 
-def assemble(rows: DataFrame, rates: DataFrame) -> DataFrame:
-    """``rows`` with the feature vector: numbers, and each category's mean label in training.
+def assemble(rows: DataFrame, rates: DataFrame, fold: Column | None = None) -> DataFrame:
+    """``rows`` with a double ``_<feature>`` each: numbers, and each category's mean label in training.
 
-    Every category is treated alike, whatever its number of values.
+    Every category is treated alike, whatever its number of values. ``fold`` is for the
+    rows the rates were fitted on: it names the part of them a row's rates leave out.
     """
-    rated = apply_rates(rows, rates)
-    numbers = [F.coalesce(F.col(c).cast("double"), F.lit(-1.0)).alias(c) for c in NUMERIC]
-    vector = VectorAssembler(inputCols=[f"_{c}" for c in NUMERIC] + list(_RATES), outputCol="features")
-    filled = rated.withColumns({f"_{c}": number for c, number in zip(NUMERIC, numbers)})
-    return vector.transform(filled).drop(*[f"_{c}" for c in NUMERIC])
-
-
-def _ensemble(trees: tuple, rate: float) -> GBTRegressionModel:
-    """Trees of one weight as one MLlib model, which sums them in a single evaluation."""
-    context = SparkContext._active_spark_context
-    gateway = context._gateway
-    regression = context._jvm.org.apache.spark.ml.regression
-    grown = gateway.new_array(regression.DecisionTreeRegressionModel, len(trees))
-    weights = gateway.new_array(context._jvm.double, len(trees))
-    for i, tree in enumerate(trees):
-        grown[i], weights[i] = tree._java_obj, float(rate)
-    model = GBTRegressionModel(regression.GBTRegressionModel("boosted", grown, weights))
-    return model.setFeaturesCol("features").setPredictionCol("_step")
-
-
-def _with_steps(df: DataFrame, trees: tuple, rate: float, start: Column) -> DataFrame:
-    """``df`` with ``score``: the start plus every tree's step."""
-    if not trees:
-        return df.withColumn("score", start)
-    return _ensemble(trees, rate).transform(df).withColumn("score", start + F.col("_step")).drop("_step")
+    rated = apply_rates(rows, rates, fold=fold)
+    missing = F.lit(-1.0)
+    numbers = {f"_{c}": F.coalesce(F.nanvl(F.col(c).cast("double"), missing), missing) for c in NUMERIC}
+    return rated.withColumns(numbers).withColumnsRenamed({f"{c}_rate": f"_{c}_rate" for c in CATEGORICAL})
 
 
 def _with_salt(rows: DataFrame) -> DataFrame:
@@ -113,22 +96,22 @@ def _with_salt(rows: DataFrame) -> DataFrame:
     return rows.join(sizes, "qid").withColumn("salt", spread).drop("_parts")
 
 
-def _leaders(scored: DataFrame, k: int) -> DataFrame:
+def _leaders(scored: DataFrame, k: int, keys: list[str]) -> DataFrame:
     """The k best-scored rows of every session, as bounded arrays.
 
     ``ids`` holds their (product, user) in rank order; ``hits`` and ``misses``
     hold rank and score of the positive ones and of the others.
     """
-    order = Window.partitionBy("qid").orderBy(F.desc("score"), "product_id", "user_id")
-    ranked = scored.select("qid", "product_id", "user_id", "score", "target_label", F.row_number().over(order).alias("rank"))
+    order = Window.partitionBy(*keys).orderBy(F.desc("score"), "product_id", "user_id")
+    ranked = scored.select(*keys, "product_id", "user_id", "score", "target_label", F.row_number().over(order).alias("rank"))
     row = F.struct("rank", "score", "product_id", "user_id", "target_label")
-    top = ranked.where(F.col("rank") <= k).groupBy("qid").agg(F.array_sort(F.collect_list(row)).alias("top"))
+    top = ranked.where(F.col("rank") <= k).groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("top"))
 
     def of_label(value: int) -> Column:
         return F.transform(F.filter("top", lambda r: r.target_label == value), lambda r: F.struct(r["rank"], r.score))
 
     return top.select(
-        "qid",
+        *keys,
         F.transform("top", lambda r: F.struct(r.product_id, r.user_id)).alias("ids"),
         of_label(1).alias("hits"),
         of_label(0).alias("misses"),
@@ -140,20 +123,31 @@ def _discount(rank: Column) -> Column:
     return F.when(rank > 0, 1.0 / F.log2(1.0 + rank)).otherwise(0.0)
 
 
+def _exact(value: Column) -> Column:
+    return F.rint(value * PAIR_UNIT).cast("long")
+
+
 def _total(pairs: Column, name: str) -> Column:
-    return F.aggregate(pairs, F.lit(0.0), lambda sum_, pair: sum_ + pair[name])
+    return F.aggregate(pairs, F.lit(0).cast("long"), lambda sum_, pair: sum_ + pair[name])
+
 
+def _session_keys(split: bool) -> list[str]:
+    """What names a session: with its salt, by which rows are laid out, unless one is split."""
+    return ["qid"] if split else ["qid", "salt"]
 
-def compare_with_leaders(scored: DataFrame, parts: DataFrame, k: int) -> DataFrame:
+
+def compare_with_leaders(scored: DataFrame, parts: DataFrame, k: int, split: bool = True) -> DataFrame:
     """Every row against the k leaders of its session whose label differs.
 
     Swapping two rows changes NDCG@k only if one of them is among the session's
     first k, so comparing each row with those k and no others is exact, and
-    linear in the rows. ``parts`` has (qid, salt, idcg) of sessions that count.
-    Adds the row's own ``pull`` (negative gradient) and ``hessian``, its ``rank``
-    (0 below the cut) and, for rows below the cut, the ``pairs`` they had.
+    linear in the rows. ``parts`` has (qid, salt, idcg) of sessions that count; ``split``
+    says that some have several salts. Adds the row's own ``pull`` (negative gradient)
+    and ``hessian`` in whole numbers of 1 / PAIR_UNIT, its ``rank`` (0 below the cut)
+    and, for rows below the cut, the ``pairs`` they had.
     """
-    placed = parts.join(_leaders(scored, k), "qid")
+    keys = _session_keys(split)
+    placed = parts.join(_leaders(scored, k, keys), keys)
     positive = F.col("target_label") == 1
     wants = F.when(positive, 1.0).otherwise(-1.0)
 
@@ -162,8 +156,8 @@ def compare_with_leaders(scored: DataFrame, parts: DataFrame, k: int) -> DataFra
         weight = F.abs(_discount(row["rank"]) - F.col("own_discount")) / F.col("idcg")
         return F.struct(
             row["rank"].alias("rank"),
-            (wants * wrong * weight).alias("pull"),
-            (wrong * (1.0 - wrong) * weight).alias("hessian"),
+            _exact(wants * wrong * weight).alias("pull"),
+            _exact(wrong * (1.0 - wrong) * weight).alias("hessian"),
         )
 
     return (
@@ -177,26 +171,27 @@ def compare_with_leaders(scored: DataFrame, parts: DataFrame, k: int) -> DataFra
     )
 
 
-def gather_lambdas(compared: DataFrame, parts: DataFrame) -> DataFrame:
-    """``compared`` with the pulls that leaders get from rows below the cut.
+def gather_lambdas(compared: DataFrame, parts: DataFrame, split: bool = True) -> DataFrame:
+    """``compared`` with the pulls that leaders get from rows below the cut, and all as doubles.
 
     Those pairs are known to the lower row only; it sends the opposite pull
     back, summed per leader before any shuffle.
     """
+    keys = _session_keys(split)
     returned = (
         compared.where(F.col("rank") == 0)
-        .select("qid", F.explode("pairs").alias("pair"))
-        .groupBy("qid", "pair.rank")
+        .select(*keys, F.explode("pairs").alias("pair"))
+        .groupBy(*keys, "pair.rank")
         .agg(-F.sum("pair.pull"), F.sum("pair.hessian"))
-        .toDF("qid", "rank", "pull", "hessian")
-        .groupBy("qid")
+        .toDF(*keys, "rank", "pull", "hessian")
+        .groupBy(*keys)
         .agg(F.collect_list(F.struct("rank", "pull", "hessian")).alias("returned"))
     )
+    if split:
+        returned = parts.join(returned, "qid").drop("idcg")
     back = F.get(F.filter("returned", lambda row: row["rank"] == F.col("rank")), 0)
-    received = {c: F.col(c) + F.coalesce(back[c], F.lit(0.0)) for c in ("pull", "hessian")}
-    return compared.join(parts.join(returned, "qid").drop("idcg"), ["qid", "salt"], "left").withColumns(received).drop(
-        "pairs", "returned", "rank"
-    )
+    received = {c: (F.col(c) + F.coalesce(back[c], F.lit(0))) / PAIR_UNIT for c in ("pull", "hessian")}
+    return compared.join(returned, ["qid", "salt"], "left").withColumns(received).drop("pairs", "returned", "rank")
 
 
 def session_lambdas(scored: DataFrame, k: int) -> DataFrame:
@@ -207,12 +202,6 @@ def session_lambdas(scored: DataFrame, k: int) -> DataFrame:
     return gather_lambdas(compare_with_leaders(stored, parts, k), parts)
 
 
-def _newton(pulled: DataFrame, l2: float) -> DataFrame:
-    """The rows a tree is grown on: features, Newton step and its weight."""
-    weight = F.greatest(F.col("hessian") + l2, F.lit(MIN_HESSIAN))
-    return pulled.select("features", (F.col("pull") / weight).alias("step"), weight.alias("hessian"))
-
-
 def _parts(rows: DataFrame, totals: DataFrame, k: int) -> DataFrame:
     """(qid, salt, idcg) of every part of the training sessions with a positive."""
     counted = totals.where(F.col("is_train") & (F.col("positives") > 0))
@@ -220,76 +209,206 @@ def _parts(rows: DataFrame, totals: DataFrame, k: int) -> DataFrame:
     return rows.where("is_train").select("qid", "salt").distinct().join(ideal, "qid")
 
 
+def _task_count(spark: SparkSession, n_rows: int) -> int:
+    """Partitions are counted by rows, for every tree passes over all of them many times."""
+    return max(spark.sparkContext.defaultParallelism, math.ceil(n_rows / ROWS_PER_TASK))
+
+
 def _placed(rows: DataFrame, n_rows: int) -> DataFrame:
     """``rows`` held with each session part together.
 
     What is lost from memory is read again from the folder ``rows`` lie in. The layout
-    serves all rounds: their joins per (session, salt) move no rows. Partitions are
-    counted by rows, for every tree passes over all of them many times.
+    serves all rounds: what they do per (session, salt) moves no rows.
     """
-    parts = max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(n_rows / ROWS_PER_TASK))
-    return rows.repartition(parts, "qid", "salt").persist()
+    return rows.repartition(_task_count(rows.sparkSession, n_rows), "qid", "salt").persist()
 
 
-def fit_ranker(training: DataFrame, params: RankerParams = RankerParams(), cuts: tuple[int, ...] = NDCG_CUTS) -> Training:
+@dataclass
+class _Fit:
+    """What a fit needs to go on after a round."""
+
+    rows: str  # folder of the rows with bins and score
+    rates: str  # folder of the category rates
+    n_rows: int
+    split: bool
+    bounds: list[list[float]]
+    params: dict
+    cuts: list[int]
+    trees: list[Tree]
+    curve: list[dict]
+    best: float = -1.0
+    best_round: int = 0
+
+    def text(self) -> str:
+        return json.dumps({**{name: value for name, value in vars(self).items() if name != "trees"}, "trees": tree_rows(tuple(self.trees), FEATURES)})
+
+    @staticmethod
+    def read(text: str) -> _Fit:
+        found = json.loads(text)
+        names = [part.split()[0] for part in TREE_TABLE.split(", ")]
+        rows = [dict(zip(names, row, strict=True)) for row in found.pop("trees")]
+        return _Fit(trees=list(read_trees(rows, FEATURES)), **found)
+
+
+def _latest(spark: SparkSession, state: str, params: RankerParams, cuts: tuple[int, ...]) -> _Fit | None:
+    """The state of the last round that was published whole, if a fit was begun there."""
+    names = [name for name in files.file_names(spark, state) if name.endswith(".json")]
+    if not names:
+        return None
+    found = _Fit.read(files.read_text(spark, f"{state}/{names[-1]}"))
+    if found.params != asdict(params) or found.cuts != list(cuts):
+        raise ValueError(f"{state} holds a fit with other settings: {found.params}, {found.cuts}")
+    return found
+
+
+def _begin(training: DataFrame, params: RankerParams, cuts: tuple[int, ...], place: str) -> _Fit:
+    """Rates, bins and the rows of a new fit, written under ``place``."""
+    spark = training.sparkSession
+    train = training.where("is_train")
+    rates = fit_rates(train, "target_label", folds=params.folds)
+    rates.write.parquet(f"{place}/rates")
+    rates = spark.read.schema(rates.schema).parquet(f"{place}/rates")
+    fold = F.when(F.col("is_train"), fold_of("qid", params.folds))
+    known = materialize(assemble(_with_salt(training), rates, fold), "ranker-features")
+    columns = [f"_{c}" for c in FEATURES]
+    bounds = fit_bounds(known.where("is_train"), columns)
+    rows = with_bins(known, columns, bounds).select(*KEYS, "salt", "is_train", "target_label", "bins", F.lit(0.0).alias("score"))
+    rows.write.parquet(f"{place}/rows-0")
+    written = spark.read.schema(rows.schema).parquet(f"{place}/rows-0")
+    n_rows, salt = written.agg(F.count("*"), F.max("salt")).first()
+    for part, flag in (("training", "is_train"), ("validation", "not is_train")):
+        if written.where(flag).where("target_label = 1").isEmpty():
+            raise ValueError(f"the {part} part has no session with a positive")
+    return _Fit(f"{place}/rows-0", f"{place}/rates", n_rows, bool(salt), bounds, asdict(params), list(cuts), [], [])
+
+
+def fit_ranker(
+    training: DataFrame,
+    params: RankerParams = RankerParams(),
+    cuts: tuple[int, ...] = NDCG_CUTS,
+    state: str | None = None,
+) -> Training:
     """Boost until the validation NDCG of the last cut has not improved for ``patience`` rounds.
 
     ``training`` holds ``is_train``; both parts need a session with a positive. One row of
-    metrics per round reaches the driver. Each round adds one tree to the scores of
-    the round before; every few rounds they are written to the shared folder and the
+    metrics per round and the sums of a tree's level reach the driver. Each round adds one
+    tree to the scores of the round before; every few rounds they are written and the
     version before goes, so neither plans, recomputation nor disk grow with the rounds.
+
+    ``state`` is a folder that outlives the application. What is written every few rounds
+    is published there, rows with scores, trees, curve and best round, and a fit that
+    finds a state goes on from it: with the same rows it gives the trees and scores
+    of an unbroken one. Without it the rows go to the application's scratch folder.
     """
-    rates = materialize(fit_rates(training.where("is_train"), "target_label"), "rates")
-    vectors = assemble(_with_salt(training), rates)
-    rows = vectors.select(*KEYS, "salt", "is_train", "target_label", "features", F.lit(0.0).alias("score"))
-    written, path = materialize_anew(rows, "ranker-rows", None)
-    n_rows = written.count()
-    scored = _placed(written, n_rows)
-    totals = materialize(session_totals(scored, by=_PARTS), "session-totals")
-    parts = materialize(_parts(scored, totals, max(cuts)), "session-parts")
-    for part, flag in (("training", "is_train"), ("validation", "not is_train")):
-        if totals.where(flag).where("positives > 0").isEmpty():
-            raise ValueError(f"the {part} part has no session with a positive")
-    trees: list[DecisionTreeRegressionModel] = []
-    curve: list[dict] = []
-    best, best_round = -1.0, 0
-    for number in range(params.n_trees):
-        grower = DecisionTreeRegressor(
-            featuresCol="features", labelCol="step", weightCol="hessian", maxDepth=params.max_depth, seed=params.seed + number
-        )
-        # Both are read more than once: the first for its returned pulls, the
-        # second because growing a tree passes over its rows level by level.
-        compared = compare_with_leaders(scored.where("is_train"), parts, max(cuts)).persist()
-        steps = _newton(gather_lambdas(compared, parts), params.l2).persist()
-        trees.append(grower.fit(steps))
-        moved = _with_steps(scored, (trees[-1],), params.learning_rate, F.col("score")).persist()
-        curve.append({"round": number + 1, **_round_metrics(moved, totals, cuts)})
-        for done in (steps, compared, scored):
-            done.unpersist()
-        scored = moved
-        if (number + 1) % ROUNDS_PER_WRITE == 0:
-            written, path = materialize_anew(moved, "ranker-rows", path)
-            moved.unpersist()
-            scored = _placed(written, n_rows)
-        current = curve[-1][f"validation_ndcg_{cuts[-1]}"]
-        if current > best:
-            best, best_round = current, number + 1
-        elif number + 1 - best_round >= params.patience:
-            break
-    scored.unpersist()
-    kept = tuple(trees[:best_round])
-    return Training(Ranker(kept, params.learning_rate, rates), curve, best_round)
-
-
-def _round_metrics(scored: DataFrame, totals: DataFrame, cuts: tuple[int, ...]) -> dict:
-    """Mean NDCGs of both parts, as one job."""
-    per_session = session_ndcg(scored, cuts, by=_PARTS, totals=totals)
+    spark = training.sparkSession
+    place = state.rstrip("/") if state else new_path(spark, "ranker")
+    fit = _latest(spark, place, params, cuts) if state else None
+    if fit is None:
+        fit = _begin(training, params, cuts, f"{place}/{new_name()}")
+        if state:
+            files.publish_text(spark, f"{place}/{0:06d}.json", fit.text())
+    folder = fit.rows.rsplit("/", 1)[0]
+    rates = spark.read.parquet(fit.rates)
+    # The loop's plans are small and their layout is given: nothing is left to find out while they run.
+    quick = spark.newSession()
+    quick.conf.set("spark.sql.adaptive.enabled", "false")
+    quick.conf.set("spark.sql.shuffle.partitions", str(_task_count(spark, fit.n_rows)))
+    rounds = _Rounds(quick, fit, max(cuts), cuts)
+
+    def over() -> bool:
+        return len(fit.curve) >= params.n_trees or len(fit.curve) - fit.best_round >= params.patience
+
+    while not over():
+        number = len(fit.curve) + 1
+        tree, metrics = rounds.boost(params)
+        fit.trees.append(tree)
+        fit.curve.append({"round": number, **metrics})
+        current = metrics[f"validation_ndcg_{cuts[-1]}"]
+        if current > fit.best:
+            fit.best, fit.best_round = current, number
+        if number % ROUNDS_PER_WRITE == 0 or (state and over()):
+            before, fit.rows = fit.rows, f"{folder}/rows-{number}-{new_name()}"
+            rounds.write(fit.rows)
+            if state:
+                files.publish_text(spark, f"{place}/{number:06d}.json", fit.text())
+            files.delete_folder(spark, before)
+            if not over():
+                rounds.close()
+                rounds = _Rounds(quick, fit, max(cuts), cuts)
+    rounds.close()
+    return Training(Ranker(tuple(fit.trees[: fit.best_round]), params.learning_rate, rates), fit.curve, fit.best_round)
+
+
+class _Rounds:
+    """The rows of a fit between two writes: one stored frame a round, with gradients under the current score.
+
+    Where no session is split, a task finds its sessions' gradients and NDCG on arrays, so
+    that a round moves no rows; otherwise joins and windows do, for sessions of any size.
+    """
+
+    def __init__(self, spark: SparkSession, fit: _Fit, k: int, cuts: tuple[int, ...]):
+        self.fit, self.k, self.cuts = fit, k, cuts
+        placed = _placed(spark.read.schema(_ROWS).parquet(fit.rows), fit.n_rows)
+        self.held = [placed]
+        if fit.split:
+            self.totals = materialize(session_totals(placed, by=_PARTS), "session-totals")
+            self.parts = materialize(_parts(placed, self.totals, k), "session-parts")
+        self.current = self._valued(placed)
+
+    def _valued(self, scored: DataFrame) -> DataFrame:
+        if not self.fit.split:
+            return with_values(scored, self.cuts).persist()
+        scored = scored.select(*[c.split()[0] for c in _ROWS.split(", ")]).persist()
+        compared = compare_with_leaders(scored.where("is_train"), self.parts, self.k).persist()
+        exact = {c: F.rint(F.col(c) * ROW_UNIT).cast("long") for c in ("pull", "hessian")}
+        pulled = gather_lambdas(compared, self.parts).withColumns(exact)
+        rest = scored.where("not is_train").withColumns({c: F.lit(0).cast("long") for c in exact})
+        # Training sessions without a positive have no gradients, but a score.
+        other = scored.where("is_train").join(self.parts.select("qid", "salt"), ["qid", "salt"], "left_anti")
+        other = other.withColumns({c: F.lit(0).cast("long") for c in exact})
+        found = pulled.select(*rest.columns).unionByName(rest).unionByName(other.select(*rest.columns)).persist()
+        self.held += [scored, compared]
+        return found
+
+    def boost(self, params: RankerParams) -> tuple[Tree, dict]:
+        """One more tree, and the metrics with it."""
+        tree = grow_tree(self.current.where("is_train"), self.fit.bounds, params.max_depth, params.l2, params.min_hessian)
+        stepped = self._valued(with_step(self.current, tree, params.learning_rate))
+        metrics = _round_metrics(stepped, self.cuts, self.totals if self.fit.split else None)
+        self.current.unpersist()
+        for frame in self.held[:-2] if self.fit.split else self.held:
+            frame.unpersist()
+        self.held = self.held[-2:] if self.fit.split else []
+        self.current = stepped
+        return tree, metrics
+
+    def write(self, path: str) -> None:
+        self.current.select(*[c.split()[0] for c in _ROWS.split(", ")]).write.parquet(path)
+
+    def close(self) -> None:
+        for frame in (*self.held, self.current):
+            frame.unpersist()
+
+
+_ROWS = (
+    "qid long, user_id long, product_id long, salt long, is_train boolean, target_label int, bins array<int>, score double"
+)
+
+
+def _round_metrics(scored: DataFrame, cuts: tuple[int, ...], totals: DataFrame | None) -> dict:
+    """Mean NDCGs of both parts, as one job. Sessions are summed in whole numbers, in any order alike."""
+    if totals is None:
+        per_session = scored.select("is_train", *[F.when(F.col(f"ndcg_{k}") >= 0, F.col(f"ndcg_{k}")).alias(f"ndcg_{k}") for k in cuts])
+    else:
+        found = session_ndcg(scored, cuts, by=_PARTS, totals=totals)
+        per_session = found.select("is_train", *[_exact(F.col(f"ndcg_{k}")).alias(f"ndcg_{k}") for k in cuts])
     rows = per_session.groupBy("is_train").agg(
-        *[F.coalesce(F.avg(f"ndcg_{k}"), F.lit(0.0)).alias(f"ndcg_{k}") for k in cuts]
+        *[F.sum(f"ndcg_{k}").alias(f"sum_{k}") for k in cuts], *[F.count(f"ndcg_{k}").alias(f"n_{k}") for k in cuts]
     )
     means = {row["is_train"]: row for row in rows.collect()}
-    return {
-        f"{part}_ndcg_{k}": float(means[flag][f"ndcg_{k}"]) if flag in means else 0.0
-        for part, flag in (("train", True), ("validation", False))
-        for k in cuts
-    }
+
+    def mean(flag: bool, k: int) -> float:
+        row = means.get(flag)
+        return row[f"sum_{k}"] / row[f"n_{k}"] / PAIR_UNIT if row and row[f"n_{k}"] else 0.0
+
+    return {f"{part}_ndcg_{k}": mean(flag, k) for part, flag in (("train", True), ("validation", False)) for k in cuts}

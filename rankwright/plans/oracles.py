@@ -340,12 +340,64 @@ _ANSWERS = {
         FROM own o LEFT JOIN sides s ON o.qid = s.qid AND o.user_id = s.user_id AND o.product_id = s.product_id
         GROUP BY o.qid, o.user_id, o.product_id)""",
     "early_stop": """
-        SELECT * FROM (WITH curve AS (SELECT day(created_at) AS round, count(*) AS value FROM fx_events GROUP BY 1),
+        SELECT * FROM (WITH days AS (SELECT CAST(created_at AS DATE) AS day, count(*) AS value FROM fx_events
+                                     WHERE created_at IS NOT NULL GROUP BY 1),
+        curve AS (SELECT date_diff('day', (SELECT min(day) FROM days), day) + 1 AS round, value FROM days),
         marked AS (SELECT round, CASE WHEN value > coalesce(max(value) OVER (ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING
                        AND 1 PRECEDING), -1) THEN round END AS own FROM curve),
         best AS (SELECT round, max(own) OVER (ORDER BY round) AS best FROM marked),
-        last AS (SELECT coalesce(min(round) FILTER (round - best >= 5), max(round)) AS stop FROM best)
+        last AS (SELECT coalesce(min(round) FILTER (round - best >= 15), max(round)) AS stop FROM best)
         SELECT CAST(stop AS BIGINT) AS stop_round, CAST(best AS BIGINT) AS best_round FROM last JOIN best ON round = stop)""",
+    "ranker_histogram": """
+        SELECT * FROM (WITH valued AS (SELECT target_label, retail_price AS price, coalesce(user_age, -1) AS age,
+                              [coalesce(CAST(user_age AS DOUBLE), -1), coalesce(retail_price, -1), coalesce(cost, -1),
+                               coalesce(profit_margin, -1)] AS x FROM training),
+        placed AS (SELECT target_label, x, CASE WHEN x[2] >= 950 THEN 2 WHEN x[1] < 45 THEN 3 ELSE 4 END AS node FROM valued),
+        bounds AS (SELECT * FROM (VALUES (0, [18, 30, 45, 60, 75]), (1, [925, 950, 1000, 1100]), (2, [555, 600, 660]),
+                                         (3, [370, 400])) AS b(feature, cuts))
+        SELECT node, feature, CAST(len(list_filter(cuts, lambda c: c <= x[feature + 1])) AS INTEGER) AS bin,
+               CAST(sum(4 * target_label - 2) AS BIGINT) AS pull, count(*) AS hessian
+        FROM placed, bounds GROUP BY 1, 2, 3)""",
+    "ranker_planted_scores": """
+        SELECT * FROM (WITH RECURSIVE cells AS (
+            SELECT 'user_gender' AS c, user_gender AS value, target_label FROM filled
+            UNION ALL SELECT 'user_country', user_country, target_label FROM filled
+            UNION ALL SELECT 'brand', brand, target_label FROM filled),
+        mean AS (SELECT avg(target_label) AS m FROM training),
+        rates AS (SELECT c, value, (sum(target_label) + 20 * any_value(m)) / (count(*) + 20) AS rate FROM cells, mean GROUP BY 1, 2),
+        trees(round, node, feature, bound, l, r, value) AS (VALUES
+            (1, 0, 'retail_price', 950e0, 1, 2, 0e0), (1, 1, 'user_age', 45, 3, 4, 0), (1, 2, 'brand_rate', 5e-2, 5, 6, 0),
+            (1, 3, NULL, NULL, 3, 3, 5e-1), (1, 4, NULL, NULL, 4, 4, -25e-2), (1, 5, NULL, NULL, 5, 5, 125e-3),
+            (1, 6, NULL, NULL, 6, 6, 1), (2, 0, 'profit_margin', 400, 1, 2, 0), (2, 1, NULL, NULL, 1, 1, -15e-1),
+            (2, 2, 'user_gender_rate', 515e-4, 3, 4, 0), (2, 3, NULL, NULL, 3, 3, 75e-2), (2, 4, NULL, NULL, 4, 4, -2)),
+        valued AS (
+            SELECT qid, user_id, product_id, MAP {
+                'user_age': coalesce(CAST(user_age AS DOUBLE), -1), 'retail_price': coalesce(retail_price, -1),
+                'profit_margin': coalesce(profit_margin, -1), 'brand_rate': b.rate, 'user_gender_rate': g.rate} AS x
+            FROM filled JOIN rates b ON b.c = 'brand' AND b.value = brand JOIN rates g ON g.c = 'user_gender' AND g.value = user_gender),
+        walk AS (
+            SELECT v.*, t.round, 0 AS node FROM valued v, (SELECT DISTINCT round FROM trees) t
+            UNION ALL
+            SELECT w.qid, w.user_id, w.product_id, w.x, w.round, CASE WHEN w.x[t.feature] < t.bound THEN t.l ELSE t.r END
+            FROM walk w JOIN trees t ON t.round = w.round AND t.node = w.node AND t.feature IS NOT NULL)
+        SELECT qid, user_id, product_id, sum(5e-1 * t.value) AS score
+        FROM walk w JOIN trees t ON t.round = w.round AND t.node = w.node AND t.feature IS NULL GROUP BY qid, user_id, product_id)""",
+    "category_rates": """
+        SELECT * FROM (WITH cells AS (
+            SELECT c, value, target_label, CAST(('0x' || substr(sha256(CAST(qid AS VARCHAR)), 1, 8)) AS BIGINT) % 5 AS own FROM (
+                SELECT 'user_gender' AS c, user_gender AS value, target_label, qid FROM filled
+                UNION ALL SELECT 'user_country', user_country, target_label, qid FROM filled
+                UNION ALL SELECT 'brand', brand, target_label, qid FROM filled)),
+        kept AS (SELECT c, value, target_label, fold FROM cells, (SELECT unnest([NULL, 0, 1, 2, 3, 4]) AS fold)
+                 WHERE fold IS NULL OR fold <> own),
+        means AS (SELECT c, fold, avg(target_label) AS m FROM kept GROUP BY 1, 2)
+        SELECT k.c AS "column", value, CAST(k.fold AS INTEGER) AS fold,
+               round((sum(target_label) + 20 * any_value(m)) / (count(*) + 20), 9) AS rate
+        FROM kept k JOIN means ON k.c = means.c AND k.fold IS NOT DISTINCT FROM means.fold GROUP BY k.c, value, k.fold
+        UNION ALL SELECT c, NULL, CAST(fold AS INTEGER), round(m, 9) FROM means)""",
+    "metrics_evaluation": """
+        SELECT 'evaluation' AS stage, m.* FROM summary, LATERAL (VALUES
+            ('test_mean_ndcg_5', mean_ndcg_5), ('target_threshold', 65e-2)) AS m(metric, value)""",
     "ranker_check": """
         SELECT count(*) AS rows_scored, count(DISTINCT qid) AS sessions, CAST(0 AS BIGINT) AS null_scores,
                true AS better_than_constant, true AS same_after_reload FROM training""",

@@ -8,21 +8,23 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwright.config import SESSION_START, RankerParams, RunConfig, StoreConfig
+from rankwright.config import PATIENCE, SESSION_START, RankerParams, RunConfig, StoreConfig
 from rankwright.operators import feature_tables as tables_of
 from rankwright.operators import validation as checks
 from rankwright.operators.candidates import candidate_generation, combined_candidates, final_deduped
-from rankwright.operators.encoding import apply_codes, fit_codes
+from rankwright.operators.encoding import apply_codes, fit_codes, fit_rates
 from rankwright.operators.features import attach_features, feature_columns, feature_matrix, fill_categories
 from rankwright.operators.ndcg import decide, early_stop, evaluation_counts, session_ndcg, session_totals, top_k_by_score
 from rankwright.operators.ordinals import with_ordinal
 from rankwright.operators.popularity import popularity_global, sales_as_of
-from rankwright.operators.ranker import Ranker, Training, fit_ranker, session_lambdas
+from rankwright.operators.histogram import Tree, histogram, with_bins, with_node
+from rankwright.operators.ranker import FEATURES, NUMERIC, Ranker, Training, assemble, fit_ranker, session_lambdas
 from rankwright.operators.sessions import positive_samples, session_context, session_starts
 from rankwright.operators.split import group_sizes, split_by_time
+from rankwright.operators.trees import TREE_TABLE, read_trees, tree_score
 from rankwright.plans import gate
-from rankwright.plans.end_to_end import run_end_to_end
-from rankwright.plans.evaluation import feature_metrics
+from rankwright.plans.end_to_end import run_end_to_end, training_metrics
+from rankwright.plans.evaluation import evaluation_metrics, feature_metrics
 from rankwright.plans.training_set import dated_positives, top_products, training_set
 from rankwright.sources import store
 from rankwright.sources.fixtures import fixture_tables
@@ -119,13 +121,14 @@ def _sink_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _store_for(sf_dir: str) -> StoreConfig:
-    """One database per test scale, so that scales do not overwrite each other."""
-    return StoreConfig(database="feature_store_" + "".join(c if c.isalnum() else "_" for c in sf_dir.strip("/")))
+def _store_for(spark: SparkSession, sf_dir: str) -> StoreConfig:
+    """One database per test scale and application, so that they do not overwrite each other."""
+    name = f"feature_store_{sf_dir.strip('/')}_{spark.sparkContext.applicationId}"
+    return StoreConfig(database="".join(c if c.isalnum() else "_" for c in name).lower())
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, *dispositions: str) -> DataFrame:
-    rows, target = fill_categories(_training(spark, sf_dir)), _store_for(sf_dir)
+    rows, target = fill_categories(_training(spark, sf_dir)), _store_for(spark, sf_dir)
     store.create_database(spark, target)
     for disposition in dispositions:
         store.save_table(rows, target.table_ref(name), disposition, rows.schema)
@@ -133,13 +136,13 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, *dispositions: str) ->
 
 
 def _feature_table_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    uri = store.register_features(fill_categories(_training(spark, sf_dir)), "training_dataset", _store_for(sf_dir))
+    uri = store.register_features(fill_categories(_training(spark, sf_dir)), "training_dataset", _store_for(spark, sf_dir))
     return store.read_feature_table(spark, uri, (SESSION_START, "qid"))
 
 
 def _feature_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registering twice leaves one entry per feature."""
-    target = _store_for(sf_dir)
+    target = _store_for(spark, sf_dir)
     rows = fill_categories(_training(spark, sf_dir))
     for _ in range(2):
         uri = store.register_features(rows, "training_dataset", target)
@@ -196,7 +199,7 @@ def _ranker_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    config = RunConfig(store=_store_for(sf_dir), feature_group="end_to_end")
+    config = RunConfig(store=_store_for(spark, sf_dir), feature_group="end_to_end")
     return run_end_to_end(fixture_tables(spark, sf_dir), config, AS_OF, on_fail="report").drop("run_id", "model_path")
 
 
@@ -207,9 +210,11 @@ def _lambdas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A curve that the tables give: events per day, a round a day."""
-    days = fixture_tables(spark, sf_dir).events.groupBy(F.dayofmonth("created_at").alias("round"))
-    return early_stop(days.agg(F.count("*").cast("double").alias("value")), "value", patience=5)
+    """A curve that the tables give: events per date, a round a day from the first one on."""
+    days = fixture_tables(spark, sf_dir).events.where("created_at is not null").groupBy(F.to_date("created_at").alias("day"))
+    curve = days.agg(F.count("*").cast("double").alias("value"))
+    first = curve.select(F.min("day")).scalar()
+    return early_stop(curve.withColumn("round", F.datediff("day", first) + 1), "value", PATIENCE)
 
 
 def _ranker_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,8 +234,8 @@ def _ranker_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _end_to_end_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row: what a whole run stored, and whether a model was kept exactly if approved."""
-    target = replace(_store_for(sf_dir), database=_store_for(sf_dir).database + "_run")
-    config = RunConfig(ranker=RankerParams(n_trees=2), store=target, feature_group="end_to_end")
+    target = replace(_store_for(spark, sf_dir), database=_store_for(spark, sf_dir).database + "_run")
+    config = RunConfig(store=target, feature_group="end_to_end")
     run = run_end_to_end(fixture_tables(spark, sf_dir), config, AS_OF, on_fail="report").first()
     own = spark.table(target.table_ref("run_metrics")).where(F.col("run_id") == run["run_id"]).count()
     catalog = store.feature_catalog(spark, target).count()
@@ -245,6 +250,63 @@ def _end_to_end_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed values that the SQL counterparts state too: bounds of bins, and two trees over all kinds of features.
+PLANTED_BOUNDS = [[18.0, 30.0, 45.0, 60.0, 75.0], [925.0, 950.0, 1000.0, 1100.0], [555.0, 600.0, 660.0], [370.0, 400.0]]
+PLANTED_TREES = (
+    (1, 0, "retail_price", None, 950.0, 1, 2, 0.0),
+    (1, 1, "user_age", None, 45.0, 3, 4, 0.0),
+    (1, 2, "brand_rate", None, 0.05, 5, 6, 0.0),
+    (1, 3, None, None, None, 3, 3, 0.5),
+    (1, 4, None, None, None, 4, 4, -0.25),
+    (1, 5, None, None, None, 5, 5, 0.125),
+    (1, 6, None, None, None, 6, 6, 1.0),
+    (2, 0, "profit_margin", None, 400.0, 1, 2, 0.0),
+    (2, 1, None, None, None, 1, 1, -1.5),
+    (2, 2, "user_gender_rate", None, 0.0515, 3, 4, 0.0),
+    (2, 3, None, None, None, 3, 3, 0.75),
+    (2, 4, None, None, None, 4, 4, -2.0),
+)
+
+
+def _planted_trees() -> tuple[Tree, ...]:
+    names = [part.split()[0] for part in TREE_TABLE.split(", ")]
+    return read_trees([dict(zip(names, row, strict=True)) for row in PLANTED_TREES], FEATURES)
+
+
+def _ranker_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sums one level of a tree is grown on: after two splits, for a logistic loss at score 0, in quarters."""
+    rows = _training(spark, sf_dir)
+    numbers = {f"_{c}": F.coalesce(F.col(c).cast("double"), F.lit(-1.0)) for c in NUMERIC}
+    binned = with_bins(rows.withColumns(numbers), list(numbers), PLANTED_BOUNDS)
+    tree = Tree((1, 0, 0), (1, 2, 9), (950.0, 45.0, 0.0), (1, 3, 2), (2, 4, 2), (0.0, 0.0, 0.0))
+    tree = Tree(tree.feature + (0, 0), tree.bin + (9, 9), tree.bound + (0.0, 0.0), tree.left + (3, 4), tree.right + (3, 4), (0.0,) * 5)
+    pulled = with_node(binned, tree, 2).select(
+        "node", "bins", (F.col("target_label") * 4 - 2).cast("long").alias("pull"), F.lit(1).cast("long").alias("hessian")
+    )
+    return histogram(pulled)
+
+
+def _ranker_planted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A given table of trees over every row, by the expression a fitted ranker scores with."""
+    rows = _training(spark, sf_dir)
+    known = assemble(rows, materialize(fit_rates(rows, "target_label"), "rates"))
+    score = tree_score(_planted_trees(), 0.5, [F.col(f"_{c}") for c in FEATURES])
+    return known.select("qid", "user_id", "product_id", score.alias("score"))
+
+
+def _category_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = fit_rates(_training(spark, sf_dir), "target_label", folds=RankerParams().folds)
+    return rates.withColumn("rate", F.round("rate", 9))
+
+
+def _metrics_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_metrics(spark, _fitted(spark, sf_dir))
+
+
+def _metrics_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluation_metrics(decide(_summary(spark, sf_dir), 0.65))
+
+
 _SAMPLE = ("session_id", "user_id", "current_session_category", "product_id", "label")
 
 
@@ -308,6 +370,11 @@ def queries() -> dict[str, Query]:
         "ranker_scores": _ranker_scores,
         "end_to_end_run": _end_to_end,
         "ranker_lambdas": _lambdas,
+        "ranker_histogram": _ranker_histogram,
+        "ranker_planted_scores": _ranker_planted_scores,
+        "category_rates": _category_rates,
+        "metrics_training": _metrics_training,
+        "metrics_evaluation": _metrics_evaluation,
         "early_stop": _early_stop,
         "ranker_check": _ranker_check,
         "end_to_end_check": _end_to_end_check,

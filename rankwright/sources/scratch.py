@@ -27,8 +27,13 @@ def shared_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/rankwright/{app}"
 
 
+def new_name() -> str:
+    """A name no other writer uses."""
+    return uuid.uuid4().hex
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{shared_root(spark)}/{label}-{new_name()}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

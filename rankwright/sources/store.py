@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankwright.config import IDENTITY, SESSION_START, StoreConfig
+from rankwright.sources import versions
 from rankwright.sources.scratch import shared_root
-from rankwright.sources.tables import table_exists
 
 # Write dispositions and the columns entities are looked up by.
-DISPOSITIONS = {"WRITE_TRUNCATE": "overwrite", "WRITE_APPEND": "append", "WRITE_EMPTY": "errorifexists"}
+DISPOSITIONS = {"WRITE_TRUNCATE": versions.replaced(), "WRITE_APPEND": versions.appended, "WRITE_EMPTY": versions.first_only}
 ENTITY_KEYS = ("user_id", "product_id")
 
 _CATALOG = "feature_group string, feature string, description string, entity_keys array<string>, source string, schema_version int"
@@ -44,9 +44,24 @@ def model_path(spark: SparkSession, model: str, run_id: str, store: StoreConfig)
 def save_table(
     df: DataFrame, ref: str, write_disposition: str = "WRITE_TRUNCATE", schema: T.StructType | None = None
 ) -> None:
-    """Load ``df`` into a table, under its own schema or one it must fit."""
+    """Load ``df`` into a table, under its own schema or one it must fit.
+
+    The rows become visible as the table's next version, all at once. Appended rows must
+    have the table's columns. What a reader began with stays until ``versions.drop_old``.
+    """
+    change = DISPOSITIONS[write_disposition]
     rows = df.to(schema) if schema else df
-    rows.write.mode(DISPOSITIONS[write_disposition]).format("parquet").saveAsTable(ref)
+    spark = df.sparkSession
+    folder = versions.table_folder(spark, ref)
+    versions.write(rows, folder, change, fits=write_disposition == "WRITE_APPEND")
+    versions.attach(spark, ref)
+
+
+def load_table(spark: SparkSession, ref: str) -> DataFrame:
+    """The latest version of a stored table, also one another application has written."""
+    if versions.attach(spark, ref):
+        return versions.read(spark, versions.table_folder(spark, ref))
+    return spark.table(ref)
 
 
 def save_parquet(df: DataFrame, path: str) -> None:
@@ -86,19 +101,16 @@ def parent_uri(uri: str) -> str:
 
 def read_feature_table(spark: SparkSession, uri: str, order: tuple[str, ...] = ()) -> DataFrame:
     """A feature table by URI, globally ordered only where a consumer needs it."""
-    table = spark.table(strip_scheme(uri))
+    table = load_table(spark, strip_scheme(uri))
     return table.orderBy(*order) if order else table
 
 
-def _append_new(spark: SparkSession, rows: DataFrame, ref: str, schema: str, keys: list[str]) -> None:
-    """Append the rows whose keys the table does not hold yet."""
-    if table_exists(spark, ref):
-        rows = rows.join(spark.table(ref).select(*keys), keys, "left_anti")
-    save_table(rows, ref, "WRITE_APPEND", T.StructType.fromDDL(schema))
-
-
 def register_features(training: DataFrame, group: str, store: StoreConfig = StoreConfig()) -> str:
-    """Load the feature table (replacing it), add missing catalog entries, return its URI."""
+    """Load the feature table (replacing it), write the group's catalog entries, return its URI.
+
+    A group's entries are one part of the catalog and are replaced as one: whoever
+    registers a group last has described it, and other groups are left alone.
+    """
     spark = training.sparkSession
     create_database(spark, store)
     ref = store.table_ref(group)
@@ -108,14 +120,22 @@ def register_features(training: DataFrame, group: str, store: StoreConfig = Stor
         for c in training.columns
         if c not in IDENTITY
     ]
-    _append_new(
-        spark, spark.createDataFrame(entries, _CATALOG), store.table_ref("feature_catalog"), _CATALOG, ["feature_group", "feature"]
-    )
+    describe_features(spark.createDataFrame(entries, _CATALOG), group, store)
     return table_uri(ref)
 
 
+def describe_features(entries: DataFrame, group: str, store: StoreConfig = StoreConfig()) -> None:
+    """Replace the catalog's entries of one group."""
+    spark = entries.sparkSession
+    create_database(spark, store)
+    catalog = store.table_ref("feature_catalog")
+    rows = entries.to(T.StructType.fromDDL(_CATALOG))
+    versions.write(rows, versions.table_folder(spark, catalog), versions.replaced(group))
+    versions.attach(spark, catalog)
+
+
 def feature_catalog(spark: SparkSession, store: StoreConfig = StoreConfig()) -> DataFrame:
-    return spark.table(store.table_ref("feature_catalog"))
+    return load_table(spark, store.table_ref("feature_catalog"))
 
 
 def append_metrics(metrics: DataFrame, run_id: str, store: StoreConfig = StoreConfig()) -> None:

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rankwright.sources import versions
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -53,5 +55,11 @@ def run_ddl(spark: SparkSession, text: str) -> None:
 
 
 def table_exists(spark: SparkSession, ref: str) -> bool:
-    """Whether ``ref`` names a table; errors other than absence are raised."""
-    return spark.catalog.tableExists(ref)
+    """Whether ``ref`` names a table the catalog knows or one that lies in its database's folder.
+
+    Errors other than absence are raised.
+    """
+    if spark.catalog.tableExists(ref):
+        return True
+    database = ref.rpartition(".")[0] or spark.catalog.currentDatabase()
+    return spark.catalog.databaseExists(database) and versions.current(spark, versions.table_folder(spark, ref)) is not None

@@ -43,7 +43,7 @@ def test_query_equals_sql(spark, sql, name):
 def test_every_sql_text_has_a_query():
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
     assert set(queries()) - set(oracle_sql()) == {
-        "ranker_train_summary", "ranker_learning_curve", "ranker_scores", "end_to_end_run",
+        "ranker_train_summary", "ranker_learning_curve", "ranker_scores", "end_to_end_run", "metrics_training",
     }
 
 
