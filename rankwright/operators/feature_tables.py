@@ -2,8 +2,8 @@
 
 All count what happened, over all rows; guests (no user) and unknown products drop
 out where a user or a product is the key. Sums of prices and weights are decimal, so
-no order of adding changes them. Wide keys are counted before they are shuffled;
-windows run over days, never over one user's raw events.
+no order of adding changes them. Wide keys are counted before they meet the catalog;
+windows run over days, or over one user's events of one range partition.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankwright.config import INTERACTION_WEIGHTS, ROLLING_WINDOWS
+from rankwright.operators.ordinals import with_previous
 
 
 def _weight() -> Column:
@@ -31,10 +32,13 @@ def _price(name: str) -> Column:
     return F.col(name).cast("decimal(20,4)")
 
 
-def _on_known(rows: DataFrame, products: DataFrame) -> DataFrame:
-    """Rows of a user on a product of the catalog."""
-    known = rows.where(F.col("user_id").isNotNull() & F.col("product_id").isNotNull())
-    return known.join(products.select(F.col("id").alias("product_id")).distinct(), "product_id", "left_semi")
+def _with_keys(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("user_id").isNotNull() & F.col("product_id").isNotNull())
+
+
+def _on_known(counted: DataFrame, products: DataFrame) -> DataFrame:
+    """Rows on a product of the catalog: one per user and product, so a hot product moves no events."""
+    return counted.join(products.select(F.col("id").alias("product_id")).distinct(), "product_id", "left_semi")
 
 
 def _events_of_type(name: str) -> Column:
@@ -43,9 +47,10 @@ def _events_of_type(name: str) -> Column:
 
 def interaction_scores(events: DataFrame, products: DataFrame) -> DataFrame:
     """Events and summed weight of every user on every product they met."""
-    return _on_known(events, products).groupBy("user_id", "product_id").agg(
+    counted = _with_keys(events).groupBy("user_id", "product_id").agg(
         F.count("*").alias("n_events"), F.sum(_weight()).cast("double").alias("score")
     )
+    return _on_known(counted, products).select("user_id", "product_id", "n_events", "score")
 
 
 def user_item_matrix(events: DataFrame, order_items: DataFrame, products: DataFrame) -> DataFrame:
@@ -54,12 +59,8 @@ def user_item_matrix(events: DataFrame, order_items: DataFrame, products: DataFr
     rows = events.select("user_id", "product_id", _weight().alias("weight")).unionByName(
         order_items.select("user_id", "product_id", bought.alias("weight"))
     )
-    return (
-        _on_known(rows, products)
-        .groupBy("user_id", "product_id")
-        .agg(F.sum("weight").cast("double").alias("weight"))
-        .where(F.col("weight") != 0)
-    )
+    summed = _with_keys(rows).groupBy("user_id", "product_id").agg(F.sum("weight").cast("double").alias("weight"))
+    return _on_known(summed.where(F.col("weight") != 0), products).select("user_id", "product_id", "weight")
 
 
 def rolling_user_activity(events: DataFrame, windows: tuple[int, ...] = ROLLING_WINDOWS) -> DataFrame:
@@ -84,13 +85,13 @@ def rolling_user_activity(events: DataFrame, windows: tuple[int, ...] = ROLLING_
 
 def user_features(users: DataFrame, events: DataFrame, order_items: DataFrame) -> DataFrame:
     """Every user with their activity and purchases; 0 where there is none."""
-    active = events.groupBy(F.col("user_id").alias("id")).agg(
+    active = events.where(F.col("user_id").isNotNull()).groupBy(F.col("user_id").alias("id")).agg(
         F.count("*").alias("n_events"),
         F.countDistinct("session_id").alias("n_sessions"),
         _events_of_type("purchase").alias("n_purchases"),
         F.max("created_at").alias("last_event_at"),
     )
-    bought = order_items.groupBy(F.col("user_id").alias("id")).agg(
+    bought = order_items.where(F.col("user_id").isNotNull()).groupBy(F.col("user_id").alias("id")).agg(
         F.count("*").alias("n_items"),
         F.countDistinct("order_id").alias("n_orders"),
         F.sum(_price("sale_price")).cast("double").alias("spend"),
@@ -113,10 +114,10 @@ def user_features(users: DataFrame, events: DataFrame, order_items: DataFrame) -
 
 def product_features(products: DataFrame, events: DataFrame, order_items: DataFrame) -> DataFrame:
     """Every product with its sales and events; ``conversion`` is purchases per view, NULL without views."""
-    met = events.groupBy(F.col("product_id").alias("id")).agg(
+    met = events.where(F.col("product_id").isNotNull()).groupBy(F.col("product_id").alias("id")).agg(
         *[_events_of_type(kind).alias(name) for kind, name in (("product", "n_views"), ("cart", "n_carts"), ("purchase", "n_purchases"))]
     )
-    sold = order_items.groupBy(F.col("product_id").alias("id")).agg(
+    sold = order_items.where(F.col("product_id").isNotNull()).groupBy(F.col("product_id").alias("id")).agg(
         F.count("*").alias("n_items"),
         F.countDistinct("user_id").alias("n_buyers"),
         F.sum(_price("sale_price")).cast("double").alias("revenue"),
@@ -145,7 +146,7 @@ def interaction_features(events: DataFrame, order_items: DataFrame, products: Da
             _price("sale_price").alias("price"),
         )
     )
-    return _on_known(rows, products).groupBy("user_id", "product_id").agg(
+    counted = _with_keys(rows).groupBy("user_id", "product_id").agg(
         _events_of_type("product").alias("n_views"),
         _events_of_type("cart").alias("n_carts"),
         _events_of_type("purchase").alias("n_purchases"),
@@ -154,24 +155,22 @@ def interaction_features(events: DataFrame, order_items: DataFrame, products: Da
         F.min("created_at").alias("first_at"),
         F.max("created_at").alias("last_at"),
     )
+    return _on_known(counted, products).select("user_id", *[c for c in counted.columns if c != "user_id"])
 
 
 def temporal_features(events: DataFrame) -> DataFrame:
     """Hour, ISO weekday, weekend, and seconds since the user's event before, per dated event of a user.
 
-    The event before is looked for within the day, then in the user's last active
-    day: a window holds one user's day, or one row per day.
+    A user's events may fill many range partitions; only the last of each is carried on.
     """
-    dated = events.where(F.col("user_id").isNotNull() & F.col("created_at").isNotNull()).withColumn("_day", F.to_date("created_at"))
-    in_day = Window.partitionBy("user_id", "_day").orderBy("created_at", "event_type", "product_id", "session_id")
-    last = dated.groupBy("user_id", "_day").agg(F.max("created_at").alias("_last"))
-    last = last.withColumn("_last", F.lag("_last").over(Window.partitionBy("user_id").orderBy("_day")))
+    dated = events.where(F.col("user_id").isNotNull() & F.col("created_at").isNotNull())
+    order = ["created_at", "event_type", "product_id", "session_id"]
+    followed = with_previous(dated, ["user_id"], order, "created_at", "_before")
     weekday = F.weekday("created_at") + 1
-    before = F.coalesce(F.lag("created_at").over(in_day), F.col("_last"))
-    return dated.join(last, ["user_id", "_day"]).select(
+    return followed.select(
         "user_id", "session_id", "event_type", "product_id", "created_at",
         F.hour("created_at").alias("hour"),
         weekday.alias("day_of_week"),
         (weekday >= 6).alias("is_weekend"),
-        F.timestamp_diff("SECOND", before, F.col("created_at")).alias("gap_seconds"),
+        F.timestamp_diff("SECOND", F.col("_before"), F.col("created_at")).alias("gap_seconds"),
     )

@@ -55,3 +55,25 @@ def with_total_before(df: DataFrame, order: str, value: str, name: str) -> DataF
         .withColumn(name, F.col("_before") + F.col("_offset"))
         .drop("_part", "_before", "_offset")
     )
+
+
+def with_previous(df: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
+    """``df`` with ``value`` of the row before it among the rows of its keys; NULL for the first.
+
+    Rows are split by ranges of (keys, order), so the rows of a key that many share lie in
+    many partitions, and a window holds one key's rows of one partition. The last
+    value of a key in a partition is carried to its next partition: one row per key and
+    partition meets the rows there. Rows equal in all of ``order`` may take either place.
+    """
+    ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    placed = materialize(ranged.withColumn("_part", F.spark_partition_id()), "ordered")
+    own = Window.partitionBy("_part", *keys).orderBy(*order)
+    inside = placed.withColumns({"_first": F.row_number().over(own) == 1, name: F.lag(value).over(own)})
+    last = placed.groupBy("_part", *keys).agg(F.max_by(value, F.struct(*order)).alias("_last"))
+    earlier = Window.partitionBy(*keys).orderBy("_part")
+    carried = last.withColumn("_carried", F.lag("_last").over(earlier)).where(F.col("_carried").isNotNull())
+    return (
+        inside.join(carried.drop("_last"), ["_part", *keys], "left")
+        .withColumn(name, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col(name)))
+        .drop("_part", "_first", "_carried")
+    )

@@ -303,6 +303,8 @@ def fit_ranker(
     spark = training.sparkSession
     place = state.rstrip("/") if state else new_path(spark, "ranker")
     fit = _latest(spark, place, params, cuts) if state else None
+    if fit and fit.n_rows != training.count():
+        raise ValueError(f"{place} holds a fit on {fit.n_rows} rows")
     if fit is None:
         fit = _begin(training, params, cuts, f"{place}/{new_name()}")
         if state:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 _VIEWS = {
     "fx_events": """
         SELECT CASE WHEN event_id % 307 <> 0 THEN user_id * 100 + day(ts) END AS session_id,
@@ -49,6 +51,26 @@ _VIEWS = {
     "active_days": """
         SELECT user_id, CAST(created_at AS DATE) AS day, count(*) AS n, sum(weight) AS weight
         FROM weighted_events GROUP BY 1, 2""",
+    "fx_order_items_repaired": """
+        SELECT *, CASE WHEN status = 'R' THEN created_at + INTERVAL 14 DAY END AS returned_at, created_at + INTERVAL 1 DAY AS shipped_at,
+               created_at + INTERVAL 3 DAY AS delivered_at, id AS inventory_item_id
+        FROM (SELECT id, order_id + 1000000000 * (row_number() OVER (PARTITION BY order_id, product_id, user_id
+                                                                     ORDER BY id, sale_price, status, created_at) - 1) AS order_id,
+                     user_id, product_id, sale_price, status, created_at
+              FROM fx_order_items
+              UNION ALL
+              SELECT -o_orderkey - 1, o_orderkey, o_custkey, p_partkey, p_retailprice, 'O',
+                     timestamp '2024-01-01' + to_hours(CAST(o_orderkey % 720 AS INTEGER))
+              FROM orders JOIN part ON p_partkey = o_orderkey % (SELECT count(*) FROM part)
+              WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem))""",
+    "judged": """
+        SELECT i.*,
+               (i.user_id IS NULL) AS missing_user, (i.product_id IS NULL) AS missing_product, (sale_price IS NULL) AS missing_price,
+               coalesce(sale_price < 0, false) AS negative_price,
+               (i.product_id IS NOT NULL AND i.product_id NOT IN (SELECT id FROM fx_products_dirty)) AS unknown_product,
+               (i.user_id IS NOT NULL AND i.user_id NOT IN (SELECT id FROM fx_users)) AS unknown_user,
+               count(*) OVER (PARTITION BY order_id, i.product_id, i.user_id) > 1 AS duplicate_key
+        FROM fx_order_items_dirty i""",
     # Validation
     "broken_products": """
         SELECT oi.product_id, count(*) AS items FROM fx_order_items_dirty oi
@@ -258,6 +280,50 @@ _ANSWERS = {
     "sink_validated_roundtrip": """
         SELECT * FROM fx_order_items_dirty
         WHERE user_id IS NOT NULL AND product_id IS NOT NULL AND sale_price >= 0""",
+    "validation_report_open": """
+        SELECT CAST(to_json({
+            'passed': true,
+            'checks': {
+                'missing_values': true, 'duplicate_records': n_duplicates = 0, 'negative_prices': n_negative = 0,
+                'invalid_ages': true, 'broken_product_relations': n_products = 0, 'broken_user_relations': n_users = 0,
+                'data_leakage': n_future = 0, 'empty_product_names': n_names = 0, 'invalid_product_prices': n_prices = 0,
+                'orders_without_items': n_lonely = 0, 'schema_validation': true},
+            'errors': CAST([] AS VARCHAR[]), 'warnings': CAST([] AS VARCHAR[]),
+            'stats': {
+                'missing_users': 0, 'missing_products': 0, 'missing_prices': 0, 'duplicate_records': n_duplicates,
+                'negative_prices': n_negative, 'invalid_ages': 0, 'broken_product_relations': n_products,
+                'broken_user_relations': n_users, 'data_leakage': n_future, 'empty_product_names': n_names,
+                'invalid_product_prices': n_prices, 'orders_without_items': n_lonely, 'schema_validation': 0,
+                'broken_product_relations_items': n_products, 'broken_user_relations_items': n_users,
+                'final_validated_records': n_items}
+        }) AS VARCHAR) AS report FROM (SELECT
+            (SELECT count(*) FROM (SELECT 1 FROM fx_order_items_repaired GROUP BY order_id, product_id, user_id HAVING count(*) > 1)) AS n_duplicates,
+            (SELECT count(*) FROM fx_order_items_repaired WHERE sale_price < 0) AS n_negative,
+            (SELECT count(*) FROM fx_order_items_repaired WHERE product_id NOT IN (SELECT id FROM fx_products)) AS n_products,
+            (SELECT count(*) FROM fx_order_items_repaired WHERE user_id NOT IN (SELECT id FROM fx_users)) AS n_users,
+            (SELECT count(*) FROM fx_orders WHERE created_at > timestamp '2002-01-01') AS n_future,
+            (SELECT count(*) FROM fx_products WHERE name IS NULL OR trim(name) = '') AS n_names,
+            (SELECT count(*) FROM fx_products WHERE retail_price <= 0 OR cost < 0) AS n_prices,
+            (SELECT count(*) FROM fx_orders WHERE order_id NOT IN (SELECT order_id FROM fx_order_items_repaired)) AS n_lonely,
+            (SELECT count(*) FROM fx_order_items_repaired WHERE user_id IS NOT NULL AND product_id IS NOT NULL AND sale_price >= 0) AS n_items)""",
+    "quarantined_items": """
+        SELECT id, order_id, user_id, product_id, sale_price, status, created_at,
+               CAST(missing_user AS INTEGER) + 2 * CAST(missing_product AS INTEGER) + 4 * CAST(missing_price AS INTEGER)
+               + 8 * CAST(negative_price AS INTEGER) + 16 * CAST(unknown_product AS INTEGER) + 32 * CAST(unknown_user AS INTEGER)
+               + 64 * CAST(duplicate_key AS INTEGER) AS broken,
+               concat_ws(',', CASE WHEN missing_user THEN 'missing_user' END, CASE WHEN missing_product THEN 'missing_product' END,
+                         CASE WHEN missing_price THEN 'missing_price' END, CASE WHEN negative_price THEN 'negative_price' END,
+                         CASE WHEN unknown_product THEN 'unknown_product' END, CASE WHEN unknown_user THEN 'unknown_user' END,
+                         CASE WHEN duplicate_key THEN 'duplicate_key' END) AS rules
+        FROM judged WHERE missing_user OR missing_product OR missing_price OR negative_price""",
+    "quarantine_counts": """
+        SELECT r.* FROM (SELECT count(*) AS n, count(*) FILTER (missing_user OR missing_product OR missing_price OR negative_price) AS q,
+                count(*) FILTER (missing_user) AS a, count(*) FILTER (missing_product) AS b, count(*) FILTER (missing_price) AS c,
+                count(*) FILTER (negative_price) AS d, count(*) FILTER (unknown_product) AS e, count(*) FILTER (unknown_user) AS f,
+                count(*) FILTER (duplicate_key) AS g FROM judged), LATERAL (VALUES
+            ('order_items', n), ('quarantined', q), ('missing_user', a), ('missing_product', b), ('missing_price', c),
+            ('negative_price', d), ('unknown_product', e), ('unknown_user', f), ('duplicate_key', g)) AS r(rule, items)""",
+    "training_set_validated": "repaired: SELECT * FROM training",
     "session_context": "SELECT * FROM session_context",
     "session_start": "SELECT * FROM session_start",
     "positive_samples": "SELECT * FROM positive_samples",
@@ -464,7 +530,24 @@ _ANSWERS = {
 }
 
 
+def _over_repaired(answer: str) -> str:
+    """An answer over the repaired items and users: the views that read them, named anew."""
+    read = {"fx_order_items": "fx_order_items_repaired", "fx_users": "repaired_users"}
+    changed: dict[str, str] = {}
+    for name, body in _VIEWS.items():
+        for old, new in {**read, **{n: f"{n}_open" for n in changed}}.items():
+            body = re.sub(rf"\b{old}\b", new, body)
+        if body != _VIEWS[name] and name not in ("fx_order_items_dirty", "fx_order_items_repaired"):
+            changed[name] = body
+    for name in changed:
+        answer = re.sub(rf"\b{name}\b", f"{name}_open", answer)
+    views = {"repaired_users": "SELECT * REPLACE (greatest(0, least(100, age)) AS age) FROM fx_users"}
+    views |= {f"{name}_open": body for name, body in changed.items()}
+    return f"SELECT * FROM (WITH {', '.join(f'{name} AS ({body})' for name, body in views.items())} {answer})"
+
+
 def oracle_sql() -> dict[str, str]:
     """One SQL text per query; every text carries the views it may use."""
     views = ",\n".join(f"{name} AS ({body})" for name, body in _VIEWS.items())
-    return {name: f"WITH {views}\n{answer}" for name, answer in _ANSWERS.items()}
+    answers = {name: _over_repaired(a.split(":", 1)[1]) if a.startswith("repaired:") else a for name, a in _ANSWERS.items()}
+    return {name: f"WITH {views}\n{answer}" for name, answer in answers.items()}

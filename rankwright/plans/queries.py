@@ -18,6 +18,7 @@ from rankwright.operators.ndcg import decide, early_stop, evaluation_counts, ses
 from rankwright.operators.ordinals import with_ordinal
 from rankwright.operators.popularity import popularity_global, sales_as_of
 from rankwright.operators.histogram import Tree, histogram, with_bins, with_node
+from rankwright.operators.quarantine import part_items, quarantined_items, rule_names, valid_items
 from rankwright.operators.ranker import FEATURES, NUMERIC, Ranker, Training, assemble, fit_ranker, session_lambdas
 from rankwright.operators.sessions import positive_samples, session_context, session_starts
 from rankwright.operators.split import group_sizes, split_by_time
@@ -27,7 +28,7 @@ from rankwright.plans.end_to_end import run_end_to_end, training_metrics
 from rankwright.plans.evaluation import evaluation_metrics, feature_metrics
 from rankwright.plans.training_set import dated_positives, top_products, training_set
 from rankwright.sources import store
-from rankwright.sources.fixtures import fixture_tables
+from rankwright.sources.fixtures import fixture_tables, repaired_tables
 from rankwright.sources.scratch import materialize, new_path
 
 AS_OF = "2001-01-01"
@@ -121,6 +122,36 @@ def _sink_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+#: No repaired order is dated after it.
+AS_OF_OPEN = "2002-01-01"
+
+
+def _quarantined_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items the gate holds back, with the rules they break, from the one write that parts them."""
+    tables = _dirty(spark, sf_dir)
+    parted = part_items(tables, new_path(spark, "parted-items"))
+    return quarantined_items(parted, tables.order_items).withColumn("rules", F.array_join(rule_names(F.col("broken")), ","))
+
+
+def _quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items per rule, as counted on the way by that write."""
+    counts = part_items(_dirty(spark, sf_dir), new_path(spark, "parted-items")).counts
+    return spark.createDataFrame(sorted(counts.items()), "rule string, items long")
+
+
+def _report_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = checks.validation_stats(repaired_tables(spark, sf_dir), AS_OF_OPEN)
+    return gate.report_json(gate.validation_report(stats))
+
+
+def _training_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training set of a run whose gate is open, on the items it let through."""
+    tables = repaired_tables(spark, sf_dir)
+    gate.run_gate(tables, as_of=AS_OF_OPEN).require()
+    parted = part_items(tables, new_path(spark, "parted-items"))
+    return training_set(replace(tables, order_items=valid_items(parted, tables.order_items)))
+
+
 def _store_for(spark: SparkSession, sf_dir: str) -> StoreConfig:
     """One database per test scale and application, so that they do not overwrite each other."""
     name = f"feature_store_{sf_dir.strip('/')}_{spark.sparkContext.applicationId}"
@@ -330,6 +361,10 @@ def queries() -> dict[str, Query]:
         "validation_report": lambda s, d: gate.report_json(gate.validation_report(_stats(s, d))),
         "metrics_validation": lambda s, d: gate.validation_metrics(_stats(s, d)),
         "sink_validated_roundtrip": _sink_validated,
+        "validation_report_open": _report_open,
+        "quarantined_items": _quarantined_items,
+        "quarantine_counts": _quarantine_counts,
+        "training_set_validated": _training_validated,
         "session_context": _context,
         "session_start": lambda s, d: session_starts(_context(s, d)),
         "positive_samples": lambda s, d: positive_samples(_context(s, d)),

@@ -6,7 +6,7 @@ engines see the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankwright.sources.tables import Tables
@@ -27,6 +27,10 @@ SCHEMAS = {
 }
 
 
+#: Added to an order's id for each time a product comes again in it.
+REPEATED = 1_000_000_000
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
@@ -82,6 +86,54 @@ def fx_order_items_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fx_order_items_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order items that pass every check; none is left out.
+
+    A line that repeats its order's product becomes an order of its own, an order without
+    lines gets one, and the dates and the inventory id that were missing are added.
+    """
+    items = fx_order_items(spark, sf_dir)
+    order = Window.partitionBy("order_id", "product_id", "user_id").orderBy("id", "sale_price", "status", "created_at")
+    lines = items.withColumn("order_id", F.col("order_id") + (F.row_number().over(order) - 1).cast("bigint") * REPEATED)
+    orders, parts = _read(spark, sf_dir, "orders"), _read(spark, sf_dir, "part")
+    n_products = parts.select(F.count("*")).scalar()
+    lonely = orders.join(_read(spark, sf_dir, "lineitem").select("l_orderkey").distinct(), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti")
+    given = lonely.withColumn("_part", F.col("o_orderkey") % n_products).join(parts, F.col("_part") == F.col("p_partkey"))
+    hours = F.col("o_orderkey") % 720
+    added = given.select(
+        (-F.col("o_orderkey") - 1).alias("id"),
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("user_id"),
+        F.col("p_partkey").alias("product_id"),
+        F.col("p_retailprice").alias("sale_price"),
+        F.lit("O").alias("status"),
+        (F.expr("timestamp_ntz'2024-01-01'") + F.expr("interval '1' hour") * hours.cast("int")).alias("created_at"),
+    )
+    day = F.expr("interval '1' day")
+    return lines.unionByName(added).withColumns(
+        {
+            "returned_at": F.when(F.col("status") == "R", F.col("created_at") + day * 14),
+            "shipped_at": F.col("created_at") + day,
+            "delivered_at": F.col("created_at") + day * 3,
+            "inventory_item_id": F.col("id"),
+        }
+    )
+
+
+def repaired_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """All five tables so that every check passes: ages within limits, orders for the lines that were split off."""
+    clean, items = fixture_tables(spark, sf_dir), fx_order_items_repaired(spark, sf_dir)
+    split = items.where(F.col("order_id") >= REPEATED).select("order_id").distinct()
+    moment = F.lit("1998-01-01").cast("timestamp_ntz").alias("created_at")
+    return Tables(
+        users=clean.users.withColumn("age", F.greatest(F.lit(0), F.least(F.lit(100), F.col("age")))),
+        products=clean.products,
+        orders=clean.orders.unionByName(split.select("order_id", moment)),
+        order_items=items,
+        events=clean.events,
+    )
+
+
 def fx_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = _read(spark, sf_dir, "customer")
     nations = _read(spark, sf_dir, "nation")

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rankwright.config import RankerParams, RunConfig, StoreConfig
-from rankwright.operators.encoding import apply_rates, fit_rates
+from rankwright.operators.encoding import apply_rates, fit_rates, fold_of
 from rankwright.operators.features import fill_categories
 from rankwright.operators.ndcg import discount_sum, evaluation_counts, session_ndcg
 from rankwright.operators.ranker import Ranker, compare_with_leaders, fit_ranker, gather_lambdas
@@ -207,6 +207,50 @@ def test_early_stop_keeps_the_best_round(planted):
     assert len(run.curve) == min(30, run.best_round + 1) and len(run.ranker.trees) == run.best_round
 
 
+def test_a_broken_fit_goes_on_as_if_unbroken(spark, planted, tmp_path, monkeypatch):
+    from rankwright.operators import ranker
+
+    monkeypatch.setattr(ranker, "ROUNDS_PER_WRITE", 4)
+    params, keys = RankerParams(n_trees=15, patience=15), ["qid", "user_id", "product_id", "score"]
+    whole = fit_ranker(planted, params, state=f"{tmp_path}/whole")
+    grow, calls = ranker.grow_tree, []
+
+    def breaking(*args):
+        calls.append(1)
+        if len(calls) == 14:  # rounds 1 to 12 are written, 13 is not
+            raise RuntimeError("driver lost")
+        return grow(*args)
+
+    monkeypatch.setattr(ranker, "grow_tree", breaking)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        fit_ranker(planted, params, state=f"{tmp_path}/broken")
+    resumed = fit_ranker(planted, params, state=f"{tmp_path}/broken")
+    assert len(calls) == 14 + 3 and resumed.curve == whole.curve and resumed.best_round == whole.best_round
+    assert resumed.ranker.table().collect() == whole.ranker.table().collect()
+    scores = [run.ranker.score(planted).select(keys) for run in (whole, resumed)]
+    assert scores[0].exceptAll(scores[1]).isEmpty()
+    again = fit_ranker(planted, params, state=f"{tmp_path}/broken")  # nothing is left to do
+    assert again.curve == whole.curve and len(calls) == 17
+    with pytest.raises(ValueError, match="settings"):
+        fit_ranker(planted, replace(params, l2=3.0), state=f"{tmp_path}/broken")
+    with pytest.raises(ValueError, match="rows"):
+        fit_ranker(planted.where("qid % 3 > 0"), params, state=f"{tmp_path}/broken")
+
+
+def test_rates_leave_a_rows_own_label_out(spark, planted):
+    noise = planted.withColumn("target_label", (F.pmod(F.xxhash64("qid", "product_id", F.lit(3)), F.lit(6)) == 0).cast("int"))
+    noise = noise.withColumn("brand", F.concat(F.lit("b"), F.pmod(F.xxhash64("qid", "product_id"), F.lit(4000))))
+    run = fit_ranker(noise, RankerParams(n_trees=8, patience=8))
+    constant = session_ndcg(noise.where("is_train").withColumn("score", F.lit(0.0)), (10,))
+    base = constant.agg(F.avg("ndcg_10")).first()[0]
+    assert run.curve[-1]["train_ndcg_10"] < base + 0.1
+    leaking = fit_rates(noise.where("is_train"), "target_label", prior=0.0)
+    told = apply_rates(noise.where("is_train"), leaking)
+    left_out = apply_rates(noise.where("is_train"), fit_rates(noise.where("is_train"), "target_label", folds=5), fold=fold_of("qid", 5))
+    assert told.agg(F.corr("brand_rate", "target_label")).first()[0] > 0.5
+    assert abs(left_out.agg(F.corr("brand_rate", "target_label")).first()[0]) < 0.2
+
+
 def test_whole_run_publishes_only_when_approved(spark):
     config = RunConfig(ranker=RankerParams(n_trees=1), store=StoreConfig(database="run_store"), ndcg_threshold=0.0001)
     source = fixture_tables(spark, SMALL)
