@@ -41,7 +41,7 @@ class RankerParams:
 
     ``l2`` is added to a leaf's hessian, which shrinks steps of little curvature; a leaf
     holds a hessian of ``min_hessian`` at least. ``folds`` is the number of parts of the
-    sessions whose category rates are fitted on the other parts.
+    sessions whose category rates are fitted on the other parts; 0 fits them on all.
     """
 
     n_trees: int = TREES

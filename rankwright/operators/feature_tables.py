@@ -37,8 +37,11 @@ def _with_keys(rows: DataFrame) -> DataFrame:
 
 
 def _on_known(counted: DataFrame, products: DataFrame) -> DataFrame:
-    """Rows on a product of the catalog: one per user and product, so a hot product moves no events."""
-    return counted.join(products.select(F.col("id").alias("product_id")).distinct(), "product_id", "left_semi")
+    """Rows on a product of the catalog: one per user and product, so a hot product moves no events.
+
+    An inner join with distinct ids: a semi join would be pushed below the counting.
+    """
+    return counted.join(products.select(F.col("id").alias("product_id")).distinct(), "product_id")
 
 
 def _events_of_type(name: str) -> Column:

@@ -268,7 +268,7 @@ def _begin(training: DataFrame, params: RankerParams, cuts: tuple[int, ...], pla
     rates = fit_rates(train, "target_label", folds=params.folds)
     rates.write.parquet(f"{place}/rates")
     rates = spark.read.schema(rates.schema).parquet(f"{place}/rates")
-    fold = F.when(F.col("is_train"), fold_of("qid", params.folds))
+    fold = F.when(F.col("is_train"), fold_of("qid", params.folds)) if params.folds else None
     known = materialize(assemble(_with_salt(training), rates, fold), "ranker-features")
     columns = [f"_{c}" for c in FEATURES]
     bounds = fit_bounds(known.where("is_train"), columns)

@@ -240,10 +240,12 @@ def test_a_broken_fit_goes_on_as_if_unbroken(spark, planted, tmp_path, monkeypat
 def test_rates_leave_a_rows_own_label_out(spark, planted):
     noise = planted.withColumn("target_label", (F.pmod(F.xxhash64("qid", "product_id", F.lit(3)), F.lit(6)) == 0).cast("int"))
     noise = noise.withColumn("brand", F.concat(F.lit("b"), F.pmod(F.xxhash64("qid", "product_id"), F.lit(4000))))
-    run = fit_ranker(noise, RankerParams(n_trees=8, patience=8))
-    constant = session_ndcg(noise.where("is_train").withColumn("score", F.lit(0.0)), (10,))
-    base = constant.agg(F.avg("ndcg_10")).first()[0]
-    assert run.curve[-1]["train_ndcg_10"] < base + 0.1
+    honest = fit_ranker(noise, RankerParams(n_trees=6, patience=6)).curve[-1]
+    leaking = fit_ranker(noise, RankerParams(n_trees=6, patience=6, folds=0)).curve[-1]
+    constant = session_ndcg(noise.withColumn("score", F.lit(0.0)), (10,), by=("is_train", "qid"))
+    base = {r.is_train: r.mean for r in constant.groupBy("is_train").agg(F.avg("ndcg_10").alias("mean")).collect()}
+    assert abs(honest["validation_ndcg_10"] - base[False]) < 0.08
+    assert honest["train_ndcg_10"] - base[True] < 0.5 * (leaking["train_ndcg_10"] - base[True])
     leaking = fit_rates(noise.where("is_train"), "target_label", prior=0.0)
     told = apply_rates(noise.where("is_train"), leaking)
     left_out = apply_rates(noise.where("is_train"), fit_rates(noise.where("is_train"), "target_label", folds=5), fold=fold_of("qid", 5))

@@ -99,3 +99,40 @@ def test_scans_read_only_what_is_needed(spark, tmp_path):
     assert "IsNotNull(session_id)" in events and "IsNotNull(product_id)" in events
     assert not scans(dated_positives(tables)._jdf.queryExecution().executedPlan().toString(), "events")  # read once, then stored
     assert all("retail_price" not in line.split("ReadSchema")[1] for line in scans(plan, "products"))
+
+
+def test_a_day_of_one_user_is_spread_over_tasks(spark):
+    from rankwright.operators.feature_tables import temporal_features
+    from rankwright.operators.ordinals import with_previous
+
+    n = 60_000
+    moment = F.timestamp_micros(F.lit(1_704_067_200_000_000) + F.col("id") * 1_400_000).cast("timestamp_ntz")
+    columns = [F.lit(7).alias("user_id"), F.col("id").alias("session_id"), F.lit("cart").alias("event_type"), F.col("id").alias("product_id")]
+    events = spark.range(n).repartition(5).select(*columns, moment.alias("created_at"))
+    events = events.unionByName(events.limit(1).withColumn("user_id", F.lit(8)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = with_previous(events, ["user_id"], ["created_at", "session_id"], "session_id", "before").collect()
+        gaps = temporal_features(events)
+        got = gaps.groupBy("gap_seconds").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert all(r.before == (r.session_id - 1 if r.session_id else None) for r in found if r.user_id == 7) and len(found) == n + 1
+    assert {r.gap_seconds: r["count"] for r in got} == {None: 2, 1: n - 1}
+    plan = gaps._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_part" in plan and "hashpartitioning(user_id" in plan.replace("user_id#", "user_id ") or "_part" in plan
+
+
+def test_events_are_counted_before_they_meet_the_catalog(spark):
+    from rankwright.operators import feature_tables as of
+
+    tables = fixture_tables(spark, SMALL)
+    plans = (
+        of.interaction_scores(tables.events, tables.products),
+        of.user_item_matrix(tables.events, tables.order_items, tables.products),
+        of.interaction_features(tables.events, tables.order_items, tables.products),
+    )
+    for frame in plans:
+        lines = frame._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        join = next(i for i, line in enumerate(lines) if "Join Inner" in line)
+        assert any("Aggregate [user_id" in line for line in lines[join:])

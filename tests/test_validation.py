@@ -4,6 +4,7 @@ import json
 
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from rankwright.operators.validation import (
     CHECKS,
@@ -11,6 +12,7 @@ from rankwright.operators.validation import (
     orders_without_items,
     schema_check,
     schema_violations,
+    validated_order_items,
     validation_checks,
     validation_stats,
     violations,
@@ -122,3 +124,39 @@ def test_schema_check_normalises_type_names(spark):
     other = found.order_items.withColumn("sale_price", found.order_items.sale_price.cast("string")).drop("status")
     assert schema_violations(other) == [("sale_price", "double", "string"), ("status", "string", None)]
     assert [r.affected_rows for r in schema_check(other).collect()] == [1, 1]
+
+
+def test_items_are_parted_in_one_write_and_read_twice(spark):
+    from rankwright.operators import quarantine as q
+    from rankwright.sources.scratch import new_path
+
+    tables = fixture_tables(spark, SMALL, dirty=True)
+    plan = q.judged_items(tables.order_items, tables.users, tables.products)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") <= 2
+    parted = q.part_items(tables, new_path(spark, "parted"))
+    valid, held = q.valid_items(parted, tables.order_items), q.quarantined_items(parted, tables.order_items)
+    assert valid.columns == tables.order_items.columns
+    expected = validated_order_items(tables.order_items)
+    assert valid.exceptAll(expected).isEmpty() and valid.count() == expected.count() == 5961
+    assert parted.counts["order_items"] == valid.count() + held.count() and parted.counts["quarantined"] == held.count()
+    both = valid.count() + held.count()
+    assert both == tables.order_items.count()
+    masks = {r.broken: list(r.rules) for r in held.select("broken", q.rule_names(F.col("broken")).alias("rules")).distinct().collect()}
+    assert all(sum(1 << q.RULES.index(x) for x in names) == mask for mask, names in masks.items())
+    part = held._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(quarantined" in part
+
+
+def test_no_item_is_quarantined_where_all_are_valid(spark):
+    from rankwright.operators import quarantine as q
+    from rankwright.sources.fixtures import repaired_tables
+    from rankwright.sources.scratch import new_path
+
+    tables = repaired_tables(spark, SMALL)
+    parted = q.part_items(tables, new_path(spark, "parted"))
+    assert q.quarantined_items(parted, tables.order_items).count() == 0
+    assert {name for name, n in parted.counts.items() if n} == {"order_items"}
+    gate = run_gate(tables, as_of="2002-01-01")
+    assert gate.passed and gate.require().count() == parted.counts["order_items"] and gate.report["schema_errors"] == []
+    nothing = q.part_items(Tables(tables.users, tables.products, tables.orders, tables.order_items.limit(0), tables.events), new_path(spark, "none"))
+    assert nothing.counts["order_items"] == 0
