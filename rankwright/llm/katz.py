@@ -43,7 +43,7 @@ from rankwright.sources.scratch import materialize
 #: Pseudo-words; no word holds white space.
 _START, _END = b" start", b" end"
 #: Bounds of a chunk of documents, and the tokens of a block of words.
-CHUNK_DOCUMENTS, CHUNK_TOKENS, BLOCK_TOKENS = 8192, 2_000_000, 4_000_000
+CHUNK_DOCUMENTS, CHUNK_TOKENS, BLOCK_TOKENS = 8192, 1_500_000, 2_000_000
 #: Counts up to this one are discounted by Good and Turing's estimate.
 TURING = 5
 _ID_BITS, _DOC_BITS = 25, 14
