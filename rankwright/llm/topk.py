@@ -23,8 +23,8 @@ from rankwright.llm.common import ship_package
 
 #: Vectors and queries of a block.
 VECTOR_BLOCK, QUERY_BLOCK = 4096, 1024
-#: Shares of the lists read before the bounds are compared, the last one all.
-DEPTHS = (0.1, 0.3, 0.6)
+#: Shares of the lists read before the bounds are compared, to their end.
+DEPTHS = (0.3, 0.6, 0.8, 0.9, 0.95, 1.0)
 
 
 def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -32,8 +32,14 @@ def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -score))[:k]
 
 
-def block_top_k(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int):
-    """(query position, vector position, score) of each query's best k in the block, its own row aside."""
+def block_top_k(
+    queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, closed: dict[float, int] | None = None
+):
+    """(query position, vector position, score) of each query's best k in the block, its own row aside.
+
+    ``closed`` counts the queries by the share of the lists that was read when only few
+    candidates were left. At the lists' end the bounds are the scores.
+    """
     n, d = vectors.shape
     x, q = vectors.astype(np.float64), queries.astype(np.float64)
     up, down = np.maximum(q, 0), np.minimum(q, 0)
@@ -63,19 +69,12 @@ def block_top_k(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray,
         else:
             kth = np.full(len(open_), -np.inf)
         can = (upper >= kth[:, None]) & ~own
-        few = can.sum(axis=1) <= max(4 * k, n // 50)
+        few = (can.sum(axis=1) <= max(4 * k, n // 50)) | (depth == n)
         for i in np.flatnonzero(few):
             alive[int(open_[i])] = np.flatnonzero(can[i])
+        if closed is not None:
+            closed[share] = closed.get(share, 0) + int(few.sum())
         open_ = open_[~few]
-    if len(open_):  # read to the end: all scores are exact
-        exact = q[open_] @ x.T
-        for i, row in zip(open_, exact, strict=True):
-            ok = np.flatnonzero(ids != query_ids[i])
-            if len(ok) > k:
-                edge = np.partition(row[ok], len(ok) - k)[len(ok) - k]
-                ok = ok[row[ok] >= edge]
-            best = ok[_best(row[ok], ids[ok], k)]
-            out.append((np.full(len(best), i), best, row[best]))
     for i, candidates in alive.items():  # only these are read on
         row = x[candidates] @ q[i]
         at = _best(row, ids[candidates], k)

@@ -184,3 +184,19 @@ def test_top_k_of_few_rows_and_none(spark):
     out = topk.top_k(table, "vec_id % 50 = 0", k=5).orderBy("rank").collect()
     assert [(x.rank, x.vec_id, x.score) for x in out] == [(1, 3, 32768), (2, 7, 32768)]
     assert topk.top_k(table.limit(0), "vec_id % 50 = 0").count() == 0
+
+
+def test_bounds_close_nearly_all_queries_before_the_lists_end():
+    import pyarrow.parquet as pq
+
+    table = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")
+    ids = table["vec_id"].to_numpy()
+    vectors = np.floor(256 * np.stack(table["embedding"].to_numpy()).astype(np.float64)).astype(np.int64)
+    asked, closed = np.flatnonzero(ids % 50 == 0), {}
+    found = topk.block_top_k(vectors[asked], ids[asked], vectors, ids, 5, closed)
+    for q, best, score in found:
+        exact = vectors @ vectors[asked[q[0]]]
+        order = [i for i in np.lexsort((ids, -exact)) if i != asked[q[0]]][:5]
+        assert best.tolist() == order and score.tolist() == exact[order].tolist()
+    assert len(found) == len(asked) == sum(closed.values())
+    assert sum(n for share, n in closed.items() if share < 1) >= 0.9 * len(asked)
