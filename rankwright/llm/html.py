@@ -70,10 +70,10 @@ _ABOUT = frozenset("has no with without is not".split())
 @dataclass(frozen=True)
 class BlockRules:
     window: int = 3  # lines summed
-    surge: int = 1  # weight a window needs to begin text where the article is marked
-    surge_unmarked: int = 86  # where it is not
-    link_cost: float = 2.0  # weight lost per linked character where it is not
-    menu_share: float = 0.8  # linked characters per character from which a line is a menu's
+    surge: int = 86  # weight a window needs to begin text
+    marked: int = 86  # weight a line gains in a marked article, and loses beside it
+    link_cost: float = 2.0  # weight lost per linked character, but in a marked article
+    menu_share: float = 0.8  # linked characters per character from which a line is a menu's, and ends text
 
 
 def _names_other(name: str, in_article: bool) -> bool:
@@ -188,32 +188,55 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     return lines, any(text and inside for text, _, inside in lines)
 
 
-def main_text(page: str, rules: BlockRules = BlockRules()) -> str:
-    """The main text, one line per block; empty if there is none."""
-    lines, marked = page_lines(page)
-    weights = [max(0, int(len(text) - rules.link_cost * linked)) for text, linked, _ in lines]
-    inside = [len(text) if article else 0 for text, _, article in lines]
-    if marked and sum(inside) >= sum(w for w, (_, _, article) in zip(weights, lines, strict=True) if not article):
-        weights, need = inside, rules.surge
-        lasting = weights
-    else:  # no mark, or one on less of the page than lies outside of it
-        marked, need = False, rules.surge_unmarked
-        # A line with more than a few words of its own does not end the text.
-        lasting = [len(text) if linked < rules.menu_share * len(text) else 0 for text, linked, _ in lines]
+def line_weights(lines: list[tuple[str, int, bool]], rules: BlockRules) -> tuple[list[int], list[int]]:
+    """Weights by which lines begin the text, and by which they let it last.
+
+    A mark on more of the page than lies beside it weighs for its lines and against the
+    others; it does not decide alone. Without one, a line with more than a few words
+    of its own does not end the text, however many are linked.
+    """
+    plain = [max(0, int(len(text) - rules.link_cost * linked)) for text, linked, _ in lines]
+    inside = sum(len(text) for text, _, article in lines if article)
+    if inside and inside >= sum(w for w, (_, _, article) in zip(plain, lines, strict=True) if not article):
+        weights = [
+            (len(text) + rules.marked if text else 0) if article else max(0, weight - rules.marked)
+            for weight, (text, _, article) in zip(plain, lines, strict=True)
+        ]
+        return weights, weights
+    return plain, [len(text) if linked < rules.menu_share * len(text) else 0 for text, linked, _ in lines]
+
+
+def surge_and_dive(weights: list[int], lasting: list[int], rules: BlockRules) -> list[tuple[int, int]]:
+    """The runs of lines (first, after the last) that are text.
+
+    A run begins with a line of weight whose window sums up to a surge, and lasts until
+    the window from a line on has dived to nothing. On a page whose windows are all
+    short of a surge, any weight begins it.
+    """
     sums, ahead = _window_sums(weights, rules.window), _window_sums(lasting, rules.window)
-    n = len(weights)
-    if sums and max(sums) < need:  # a page of short lines only: any text begins it
-        need = 1
-    kept, i = [], 0
+    need = rules.surge if sums and max(sums) >= rules.surge else 1
+    runs, i, n = [], 0, len(weights)
     while i < n:
         if sums[i] < need or not weights[i]:
             i += 1
             continue
-        while i < n and ahead[i]:  # from the surge until the window has dived to nothing
-            if lines[i][0] and (weights[i] or not marked):
-                kept.append(lines[i][0])
+        first = i
+        while i < n and ahead[i]:
+            i += 1
+        if i > first:
+            runs.append((first, i))
+        else:
             i += 1
-    return "\n".join(kept)
+    return runs
+
+
+def main_text(page: str, rules: BlockRules = BlockRules()) -> str:
+    """The main text, one line per block; empty if there is none."""
+    lines = page_lines(page)[0]
+    weights, lasting = line_weights(lines, rules)
+    kept = [i for first, end in surge_and_dive(weights, lasting, rules) for i in range(first, end)]
+    # Beside a marked article, a line without weight is no text even where a window reaches over it.
+    return "\n".join(lines[i][0] for i in kept if lines[i][0] and (weights[i] or weights is not lasting))
 
 
 def _window_sums(weights: list[int], k: int) -> list[int]:
