@@ -175,10 +175,13 @@ def top_products_as_of(
         .select("category", F.col(at), micros(moments, at).alias("clock"))
         .distinct()
     )
-    sales = _dated_sales(order_items).withColumnRenamed("tick", "clock")
+    # Sales per product and time, counted once: all that follows reads these rows, not the items.
+    sales = materialize(
+        _dated_sales(order_items).withColumnRenamed("tick", "clock").groupBy("product_id", "clock").agg(F.count("*").alias("n")), "sales"
+    )
     # The number of sales before every time that is sold or asked at. It grows with each
     # time sold at, so "strictly before" is the same by this number as by the clock.
-    times = sales.groupBy("clock").agg(F.count("*").alias("n")).unionByName(asked.select("clock", F.lit(0).cast("bigint").alias("n")))
+    times = sales.select("clock", "n").unionByName(asked.select("clock", F.lit(0).cast("bigint").alias("n")))
     told = materialize(with_total_before(times.groupBy("clock").agg(F.sum("n").alias("n")), "clock", "n", "tick"), "times")
     n_sales = told.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     told = told.select("clock", "tick")
@@ -199,7 +202,7 @@ def top_products_as_of(
     leaves = materialize(
         dated.join(catalog, "product_id")
         .groupBy("category", "product_id", "leaf")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
         .withColumn("before", F.coalesce(F.sum("n").over(_running_before("leaf", "category", "product_id")), F.lit(0)))
         .withColumn("after", F.col("before") + F.col("n")),
         "sales-by-bucket",
@@ -236,10 +239,10 @@ def top_products_as_of(
     )
     running = Window.partitionBy("category", "bucket", "product_id").orderBy("since")
     steps = (
-        dated.select(F.col("leaf").alias("bucket"), "product_id", F.col("tick").alias("since"))
+        dated.select(F.col("leaf").alias("bucket"), "product_id", F.col("tick").alias("since"), "n")
         .join(movers, ["bucket", "product_id"])
         .groupBy("category", "bucket", "product_id", "since")
-        .agg(F.count("*").alias("n"), F.first("before").alias("before"))
+        .agg(F.sum("n").alias("n"), F.first("before").alias("before"))
         .withColumn("sales_count", F.col("before") + F.sum("n").over(running))
         .drop("n", "before")
     )

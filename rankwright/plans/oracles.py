@@ -375,6 +375,7 @@ _ANSWERS = {
     "split_train": _SPLIT + "is_train",
     "split_val": _SPLIT + "NOT is_train",
     "group_sizes": "SELECT qid, count(*) AS group_size FROM training GROUP BY qid",
+    "stored_group_sizes": "SELECT qid, count(*) AS group_size FROM training GROUP BY qid",
     "ndcg_at_5": "SELECT qid, n_rows, positives, round(ndcg_5, 6) AS ndcg_5 FROM per_session",
     "ndcg_at_10": "SELECT qid, n_rows, positives, round(ndcg_10, 6) AS ndcg_10 FROM per_session",
     "recommend_top_k": """

@@ -20,7 +20,7 @@ from rankwright.operators.popularity import popularity_global, sales_as_of
 from rankwright.operators.histogram import Tree, histogram, with_bins, with_node
 from rankwright.operators.quarantine import part_items, quarantined_items, rule_names, valid_items
 from rankwright.operators.ranker import FEATURES, NUMERIC, Ranker, Training, assemble, fit_ranker, session_lambdas
-from rankwright.operators.sessions import positive_samples, session_context, session_starts
+from rankwright.operators.sessions import met_products, positive_samples, session_context, session_starts
 from rankwright.operators.split import group_sizes, split_by_time
 from rankwright.operators.trees import TREE_TABLE, read_trees, tree_score
 from rankwright.plans import gate
@@ -87,11 +87,11 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _popularity_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = fixture_tables(spark, sf_dir)
-    context = session_context(tables.events, tables.products)
+    met = materialize(met_products(tables.events, tables.products), "met-products")
     points = (
-        context.select("session_id", F.col("interacted_product_id").alias("product_id"))
+        met.select("session_id", F.col("interacted_product_id").alias("product_id"))
         .distinct()
-        .join(session_starts(context), "session_id")
+        .join(session_starts(met), "session_id")
     )
     return sales_as_of(points, tables.order_items, SESSION_START)
 
@@ -188,6 +188,16 @@ def _feature_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stored_group_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per session of a table that is stored by session: its buckets are counted where they lie."""
+    target = _store_for(spark, sf_dir)
+    store.create_database(spark, target)
+    store.save_sessions(_training(spark, sf_dir), target.table_ref("sessions"))
+    grouped, hot = store.load_sessions(spark, target.table_ref("sessions"))
+    found = group_sizes(grouped)
+    return found if hot is None else found.unionByName(group_sizes(hot))
+
+
 def _split(train: bool) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         split = split_by_time(_training(spark, sf_dir))
@@ -392,6 +402,7 @@ def queries() -> dict[str, Query]:
         "split_train": _split(train=True),
         "split_val": _split(train=False),
         "group_sizes": lambda s, d: group_sizes(_training(s, d)),
+        "stored_group_sizes": _stored_group_sizes,
         "ndcg_at_5": _ndcg(5),
         "ndcg_at_10": _ndcg(10),
         "recommend_top_k": lambda s, d: top_k_by_score(_scored(s, d), 5).select(

@@ -48,6 +48,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize_once(df: DataFrame, label: str) -> DataFrame:
+    """As ``materialize``, for a frame that is not run again: what it shuffled goes as soon as it is written.
+
+    Otherwise shuffled rows lie beside the written ones until the driver collects garbage.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_FREE_SHUFFLES, "false")
+    conf.set(_FREE_SHUFFLES, "true")
+    try:
+        return materialize(df, label)
+    finally:
+        conf.set(_FREE_SHUFFLES, before)
+
+
 def materialize_anew(df: DataFrame, label: str, previous: str | None) -> tuple[DataFrame, str]:
     """As ``materialize``, dropping the version written before; also the new version's path."""
     spark = df.sparkSession

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankwright.config import IDENTITY, SESSION_START, StoreConfig
 from rankwright.sources import versions
-from rankwright.sources.scratch import shared_root
+from rankwright.sources.scratch import materialize, shared_root
 
 # Write dispositions and the columns entities are looked up by.
 DISPOSITIONS = {"WRITE_TRUNCATE": versions.replaced(), "WRITE_APPEND": versions.appended, "WRITE_EMPTY": versions.first_only}
@@ -64,6 +66,29 @@ def load_table(spark: SparkSession, ref: str) -> DataFrame:
     return spark.table(ref)
 
 
+def save_sessions(training: DataFrame, ref: str, rows_per_bucket: int = 1 << 20) -> None:
+    """Load training rows into a table bucketed and sorted by session.
+
+    Whoever groups or joins it by ``qid`` then moves no rows. Sessions with more rows than a
+    bucket should hold are stored beside the buckets, spread as they came.
+    """
+    spark = training.sparkSession
+    sizes = materialize(training.groupBy("qid").agg(F.count("*").alias("_n")), "session-sizes")
+    n_rows, longest = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.max("_n")).first()
+    buckets = max(spark.sparkContext.defaultParallelism, math.ceil(n_rows / rows_per_bucket))
+    hot = None
+    if longest and longest > rows_per_bucket:
+        large = sizes.where(F.col("_n") > rows_per_bucket).select("qid")  # fewer than there are buckets
+        training, hot = training.join(large, "qid", "left_anti"), training.join(large, "qid", "left_semi")
+    versions.write_grouped(training, hot, ref, "qid", buckets)
+    versions.attach(spark, ref)
+
+
+def load_sessions(spark: SparkSession, ref: str) -> tuple[DataFrame, DataFrame | None]:
+    """The bucketed sessions, and the rows of those too long for a bucket, if there are any."""
+    return versions.read_grouped(spark, ref)
+
+
 def save_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

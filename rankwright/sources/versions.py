@@ -25,11 +25,12 @@ WHOLE = ""
 
 @dataclass(frozen=True)
 class Version:
-    """A number, the schema, and the folders of each part of the table."""
+    """A number, the schema, the folders of each part of the table, and how many buckets by what some have."""
 
     number: int
     schema: T.StructType
     parts: dict[str, list[str]] = field(default_factory=dict)
+    buckets: dict[str, list] = field(default_factory=dict)
 
     def folders(self) -> list[str]:
         return [folder for _, part in sorted(self.parts.items()) for folder in part]
@@ -48,11 +49,11 @@ def current(spark: SparkSession, folder: str) -> Version | None:
     if not log:
         return None
     found = json.loads(files.read_text(spark, f"{folder}/_versions/{log[-1]}"))
-    return Version(int(log[-1].split(".")[0]), T.StructType.fromJson(found["schema"]), found["parts"])
+    return Version(int(log[-1].split(".")[0]), T.StructType.fromJson(found["schema"]), found["parts"], found.get("buckets", {}))
 
 
 def _publish(spark: SparkSession, folder: str, version: Version) -> bool:
-    text = json.dumps({"schema": version.schema.jsonValue(), "parts": version.parts})
+    text = json.dumps({"schema": version.schema.jsonValue(), "parts": version.parts, "buckets": version.buckets})
     return files.publish_text(spark, f"{folder}/_versions/{version.number:012d}.json", text)
 
 
@@ -76,12 +77,56 @@ def write(rows: DataFrame, folder: str, change: Callable[[Version | None, str],
     change(latest, name)  # refused before anything is written, if it is
     rows.write.parquet(f"{folder}/{name}")
     while True:
-        version = Version(latest.number + 1 if latest else 1, _nullable(rows.schema), change(latest, name))
+        parts = change(latest, name)
+        buckets = {f: found for f, found in (latest.buckets if latest else {}).items() if any(f in part for part in parts.values())}
+        version = Version(latest.number + 1 if latest else 1, _nullable(rows.schema), parts, buckets)
         if _publish(spark, folder, version):
             return version
         latest = current(spark, folder)
 
 
+def write_grouped(rows: DataFrame, hot: DataFrame | None, ref: str, by: str, buckets: int) -> Version:
+    """Replace a table by rows bucketed and sorted by a column, and by others as they are.
+
+    ``hot`` are the rows of keys with too many rows for one bucket.
+    """
+    spark = rows.sparkSession
+    folder, name = table_folder(spark, ref), f"rows-{uuid.uuid4().hex}"
+    rows.repartition(buckets, by).write.bucketBy(buckets, by).sortBy(by).format("parquet").option("path", f"{folder}/{name}").saveAsTable(
+        _physical(ref, name)
+    )
+    parts = {WHOLE: [name]}
+    if hot is not None:
+        parts["hot"] = [f"rows-{uuid.uuid4().hex}"]
+        hot.write.parquet(f"{folder}/{parts['hot'][0]}")
+    while True:
+        latest = current(spark, folder)
+        version = Version(latest.number + 1 if latest else 1, _nullable(rows.schema), parts, {name: [by, buckets]})
+        if _publish(spark, folder, version):
+            return version
+
+
+def _physical(ref: str, folder: str) -> str:
+    """The catalog's name for one bucketed folder of a table."""
+    return f"{ref}_{folder.replace('-', '_')}"
+
+
+def read_grouped(spark: SparkSession, ref: str) -> tuple[DataFrame, DataFrame | None]:
+    """The latest bucketed rows, whose buckets Spark knows, and the rows beside them, if there are any."""
+    folder = table_folder(spark, ref)
+    version = current(spark, folder)
+    if version is None or not version.buckets:
+        raise AnalysisException(f"there is no bucketed table in {folder}")
+    [(name, (by, buckets))] = version.buckets.items()
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in version.schema)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {_physical(ref, name)} ({columns}) USING parquet "
+        f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{folder}/{name}'"
+    )
+    rest = [f"{folder}/{other}" for other in version.folders() if other != name]
+    return spark.table(_physical(ref, name)), spark.read.schema(version.schema).parquet(*rest) if rest else None
+
+
 def replaced(part: str = WHOLE) -> Callable[[Version | None, str], dict[str, list[str]]]:
     """The rows take the place of one part, or of all rows if no part is named."""
     return lambda latest, name: {**(latest.parts if latest and part else {}), part: [name]}

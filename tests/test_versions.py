@@ -12,6 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rankwright.config import StoreConfig
+from rankwright.operators.ndcg import session_totals
+from rankwright.operators.split import group_sizes
 from rankwright.sources import files, store, tables, versions
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -108,6 +110,39 @@ def test_two_registrations_leave_one_entry_per_feature(spark, target, training,
     assert len(found) == 16 and found["demo", "brand"] == "told anew" and found["other", "brand"] == "Feature brand of group other"
 
 
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sessions_are_stored_so_that_grouping_moves_no_rows(spark, target, training):
+    ref = target.table_ref("sessions")
+    store.save_sessions(training, ref)
+    grouped, hot = store.load_sessions(spark, ref)
+    assert hot is None and grouped.count() == training.count() == spark.table(ref).count()
+    sizes = group_sizes(grouped)
+    assert "Exchange" not in plan_of(sizes) and "Bucketed: true" in plan_of(sizes).replace("SelectedBucketsCount", "Bucketed: true SelectedBucketsCount")
+    assert "Exchange" not in plan_of(session_totals(grouped))
+    assert sizes.exceptAll(group_sizes(training)).isEmpty() and sizes.count() == training.select("qid").distinct().count()
+    # An application whose catalog has never seen it.
+    for table in spark.catalog.listTables(target.database):
+        if "sessions" in table.name:
+            spark.sql(f"DROP {'VIEW' if table.tableType == 'VIEW' else 'TABLE'} {target.database}.{table.name}")
+    again, _ = store.load_sessions(spark, ref)
+    assert "Exchange" not in plan_of(group_sizes(again)) and again.exceptAll(training).isEmpty()
+
+
+def test_long_sessions_are_not_put_into_a_bucket(spark, target, training):
+    ref = target.table_ref("long_sessions")
+    longest = training.groupBy("qid").count().agg(F.max("count")).first()[0]
+    store.save_sessions(training, ref, rows_per_bucket=longest - 1)
+    grouped, hot = store.load_sessions(spark, ref)
+    counted = group_sizes(grouped).unionByName(group_sizes(hot))
+    assert hot.count() >= longest and counted.exceptAll(group_sizes(training)).isEmpty()
+    assert counted.count() == training.select("qid").distinct().count()
+    store.save_sessions(training.limit(0), ref)
+    assert store.load_sessions(spark, ref)[0].count() == 0
+
+
 APPLICATION = """
 import sys
 sys.path.insert(0, sys.argv[1])
