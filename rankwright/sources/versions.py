@@ -111,18 +111,24 @@ def _physical(ref: str, folder: str) -> str:
     return f"{ref}_{folder.replace('-', '_')}"
 
 
+def _know(spark: SparkSession, ref: str, folder: str, version: Version, name: str) -> None:
+    """Tell the catalog of a bucketed folder, if it does not know it yet."""
+    by, buckets = version.buckets[name]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in version.schema)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {_physical(ref, name)} ({columns}) USING parquet "
+        f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{folder}/{name}'"
+    )
+
+
 def read_grouped(spark: SparkSession, ref: str) -> tuple[DataFrame, DataFrame | None]:
     """The latest bucketed rows, whose buckets Spark knows, and the rows beside them, if there are any."""
     folder = table_folder(spark, ref)
     version = current(spark, folder)
     if version is None or not version.buckets:
         raise AnalysisException(f"there is no bucketed table in {folder}")
-    [(name, (by, buckets))] = version.buckets.items()
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in version.schema)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_physical(ref, name)} ({columns}) USING parquet "
-        f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{folder}/{name}'"
-    )
+    [name] = version.buckets
+    _know(spark, ref, folder, version, name)
     rest = [f"{folder}/{other}" for other in version.folders() if other != name]
     return spark.table(_physical(ref, name)), spark.read.schema(version.schema).parquet(*rest) if rest else None
 
@@ -161,7 +167,10 @@ def attach(spark: SparkSession, ref: str) -> bool:
     if version is None:
         return False
     columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in version.schema)
-    scans = [f"SELECT {columns} FROM parquet.`{folder}/{name}`" for name in version.folders()]
+    for name in version.buckets:
+        _know(spark, ref, folder, version, name)
+    places = [_physical(ref, name) if name in version.buckets else f"parquet.`{folder}/{name}`" for name in version.folders()]
+    scans = [f"SELECT {columns} FROM {place}" for place in places]
     spark.sql(f"CREATE OR REPLACE VIEW {ref} AS {' UNION ALL '.join(scans)}")
     return True
 
