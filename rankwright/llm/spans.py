@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankwright.llm.common import ship_package
-from rankwright.sources.scratch import materialize
+from rankwright.sources.files import delete_folder
+from rankwright.sources.scratch import materialize_anew, materialize_once
 
 #: Where a sentence ends: end marks with closing marks and white space, or a line's end.
 _END = re.compile(r"[.!?…。！？]+[\"'”’»)\]]*\s+|\n\s*")
@@ -70,8 +71,9 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 @lru_cache(1 << 17)
-def _word_hash(word: str) -> int:
-    return int.from_bytes(hashlib.blake2b(word.lower().encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+def _side_hash(word: str) -> int:
+    """A signed hash of a word beside a stretch: two different words agree once in four billion."""
+    return int.from_bytes(hashlib.blake2b(word.lower().encode("utf-8", "surrogatepass"), digest_size=4).digest(), "little", signed=True)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -99,19 +101,61 @@ def _forward(counts: list[int], rules: SpanRules) -> Iterator[tuple[int, int]]:
         total -= counts[first]
 
 
+#: Of the first 65536 letters: 1 white space as ``str.split`` knows it, 2 marks that end a sentence, 4 marks that may close one.
+_KINDS = np.array([chr(c).isspace() for c in range(0x10000)] + [False], np.uint8)
+_KINDS[[ord(c) for c in ".!?…。！？"]] = 2
+_KINDS[[ord(c) for c in "\"'”’»)]"]] = 4
+_KEPT_POWERS = {base: _powers(base, 1 << 16) for base in (_BASE, _INVERSE)}
+
+
+def _first_powers(base: int, n: int) -> np.ndarray:
+    return _KEPT_POWERS[base][:n] if n <= 1 << 16 else _powers(base, n)
+
+
+def _hashed(text: str, longest: int) -> tuple[np.ndarray, list[int]]:
+    """The words' hashes, and the numbers of words of the pieces ``sentences`` makes.
+
+    All words at once: differences of the running sum of the text's letters, times powers
+    of a base, and divided by the power at the word's start.
+    """
+    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    kinds = _KINDS[np.minimum(codes, 0x10000)]
+    space = np.ones(len(codes) + 2, bool)
+    space[1:-1] = kinds == 1
+    starts, ends = np.flatnonzero(space[:-1] & ~space[1:]), np.flatnonzero(~space[:-1] & space[1:])
+    if not len(starts):
+        return np.empty(0, np.uint64), []
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum((codes + np.uint64(1)) * _first_powers(_BASE, len(codes)), out=sums[1:])
+    hashes = _mixed((sums[ends] - sums[starts]) * _first_powers(_INVERSE, len(codes))[starts])
+
+    last = ends - 1
+    closing = np.flatnonzero(kinds[last] == 4)
+    while len(closing):  # back over the closing marks of the few words that have some
+        last[closing] -= 1
+        closing = closing[(last[closing] >= starts[closing]) & (kinds[last[closing]] == 4)]
+    ending = (last >= starts) & (kinds[last] == 2)
+    breaks = np.flatnonzero(codes == 10)
+    ending[np.searchsorted(starts, breaks) - 1] = True  # the word before a line's end; before the first, the last one
+    ending[-1] = True
+    counts: list[int] = []
+    for n in np.diff(np.flatnonzero(ending), prepend=-1).tolist():
+        counts.extend([longest] * ((n - 1) // longest))
+        counts.append((n - 1) % longest + 1)
+    return hashes, counts
+
+
 def _probes(text: str, rules: SpanRules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first word and number of words of every run and window that is joined."""
-    parts = sentences(text, rules.longest)
-    words = [w for p in parts for w in p[2].split(" ")]
-    n, k = len(words), rules.min_words
+    hashed, counts = _hashed(text, rules.longest)
+    n, k = len(hashed), rules.min_words
     if n < k:
         none = np.empty(0, np.int64)
         return none.astype(np.uint64), none, none
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(np.fromiter(map(_word_hash, words), np.uint64, n) * _powers(_BASE, n), out=sums[1:])
-    back = _powers(_INVERSE, n)
+    np.cumsum(hashed * _first_powers(_BASE, n), out=sums[1:])
+    back = _first_powers(_INVERSE, n)
 
-    counts = [p[2].count(" ") + 1 for p in parts]
     edges = [0, *np.cumsum(counts).tolist()]
     places = {(edges[a], edges[b] - edges[a]) for a, b in _forward(counts, rules) if edges[b] - edges[a] < rules.sure}
     if n >= rules.sure:
@@ -152,11 +196,12 @@ def document_spans(documents: DataFrame, rules: SpanRules) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                for id_, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    keys, first, size = _probes(text, rules)
-                    if len(keys):
-                        columns = [np.full(len(keys), id_, np.int64), keys.view(np.int64), first << 16 | size]
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["id", "k1", "place"])
+                ids, found = part.column(0).to_numpy(), [_probes(text, rules) for text in part.column(1).to_pylist()]
+                counts = [len(keys) for keys, _, _ in found]
+                if sum(counts):
+                    keys, first, size = (np.concatenate(x) for x in zip(*found, strict=True))
+                    columns = [np.repeat(ids, counts), keys.view(np.int64), first << 16 | size]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["id", "k1", "place"])
 
     return documents.mapInArrow(run, "id long, k1 long, place long")
 
@@ -164,7 +209,7 @@ def document_spans(documents: DataFrame, rules: SpanRules) -> DataFrame:
 def _occurrences(documents: DataFrame, rules: SpanRules) -> DataFrame:
     """Digest, offsets and nearby words of each of the ``places`` (words a to b) of (``id``, ``text``).
 
-    ``left`` and ``right`` are hashes of the words to both sides, nearest first;
+    ``left`` and ``right`` are 32-bit hashes of the words to both sides, nearest first;
     ``starts`` and ``ends`` where a span would start or end with that many of them.
     """
     reach = rules.neighbours
@@ -180,17 +225,16 @@ def _occurrences(documents: DataFrame, rules: SpanRules) -> DataFrame:
                         continue
                     digest = _digest(words[a:b], 16)
                     low, high = max(0, a - reach), min(len(words), b + reach)
-                    left, right = ([_word_hash(w) for w in x] for x in (words[low:a][::-1], words[b:high]))
+                    left, right = ([_side_hash(w) for w in x] for x in (words[low:a][::-1], words[b:high]))
                     rows.append((id_, a, b, digest, at[a], at[b], left, right, at[low:a][::-1], at[b + 1 : high + 1]))
                 for k in range(0, len(rows), 1024):
                     ids, firsts, lasts, digests, starts, ends, *lists = zip(*rows[k : k + 1024], strict=True)
                     columns = [pa.array(x, pa.int64()) for x in (ids, firsts, lasts)] + [pa.array(digests, pa.binary())]
                     columns += [pa.array(x, pa.int32()) for x in (starts, ends)]
-                    columns += [pa.array([np.array(x, np.uint64).view(np.int64) for x in y], pa.list_(pa.int64())) for y in lists[:2]]
-                    columns += [pa.array(y, pa.list_(pa.int32())) for y in lists[2:]]
+                    columns += [pa.array(y, pa.list_(pa.int32())) for y in lists]
                     yield pa.RecordBatch.from_arrays(columns, ["id", "a", "b", "digest", "start", "end", "left", "right", "starts", "ends"])
 
-    kinds = "start int, end int, left array<long>, right array<long>, starts array<int>, ends array<int>"
+    kinds = "start int, end int, left array<int>, right array<int>, starts array<int>, ends array<int>"
     return documents.select("id", "text", "places").mapInArrow(run, f"id long, a long, b long, digest binary, {kinds}")
 
 
@@ -201,10 +245,11 @@ def repeated_ranges(documents: DataFrame, rules: SpanRules) -> DataFrame:
     before the shuffle, so a passage in a third of all documents is one key and then
     rows of a join, which adaptive skew splitting divides. Candidates of a document
     that keep their distance to the same document are merged; only the merged
-    stretches are compared, by digests of 128 bits, and then grown word by word.
+    stretches are compared, by digests of 128 bits, and then grown word by word, by
+    hashes of 32 bits: they are most of what is moved.
     Words that a place shares with later ones than the first stay.
     """
-    known = materialize(document_spans(documents, rules), "spans")
+    known, place = materialize_anew(document_spans(documents, rules), "spans", None)
     first = known.groupBy("k1").agg(F.min(F.struct("id", "place")).alias("first"), F.count("*").alias("n"))
     later = known.join(first.filter("n > 1").select("k1", "first"), "k1").filter("id != first.id or place != first.place")
     lanes = (
@@ -220,12 +265,13 @@ def repeated_ranges(documents: DataFrame, rules: SpanRules) -> DataFrame:
                       'a', done[size(done) - 1].a, 'b', greatest(x.b, done[size(done) - 1].b))))
                else concat(done, array(x)) end)"""
     )
-    stretches = materialize(lanes.select("id", "of", "off", F.inline(merged)), "spans")
+    stretches = materialize_once(lanes.select("id", "of", "off", F.inline(merged)), "spans")
+    delete_folder(documents.sparkSession, place)  # what is left to do begins with the stretches
     asked = stretches.selectExpr("id", "named_struct('a', a, 'b', b) as x").union(
         stretches.selectExpr("of", "named_struct('a', a - off, 'b', b - off)")
     )
     places = asked.groupBy("id").agg(F.collect_set("x").alias("places"))
-    found = materialize(_occurrences(documents.join(places, "id"), rules), "spans")
+    found = materialize_once(_occurrences(documents.join(places, "id"), rules), "spans")
     origin = found.selectExpr("id as of", "a as of_a", "b as of_b", "digest as of_digest", "left as of_left", "right as of_right")
     pairs = (
         stretches.join(found, ["id", "a", "b"])

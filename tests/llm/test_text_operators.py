@@ -272,3 +272,135 @@ def test_clean_documents_are_kept_by_the_pipeline(spark):
     table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(clean + junk)], "doc_id long, text string, lang string, source string, n_chars long")
     rows = {r.doc_id: r.text for r in corpus_pipeline.quality_rules(spark, table, "").collect()}
     assert rows == dict(enumerate(clean))
+
+
+def scramble(x):
+    m = (1 << 64) - 1
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & m
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & m
+    return x ^ (x >> 31)
+
+
+def polynomial(word):
+    """A word's hash, letter by letter."""
+    return scramble(sum((ord(c) + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, c in enumerate(word.lower())) & ((1 << 64) - 1))
+
+
+def test_hashed_words_and_pieces_equal_the_sentences():
+    r = random.Random(21)
+    signs = ["a", "bc", "déf", ".", "!", "?)", '."', "…", " ", " ", "  ", "\n", "\r\n", "\t", "\x1f", "\xa0", "。", "x.y", "」"]
+    for _ in range(1500):
+        text = "".join(r.choice(signs) for _ in range(r.randint(0, 120)))
+        parts = spans.sentences(text, 4)
+        hashes, counts = spans._hashed(text, 4)
+        assert counts == [len(p[2].split(" ")) for p in parts]
+        assert hashes.tolist() == [polynomial(w) for p in parts for w in p[2].split(" ")]
+
+
+def repeated_by_brute_force(texts, rules):
+    """Code points that go, from words alone: sentence runs and chosen windows, with nothing of the operator's."""
+    m = (1 << 64) - 1
+
+    def ends(token, gap):
+        stripped = token.rstrip("\"'”’»)]")
+        return stripped != "" and stripped[-1] in ".!?…。！？" or "\n" in gap
+
+    places = {}
+    for key, text in enumerate(texts):
+        tokens = [(x.group(), x.start(), x.end()) for x in re.finditer(r"\S+", text)]
+        edges, since = [0], 0
+        for i, (token, _, stop) in enumerate(tokens):
+            gap = text[stop : tokens[i + 1][1]] if i + 1 < len(tokens) else "\n"
+            if ends(token, gap) or i + 1 - since == rules.longest:
+                edges.append(i + 1)
+                since = i + 1
+        edges = sorted(set(edges))
+        chosen = set()
+        for i, a in enumerate(edges):
+            b = next((b for b in edges[i + rules.min_sentences :] if b - a >= rules.min_words), None)
+            if b is not None and b - a < rules.sure:
+                chosen.add((a, b))
+        sums = [sum(polynomial(t[0]) * pow(0x9E3779B97F4A7C15, j, 1 << 64) for j, t in enumerate(tokens[i : i + rules.min_words])) & m
+                for i in range(len(tokens) - rules.min_words + 1)]
+        if len(tokens) >= rules.sure:
+            hashes = [scramble(x) for x in sums]
+            for i in range(len(hashes) - rules.neighbours + 1):
+                near = hashes[i : i + rules.neighbours]
+                chosen.add((i + near.index(min(near)), i + near.index(min(near)) + rules.min_words))
+        words = [t[0].lower() for t in tokens]
+        for a, b in chosen:
+            places.setdefault(tuple(words[a:b]), []).append((key, a, b))
+        texts[key] = (text, tokens, words)
+    gone = [set() for _ in texts]
+    for found in places.values():
+        found.sort(key=lambda x: (x[0], x[1]))
+        of, first, last = found[0]
+        for key, a, b in found[1:]:
+            text, tokens, words = texts[key]
+            other = texts[of][2]
+            reach, left, right = rules.neighbours, 0, 0
+            while left < reach and a - left > 0 and first - left > 0 and words[a - left - 1] == other[first - left - 1]:
+                left += 1
+            while right < reach and b + right < len(words) and last + right < len(other) and words[b + right] == other[last + right]:
+                right += 1
+            stop = tokens[b + right][1] if b + right < len(tokens) else len(text)
+            gone[key].update(range(tokens[a - left][1] if a - left else 0, stop))
+    return gone
+
+
+def test_what_goes_equals_a_brute_force_of_its_own(spark):
+    r = random.Random(31)
+    rules = spans.SpanRules(min_sentences=2, min_words=6, longest=5, sure=9)
+    vocabulary = ["one", "Two", "three", "four", "five", "six", "seven", "é8", "nine", "ten", "eleven", "twelve"]
+    shared = [" ".join(r.choice(vocabulary) + r.choice(["", "", "", ".", "!"]) for _ in range(14)) for _ in range(6)]
+    texts = []
+    for _ in range(40):
+        parts = [r.choice([r.choice(shared), " ".join(f"w{r.randrange(10_000)}" for _ in range(r.randint(1, 12)))]) for _ in range(r.randint(0, 5))]
+        texts.append(r.choice([" ", ". ", "\n"]).join(parts))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x for x in spans.remove_repeats(rows, rules).collect()}
+    gone = repeated_by_brute_force(list(texts), rules)
+    assert any(gone)
+    for key, text in enumerate(texts):
+        assert {i for x in got[key].removed for i in range(x.start, x.end)} >= gone[key]
+        assert got[key].clean_text == "".join(c for i, c in enumerate(text) if not any(x.start <= i < x.end for x in got[key].removed))
+        # Candidates that lie apart from the same text are merged before they grow, so a little more may go, never a word that is new.
+        more = {i for x in got[key].removed for i in range(x.start, x.end)} - gone[key]
+        assert not any(w.startswith("w") for w in "".join(text[i] if i in more else " " for i in range(len(text))).split())
+
+
+def test_surge_and_dive_equal_a_plain_reading():
+    r = random.Random(41)
+    for _ in range(2000):
+        n, rules = r.randint(0, 14), html.BlockRules(window=r.randint(1, 4), surge=r.choice([1, 5, 20]))
+        weights = [r.choice([0, 0, 1, 3, 9, 30]) for _ in range(n)]
+        lasting = [r.choice([w, w, w + 2]) for w in weights]
+
+        def over(values, i, k=rules.min_words):
+            return sum(values[i : i + k])
+
+        need = rules.surge if any(over(weights, i) >= rules.surge for i in range(n)) else 1
+        text, expected = False, []
+        for i in range(n):
+            text = over(lasting, i) > 0 and (text or (weights[i] > 0 and over(weights, i) >= need))
+            expected.append(text)
+        runs = html.surge_and_dive(weights, lasting, rules)
+        assert [any(a <= i < b for a, b in runs) for i in range(n)] == expected
+
+
+def test_pages_without_their_marks_give_the_same_text():
+    import pyarrow.parquet as pq
+
+    pages = pq.read_table("/root/testdata/sf0.1/pages.parquet", columns=["html"])["html"].to_pylist()
+    same = [html.main_text(p) == html.main_text(re.sub(r"<(/?)(article|main)\b", r"<\1div", p)) for p in pages]
+    assert len(same) == 2500 and sum(same) >= 0.98 * len(same)
+
+
+def test_a_mark_weighs_but_does_not_decide():
+    prose_ = "A sentence of the article that is long enough to weigh something on its own, whatever its neighbours are."
+    beside = "Another text of some length that stands beside the mark, which no name or tag tells apart from the article, goes on here."
+    short = "A note of few words."
+    page = f"<article><p>{prose_}</p><p>{prose_}</p></article><div>{short}</div><div>{short}</div><div>{short}</div><div>{beside}</div>"
+    assert html.main_text(page).splitlines() == [prose_, prose_]
+    longer = page + "".join(f"<div>{beside}</div>" for _ in range(3))
+    assert beside in html.main_text(longer)
