@@ -10,6 +10,7 @@ from rankwright.llm.minhash import near_duplicates
 from rankwright.llm.packing import pack_documents
 from rankwright.llm.quality import CORPUS_RULES, judge_documents
 from rankwright.llm.spans import remove_repeats
+from rankwright.operators.ordinals import with_ordinal
 from rankwright.sources.scratch import materialize
 
 #: The columns of documents, which all stages but the last return.
@@ -21,20 +22,37 @@ def _with_text(docs: DataFrame, column: str) -> DataFrame:
     return docs.withColumns({"text": text, "n_chars": F.length(text).cast("long")}).select(*COLUMNS)
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number ``_row`` for every row, ascending with doc_id (null first), by which rows are told apart.
+
+    The doc_id itself where each row has one of its own; else the position in the order of
+    doc_ids, for rows that repeat a doc_id or have none.
+    """
+    rows = docs.select(*COLUMNS)
+    if rows.groupBy("doc_id").count().filter("doc_id is null or count > 1").isEmpty():
+        return rows.withColumn("_row", F.col("doc_id").cast("long"))
+    return with_ordinal(rows.withColumn("_tie", F.monotonically_increasing_id()), ["doc_id", "_tie"], "_row").drop("_tie")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass, with the lines that passed."""
     return _with_text(judge_documents(docs.select(*COLUMNS), CORPUS_RULES).filter("kept"), "clean_text")
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: five-word shingles, a similarity of 0.8 or more."""
-    gone = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each group: five-word shingles, a similarity of 0.8 or more.
+
+    The first stays, by doc_id. Rows that repeat a doc_id or have none are members like
+    others; rows without words are alone and stay. Empty tables give no rows.
+    """
+    rows = _numbered(docs)
+    gone = near_duplicates(rows, key="_row").filter(~F.col("kept")).select("_row")
+    return rows.join(gone, "_row", "left_anti").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that an earlier document, or an earlier place, has."""
-    return _with_text(remove_repeats(docs.select(*COLUMNS)), "clean_text")
+    """Texts without the passages that an earlier row, or an earlier place, has, whatever the rows' doc_ids."""
+    return _with_text(remove_repeats(_numbered(docs), key="_row"), "clean_text")
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
