@@ -287,6 +287,33 @@ def repeated_ranges(documents: DataFrame, rules: SpanRules) -> DataFrame:
     return grown.groupBy("id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("ranges"))
 
 
+_RANGES = "array<struct<start: int, end: int>>"
+_CUT = f"clean_text string, removed {_RANGES}"
+_CUT_TYPE = pa.struct([("clean_text", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
+
+
+def _cut(texts: pa.Array, ranges: pa.Array) -> pa.Array:
+    """Each text without its sorted ranges, and the ranges merged; null where no ranges are.
+
+    One pass over the text and its ranges, however many a long text has.
+    """
+    out = []
+    for text, found in zip(texts, ranges, strict=True):
+        if not found.is_valid:
+            out.append(None)
+            continue
+        body, merged = text.as_py(), []
+        for x in found.as_py():
+            if merged and x["start"] <= merged[-1]["end"]:
+                merged[-1]["end"] = max(merged[-1]["end"], x["end"])
+            else:
+                merged.append(x)
+        edges = [0, *(e for x in merged for e in (x["start"], x["end"])), len(body)]
+        kept = "".join(body[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+        out.append({"clean_text": kept, "removed": merged})
+    return pa.array(out, _CUT_TYPE)
+
+
 def remove_repeats(
     documents: DataFrame, rules: SpanRules = SpanRules(), key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -302,22 +329,12 @@ def remove_repeats(
     ids = plain.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ranges = repeated_ranges(ids.filter("id is not null"), rules).withColumnsRenamed({"id": "_id", "ranges": "_ranges"})
     joined = plain.join(ranges, plain[key].cast("long") == ranges["_id"], "left")
-    merged = F.expr(
-        """aggregate(coalesce(_ranges, array()), cast(array() as array<struct<start: int, end: int>>),
-             (done, x) -> case
-               when size(done) > 0 and x.start <= done[size(done) - 1].end
-               then concat(slice(done, 1, size(done) - 1), array(named_struct(
-                      'start', done[size(done) - 1].start, 'end', greatest(x.end, done[size(done) - 1].end))))
-               else concat(done, array(x)) end)"""
-    )
-    rest = F.expr(
-        """aggregate(removed, named_struct('text', '', 'at', 0),
-             (done, x) -> named_struct('text', concat(done.text, substring(_text, done.at + 1, x.start - done.at)), 'at', x.end),
-             done -> concat(done.text, substring(_text, done.at + 1, length(_text))))"""
-    )
+    ship_package(documents.sparkSession)
+    cut = F.arrow_udf(_cut, _CUT)  # texts that lose nothing are not sent: their ranges and texts are null there
+    whole = F.coalesce(F.col(text), F.lit(""))
     return (
-        joined.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-        .withColumn("removed", merged)
-        .withColumn("clean_text", F.when(F.size("removed") == 0, F.col("_text")).otherwise(rest))
-        .drop("_id", "_ranges", "_text")
+        joined.withColumn("_cut", cut(F.when(F.col("_ranges").isNotNull(), whole), F.col("_ranges")))
+        .withColumn("removed", F.coalesce("_cut.removed", F.array().cast(_RANGES)))
+        .withColumn("clean_text", F.coalesce(F.col("_cut.clean_text"), whole))
+        .drop("_id", "_ranges", "_cut")
     )

@@ -111,3 +111,24 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert kept[2] == {1: clean, 4: texts[4], 5: words(52, 70) + "\n", 8: words(53, 70)}
     assert {r.doc_id for r in docs.select("doc_id").collect()} == {1, 4, 5, 8}
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
+
+
+def test_pipeline_of_null_ids_repeated_rows_and_no_rows(spark, tmp_path):
+    passage = " ".join(words(s, 9) for s in range(7))
+    clean, other, third = words(60, 80), words(61, 80), f"{words(62, 70)}\n{passage}"
+    texts = [(None, clean), (None, clean), (3, other), (3, other), (3, third), (None, f"{words(63, 70)}\n{passage}"), (None, None), (4, "")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = spark.createDataFrame([(i, t, None, None, None) for i, t in texts], schema).coalesce(1)
+    distinct = corpus_pipeline.near_duplicate_groups(spark, rows, "")
+    got = sorted(((r.doc_id, r.text) for r in distinct.collect()), key=str)
+    assert got == sorted([(None, clean), (3, other), (3, third), texts[5], (None, None), (4, "")], key=str)
+
+    cleaned = corpus_pipeline.repeated_passages(spark, rows.filter("text is not null"), "")
+    kept = [(r.doc_id, r.text) for r in cleaned.collect()]
+    assert kept.count((None, clean)) == 1 and kept.count((3, other)) == 1 and kept.count(texts[5]) == 1
+    assert sorted(t.strip() for _, t in kept) == sorted([clean, "", other, "", words(62, 70), texts[5][1], ""])
+
+    for name, table in {"some": rows, "none": rows.limit(0)}.items():
+        table.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        out = corpus_pipeline.run(spark, f"{tmp_path}/{name}")
+        assert {r.doc_id for r in out.select("doc_id").collect()} == ({None, 3} if name == "some" else set())

@@ -210,6 +210,16 @@ def test_spans_find_passages_at_any_offset_and_inside_other_sentences(spark):
     assert [rows[i] for i in range(len(texts))] == kept
 
 
+def test_spans_of_a_very_long_text(spark):
+    stock = [" ".join(prose(2000 + i, 30) for _ in range(2)) for i in range(40)]
+    own = [" ".join(prose(3000 + i, 25) for _ in range(1)) for i in range(1200)]
+    long_text = "\n".join(f"{x}\n{stock[i % 40]}" for i, x in enumerate(own))
+    assert len(long_text.split()) > 90_000
+    rows = {r.doc_id: r for r in spans.remove_repeats(docs(spark, long_text, "\n".join(stock))).collect()}
+    assert rows[1].clean_text.strip() == "" and len(rows[0].removed) == 1200 - 40
+    assert rows[0].clean_text == "\n".join(f"{x}\n{stock[i]}" if i < 40 else x for i, x in enumerate(own)) + "\n"
+
+
 ARTICLE = "<h1>Title of it</h1><p>" + "A sentence of the article stands here. " * 9 + "</p><p>Its last words.</p>"
 ARTICLE_TEXT = "Title of it\n" + ("A sentence of the article stands here. " * 9).strip() + "\nIts last words."
 
