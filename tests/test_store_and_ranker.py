@@ -201,6 +201,45 @@ def test_salting_hot_sessions_changes_nothing(planted, monkeypatch):
         assert left == pytest.approx(right, abs=1e-6)
 
 
+def test_a_round_is_one_job_per_level_and_moves_no_rows(spark, planted):
+    context, jobs = spark.sparkContext, {}
+    for n in (3, 7):
+        context.setJobGroup(f"rounds-{n}", "")
+        fit_ranker(planted, RankerParams(n_trees=n, patience=n, max_depth=4))
+        jobs[n] = len(context.statusTracker().getJobIdsForGroup(f"rounds-{n}"))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[7] - jobs[3] <= 4 * 4
+
+
+def test_blocks_sum_as_rows_do(spark):
+    """A tree's sums over blocks and over rows are equal, validation rows left out; so are mean NDCGs."""
+    from rankwright.operators import blocks
+    from rankwright.operators.histogram import Tree, histogram, with_node
+    from rankwright.operators.lambdas import PAIR_UNIT
+
+    rng = random.Random(5)
+    rows = [(q, q, p, 0, q % 4 > 0, int(rng.random() < 0.3), [rng.randrange(256), rng.randrange(3)], rng.choice([0.0, 0.5, 1.0])) for q in range(60) for p in range(rng.randint(1, 30))]
+    schema = "qid long, user_id long, product_id long, salt long, is_train boolean, target_label int, bins array<int>, score double"
+    frame = spark.createDataFrame(rows, schema)
+    valued = blocks.with_values(blocks.pack(frame.repartition(3, "qid")), (5, 10)).persist()
+    tree = Tree((0, 1, 0), (100, 1, 999), (0.0, 0.0, 0.0), (1, 3, 2), (2, 4, 2), (0.0, 0.0, 0.0))
+    tree = Tree(tree.feature + (0, 0), tree.bin + (999, 999), tree.bound + (0.0, 0.0), tree.left + (3, 4), tree.right + (3, 4), (0.0,) * 5)
+    table = blocks.tree_sums(valued, tree, 2, [2, 4], 256, 2).toArrow()
+    got = {(r["node"], r["feature"], r["bin"]): (r["pull"], r["hessian"]) for r in table.to_pylist() if r["node"] >= 0}
+    parts = frame.where("is_train").groupBy("qid").agg(F.sum("target_label").alias("hits")).where("hits > 0")
+    parts = parts.select("qid", F.lit(0).cast("long").alias("salt"), discount_sum(10, F.col("hits")).alias("idcg"))
+    pulled = gather_lambdas(compare_with_leaders(frame.where("is_train"), parts, 10), parts)
+    pulled = pulled.withColumns({c: F.rint(F.col(c) * float(1 << 26)).cast("long") for c in ("pull", "hessian")})
+    want = {tuple(r)[:3]: tuple(r)[3:] for r in histogram(with_node(pulled, tree, 2), F.col("node").isin(2, 4)).collect()}
+    want = {key: sums for key, sums in want.items() if any(sums)}
+    assert got.keys() == want.keys()
+    assert all(abs(a - b) <= 1 for key in want for a, b in zip(got[key], want[key], strict=True))
+    mean, plain = blocks.ndcg_means(table, PAIR_UNIT), session_ndcg(frame, (5, 10), by=("is_train", "qid"))
+    for r in plain.groupBy("is_train").agg(F.avg("ndcg_5"), F.avg("ndcg_10")).collect():
+        assert [mean(r[0], 0), mean(r[0], 1)] == pytest.approx(list(r)[1:], abs=1e-9)
+    valued.unpersist()
+
+
 def test_early_stop_keeps_the_best_round(planted):
     noise = planted.withColumn("target_label", (F.pmod(F.xxhash64("qid", "product_id"), F.lit(5)) == 0).cast("int"))
     run = fit_ranker(noise, RankerParams(n_trees=30, patience=1))
