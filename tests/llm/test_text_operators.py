@@ -34,6 +34,14 @@ def counts(text):
     return (len(found), sum(map(len, found)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered))
 
 
+@pytest.mark.parametrize("rules", [quality.LineRules(), quality.CORPUS_RULES])
+def test_the_words_of_a_line_are_found_once(spark, rules):
+    cleaned = quality.clean_lines(docs(spark, "One line here.\n\nAnd one more, of seven words.", "", None), rules)
+    plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_remove(split(") == 1
+    assert [r.kept_words for r in cleaned.orderBy("doc_id").collect()] == [9, 0, 0]
+
+
 def test_base_counts_equal_brute_force(spark):
     r = random.Random(1)
     texts = ["".join(r.choice("ab \t\n\x0b\xa0é#|") for _ in range(r.randint(0, 200))) for _ in range(150)]
