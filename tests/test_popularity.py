@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankwright.functions.timeline import micros
+from rankwright.operators import popularity
 from rankwright.operators.ordinals import with_total_before
 from rankwright.operators.popularity import depth_for, popularity_global, sales_as_of, top_products_as_of
 
@@ -128,3 +129,39 @@ def test_micros_are_exact_and_free_of_the_session_zone(spark):
             assert [r[0] for r in df.select(micros(df, "t")).collect()] == expected
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("late", [False, True])
+def test_bounds_keep_most_products_out_and_lose_none(spark, late):
+    """What the best of the end have keeps the rest from being unfolded, also where others led for long."""
+    rng = random.Random(8)
+    products = [(p, "a") for p in range(400)] + [(1000, "b")]
+    sales = [(i, min(int(rng.expovariate(0.02)), 399), i) for i in range(6000)]
+    if late:  # the best of the end sold nothing before the last tenth
+        sales = [(i, p if t < 5400 else 399 - p, t) for i, p, t in sales]
+    moments = [("a", t) for t in range(0, 6100, 61)] + [("b", 77)]
+    frames_ = frames(spark, products, sales, moments, "timestamp_ntz")
+    seen = []
+    unfolded = popularity._tops_of_children
+
+    def kept(states, *others):
+        seen.append(states.where(F.col("since") < F.col("until")).count())
+        return unfolded(states, *others)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(popularity, "_tops_of_children", kept)
+        patch.setattr(popularity, "BOUNDING", 2)
+        got = popularity.top_products_as_of(frames_[2], frames_[0], frames_[1], "start", 5, 16, 1)
+        assert {tuple(r) for r in got.collect()} == brute_top(products, sales, moments, 5)
+    steps = len({(p, t * 16 // 6000) for _, p, t in sales})
+    assert seen[0] < steps * (1 if late else 0.25)
+
+
+def test_moments_and_tops_join_to_the_top_products(spark):
+    products, sales, moments = world(9)
+    products, items, moments = frames(spark, products, sales, moments, "timestamp_ntz")
+    asked, tops = popularity.top_products_by_moment(moments, products, items, "start", 3, 4, 2)
+    joined = asked.join(tops, ["category", "moment"]).select("category", "start", "product_id", "sales_count", "product_rank")
+    whole = top_products_as_of(moments, products, items, "start", 3, 4, 2)
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, whole.collect()))
+    assert tops.count() < whole.count()
