@@ -10,6 +10,7 @@ from rankwright.functions.timeline import micros
 from rankwright.operators import popularity
 from rankwright.operators.ordinals import with_total_before
 from rankwright.operators.popularity import depth_for, popularity_global, sales_as_of, top_products_as_of
+from rankwright.sources.scratch import materialize
 
 BASE = datetime(2024, 1, 1)
 ITEMS = "id long, product_id long, created_at {ts}"
@@ -165,3 +166,20 @@ def test_moments_and_tops_join_to_the_top_products(spark):
     whole = top_products_as_of(moments, products, items, "start", 3, 4, 2)
     assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, whole.collect()))
     assert tops.count() < whole.count()
+
+
+def test_a_timeline_is_written_once(spark):
+    """Buckets and times inside them are counted from one written timeline; the items are read for nothing else."""
+    products, sales, moments = world(10)
+    _, items, _ = frames(spark, products, sales, moments, "timestamp_ntz")
+    asked = spark.createDataFrame([(p % 12, at(t)) for p, (_, t) in enumerate(moments)], "product_id long, start timestamp_ntz")
+    written = []
+
+    def once(df, label):
+        written.append(label)
+        return materialize(df, label)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(popularity, "materialize", once)
+        assert sales_as_of(asked, items, "start").count() == asked.distinct().count()
+    assert written == ["timeline"]
