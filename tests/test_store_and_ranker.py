@@ -307,3 +307,29 @@ def test_whole_run_publishes_only_when_approved(spark):
     assert metrics.where(F.col("run_id") == good["run_id"]).count() == 11
     with pytest.raises(ValidationError):
         run_end_to_end(source, config, "2001-01-01")
+
+
+def test_some_million_rows_are_one_task_per_core(spark):
+    """A round's tasks are short; more of them than cores cost more to start than they save."""
+    from rankwright.operators.ranker import _task_count
+
+    cores = spark.sparkContext.defaultParallelism
+    assert _task_count(spark, cores * 570_000) == cores
+    assert _task_count(spark, cores * 5_700_000) > 5 * cores
+
+
+def test_sessions_are_ranked_by_score_with_ties_in_place():
+    """One stable sort by session and score gives the order of two."""
+    import numpy as np
+
+    from rankwright.operators.lambdas import session_values
+
+    r = np.random.default_rng(3)
+    qid = np.repeat(np.arange(300), r.integers(1, 40, 300))
+    block = {"qid": qid, "is_train": qid % 4 > 0, "target_label": (r.random(len(qid)) < 0.2).astype(np.int32), "score": r.integers(-3, 4, len(qid)) / 4}
+    found = session_values(block, (5, 10))
+    order = np.lexsort((np.arange(len(qid)), -block["score"], qid))
+    sorted_block = {c: values[order] for c, values in block.items()}
+    again = session_values(sorted_block, (5, 10))
+    assert (again["ndcg"] == found["ndcg"]).all()
+    assert all((again[c] == found[c][order]).all() for c in ("pull", "hessian"))
