@@ -160,3 +160,24 @@ def test_no_item_is_quarantined_where_all_are_valid(spark):
     assert gate.passed and gate.require().count() == parted.counts["order_items"] and gate.report["schema_errors"] == []
     nothing = q.part_items(Tables(tables.users, tables.products, tables.orders, tables.order_items.limit(0), tables.events), new_path(spark, "none"))
     assert nothing.counts["order_items"] == 0
+
+
+def test_many_order_lines_are_cut_by_rows(spark, tmp_path, monkeypatch):
+    """Above so many rows per core the tasks that join and count lines are numbered by rows; the rows stay the same."""
+    from rankwright.sources import fixtures
+
+    day = "timestamp_ntz'2024-01-05'"
+    lines = spark.range(4000).selectExpr(
+        "id div 4 as l_orderkey", "id % 7 as l_partkey", "id % 3 as l_suppkey", "int(id % 4) as l_linenumber", "1D as l_quantity",
+        "double(id) as l_extendedprice", "0D as l_discount", "0D as l_tax", "'N' as l_returnflag", "'O' as l_linestatus", f"{day} as l_shipdate",
+    )
+    orders = spark.range(1000).selectExpr(
+        "id as o_orderkey", "id % 50 as o_custkey", "'O' as o_orderstatus", "1D as o_totalprice", f"{day} as o_orderdate", "'1' as o_orderpriority"
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    before = fixtures.fx_order_items(spark, str(tmp_path))
+    monkeypatch.setattr(fixtures, "ROWS_PER_TASK", 100)
+    with_hint = fixtures.fx_order_items(spark, str(tmp_path))
+    assert fixtures._by_order(spark.read.parquet(f"{tmp_path}/lineitem.parquet")).rdd.getNumPartitions() == 40
+    assert before.exceptAll(with_hint).isEmpty() and with_hint.exceptAll(before).isEmpty()
