@@ -119,7 +119,7 @@ def _hashed(text: str, longest: int) -> tuple[np.ndarray, list[int]]:
     of a base, and divided by the power at the word's start.
     """
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    kinds = _KINDS[np.minimum(codes, 0x10000)]
+    kinds = _KINDS.take(codes, mode="clip")
     space = np.ones(len(codes) + 2, bool)
     space[1:-1] = kinds == 1
     starts, ends = np.flatnonzero(space[:-1] & ~space[1:]), np.flatnonzero(~space[:-1] & space[1:])
@@ -139,8 +139,11 @@ def _hashed(text: str, longest: int) -> tuple[np.ndarray, list[int]]:
     ending[np.searchsorted(starts, breaks) - 1] = True  # the word before a line's end; before the first, the last one
     ending[-1] = True
     counts: list[int] = []
-    for n in np.diff(np.flatnonzero(ending), prepend=-1).tolist():
-        counts.extend([longest] * ((n - 1) // longest))
+    before = -1
+    for at in np.flatnonzero(ending).tolist():
+        n, before = at - before, at
+        if n > longest:
+            counts.extend([longest] * ((n - 1) // longest))
         counts.append((n - 1) % longest + 1)
     return hashes, counts
 
@@ -157,12 +160,17 @@ def _probes(text: str, rules: SpanRules) -> tuple[np.ndarray, np.ndarray, np.nda
     back = _first_powers(_INVERSE, n)
 
     edges = [0, *np.cumsum(counts).tolist()]
-    places = {(edges[a], edges[b] - edges[a]) for a, b in _forward(counts, rules) if edges[b] - edges[a] < rules.sure}
+    # A place is its first word and, below 32 bits, its number of words.
+    places = {edges[a] << 32 | edges[b] - edges[a] for a, b in _forward(counts, rules) if edges[b] - edges[a] < rules.sure}
     if n >= rules.sure:
         hashes = _mixed((sums[k:] - sums[: n - k + 1]) * back[: n - k + 1])
-        near = np.lib.stride_tricks.sliding_window_view(hashes, rules.neighbours)
-        places.update((i, k) for i in np.unique(near.argmin(axis=1) + np.arange(len(near))).tolist())
-    at, size = np.array(sorted(places), np.int64).reshape(-1, 2).T
+        near = np.ndarray((len(hashes) - rules.neighbours + 1, rules.neighbours), np.uint64, hashes, strides=(8, 8))
+        taken = near.argmin(axis=1) + np.arange(len(near))  # never falls from one window to the next
+        new = np.ones(len(taken), bool)
+        np.not_equal(taken[1:], taken[:-1], out=new[1:])
+        places.update((taken[new] << 32 | k).tolist())
+    packed = np.sort(np.fromiter(places, np.int64, len(places)))
+    at, size = packed >> 32, packed & 0xFFFFFFFF
     return _mixed((sums[at + size] - sums[at]) * back[at] + size.astype(np.uint64)), at, size
 
 

@@ -422,3 +422,28 @@ def test_a_mark_weighs_but_does_not_decide():
     assert html.main_text(page).splitlines() == [prose_, prose_]
     longer = page + "".join(f"<div>{beside}</div>" for _ in range(3))
     assert beside in html.main_text(longer)
+
+
+def test_span_probes_equal_a_plain_reading():
+    """The places that are joined: short runs, and of every 12 neighbouring windows the one with the smallest hash."""
+    import random
+
+    import numpy as np
+
+    from rankwright.llm import spans
+
+    r, rules = random.Random(7), spans.SpanRules()
+    for _ in range(60):
+        text = " ".join(r.choice(["a", "bb", "c.", "dé", "𝒳!", "e\n"]) for _ in range(r.choice([0, 30, 45, 60, 400])))
+        hashed, counts = spans._hashed(text, rules.longest)
+        _, at, size = spans._probes(text, rules)
+        edges = [0, *np.cumsum(counts).tolist()]
+        want = {(edges[a], edges[b] - edges[a]) for a, b in spans._forward(counts, rules) if edges[b] - edges[a] < rules.sure}
+        if len(hashed) >= rules.sure:
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashed * spans._powers(spans._BASE, len(hashed)), dtype=np.uint64)])
+            back, k = spans._powers(spans._INVERSE, len(hashed)), rules.min_words
+            windows = spans._mixed((sums[k:] - sums[:-k]) * back[: len(hashed) - k + 1]).tolist()
+            for i in range(len(windows) - rules.neighbours + 1):
+                near = windows[i : i + rules.neighbours]
+                want.add((i + near.index(min(near)), k))
+        assert list(zip(at.tolist(), size.tolist(), strict=True)) == (sorted(want) if len(hashed) >= rules.min_words else [])
