@@ -181,3 +181,14 @@ def test_many_order_lines_are_cut_by_rows(spark, tmp_path, monkeypatch):
     with_hint = fixtures.fx_order_items(spark, str(tmp_path))
     assert fixtures._by_order(spark.read.parquet(f"{tmp_path}/lineitem.parquet")).rdd.getNumPartitions() == 40
     assert before.exceptAll(with_hint).isEmpty() and with_hint.exceptAll(before).isEmpty()
+
+
+def test_many_order_lines_meet_their_orders_unsorted(spark, monkeypatch):
+    from rankwright.sources import fixtures
+
+    before = fixtures.fx_order_items(spark, SMALL)
+    monkeypatch.setattr(fixtures, "ROWS_PER_TASK", 100)
+    after = fixtures.fx_order_items(spark, SMALL)
+    plan = after._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort [" not in plan
+    assert before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty()
