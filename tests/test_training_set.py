@@ -136,3 +136,17 @@ def test_events_are_counted_before_they_meet_the_catalog(spark):
         lines = frame._jdf.queryExecution().optimizedPlan().toString().splitlines()
         join = next(i for i, line in enumerate(lines) if "Join Inner" in line)
         assert any("Aggregate [user_id" in line for line in lines[join:])
+
+
+def test_many_samples_are_cut_by_rows(spark, training, monkeypatch):
+    """Above so many samples per core they are dealt before any of them are counted; the rows stay the same."""
+    from rankwright.operators import candidates
+
+    tables = fixture_tables(spark, SMALL)
+    positives = dated_positives(tables)
+    tops = top_products(positives, tables)
+    before = labelled_samples(positives, tops)
+    monkeypatch.setattr(candidates, "ROWS_PER_TASK", 300)
+    after = labelled_samples(positives, tops)
+    assert after.rdd.getNumPartitions() == -(-positives.count() * 21 // 300)
+    assert same(before, after) and same(training_set(tables), training)
