@@ -350,3 +350,13 @@ def test_sessions_are_ranked_by_score_with_ties_in_place():
     again = session_values(sorted_block, (5, 10))
     assert (again["ndcg"] == found["ndcg"]).all()
     assert all((again[c] == found[c][order]).all() for c in ("pull", "hessian"))
+
+
+def test_many_rows_are_written_by_day_in_tasks_of_so_many_rows(spark, training, monkeypatch):
+    monkeypatch.setattr(store, "ROWS_PER_TASK", 200)
+    path = new_path(spark, "by-day")
+    store.save_by_day(training, path)
+    back = spark.read.parquet(path)
+    largest = back.groupBy(F.input_file_name().alias("file")).count().agg(F.max("count")).first()[0]
+    assert largest < 800
+    assert back.drop("session_day").exceptAll(training).isEmpty() and back.count() == training.count()
