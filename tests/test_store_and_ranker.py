@@ -360,3 +360,41 @@ def test_many_rows_are_written_by_day_in_tasks_of_so_many_rows(spark, training,
     largest = back.groupBy(F.input_file_name().alias("file")).count().agg(F.max("count")).first()[0]
     assert largest < 800
     assert back.drop("session_day").exceptAll(training).isEmpty() and back.count() == training.count()
+
+
+def test_lambdas_of_whole_sessions_equal_those_of_joins(spark, monkeypatch):
+    """Ties, rows that come twice, sessions without a positive or an id: both ways give the same rows."""
+    from rankwright.operators import ranker
+
+    rows = spark.range(900).selectExpr(
+        "if(id % 31 = 0, null, id % 40) as qid", "id % 3 as user_id", "id % 17 as product_id",
+        "int(id % 40 > 3 and id % 7 = 0) as target_label", "double(id % 5) as score",
+    )
+    rows = rows.unionByName(rows.where("product_id < 3").withColumn("score", F.col("score") + 1))
+    found = ranker.session_lambdas(rows, 10)
+    assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(ranker, "ROWS_PER_SALT", 5)
+    joined = ranker.session_lambdas(rows, 10)
+    assert found.columns == joined.columns and found.count() == joined.count() > 100
+
+    def rounded(frame):
+        return frame.withColumns({c: F.round(c, 6) + 0.0 for c in ("pull", "hessian")})
+
+    assert rounded(found).exceptAll(rounded(joined)).isEmpty()
+    # A missing score has no place in an array: such rows go the other way.
+    missing = rows.withColumn("score", F.when(F.col("product_id") > 2, F.col("score")))
+    monkeypatch.setattr(ranker, "ROWS_PER_SALT", 1 << 20)
+    assert "MapInArrow" not in ranker.session_lambdas(missing, 10)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sums_are_exact_whatever_their_size():
+    import numpy as np
+
+    from rankwright.operators.blocks import _added, _exactly
+
+    index = np.array([0, 1, 0, 1])
+    for top in (5, 1 << 60):
+        values = np.array([top, 1, 1, -3])
+        held = _exactly(values)
+        assert held.dtype == (np.float64 if top == 5 else np.int64)
+        assert _added(index, held, 2).tolist() == [top + 1, -2]
