@@ -398,3 +398,97 @@ def test_sums_are_exact_whatever_their_size():
         held = _exactly(values)
         assert held.dtype == (np.float64 if top == 5 else np.int64)
         assert _added(index, held, 2).tolist() == [top + 1, -2]
+
+
+def test_a_task_packs_blocks_of_some_rows_and_whole_sessions(spark, monkeypatch):
+    """What a worker holds does not grow with the rows of its task; validation has blocks of its own."""
+    import numpy as np
+
+    from rankwright.operators import blocks
+
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 50)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    rows = spark.range(1500).selectExpr(
+        "(id * 7919 % 1500) % 90 as qid", "id % 4 as user_id", "id as product_id", "0L as salt", "id % 1500 % 90 % 5 > 0 as is_train",
+        "int(id % 11 = 0) as target_label", "array(int(id % 250), int(id % 3)) as bins", "double(id % 13) as score",
+    ).withColumn("is_train", F.expr("qid % 5 > 0"))
+    try:
+        packed = blocks.pack(rows.coalesce(1)).collect()
+        valued = blocks.with_values(blocks.pack(rows.coalesce(1)), (5, 10)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    qids = [np.frombuffer(block["qid"], "i8") for block in packed]
+    assert len(packed) > 10 and max(len(own) for own in qids) <= 50 + 20
+    assert sorted(q for own in qids for q in set(own.tolist())) == list(range(90))  # no session lies in two blocks
+    assert sum(len(own) for own in qids) == 1500
+    assert all((own % 5 > 0).all() == block["is_train"] == (own % 5 > 0).any() for own, block in zip(qids, packed))
+    # The root's sums come once a task, and validation has no gradients.
+    assert [len(block["root"]) > 0 for block in valued] == [False] * (len(valued) - 1) + [True]
+    assert all((len(block["pull"]) > 0) == block["is_train"] for block in valued)
+
+
+@pytest.mark.parametrize("depth", [1, 3, 5, 7])
+def test_codes_of_several_features_walk_and_sum_as_bins_do(depth):
+    """Columns that go together share a code; others keep their own; a tree may have more leaves than a word has bits."""
+    import numpy as np
+
+    from rankwright.operators import blocks
+
+    r = np.random.default_rng(depth)
+    product, n = r.integers(0, 90, 6000), 6000
+    bins = np.stack([product, r.integers(0, 256, n), product // 3, r.integers(0, 256, n), r.integers(0, 4, n)]).astype(np.uint8)
+    block = {"pull": r.integers(-(1 << 30), 1 << 30, n), "hessian": r.integers(0, 1 << 20, n)}
+    block["codes"], block["meaning"] = blocks._coded(bins)
+    assert len(block["codes"]) < len(bins)
+    inner = 2**depth - 1
+    split = [(int(f), int(b)) for f, b in zip(r.integers(0, 5, inner), r.integers(0, 100, inner))]
+    tree = {
+        "feature": np.array([f for f, _ in split] + [0] * (inner + 1)), "bin": np.array([b for _, b in split] + [999] * (inner + 1)),
+        "left": np.array([2 * i + 1 for i in range(inner)] + list(range(inner, 2 * inner + 1))),
+        "right": np.array([2 * i + 2 for i in range(inner)] + list(range(inner, 2 * inner + 1))),
+    }
+    node = np.zeros(n, np.int64)
+    for _ in range(depth):
+        node = np.where(bins[tree["feature"][node], np.arange(n)] <= tree["bin"][node], tree["left"][node], tree["right"][node])
+    assert (blocks._walker(tree, depth, np.arange(2 * inner + 1))(block) == node).all()
+    slot = np.where(node % 2 == 0, node % 3, -1)
+    found = blocks._node_sums(block, slot, 3, 256)
+    want = np.zeros((3, 5, 256, 2), np.int64)
+    for feature in range(5):
+        for i, c in enumerate(("pull", "hessian")):
+            np.add.at(want, (slot[slot >= 0], feature, bins[feature][slot >= 0], i), block[c][slot >= 0])
+    assert (found == want).all()
+
+
+def test_pairs_give_what_leaders_give(monkeypatch):
+    """Pulls from pairs, cut into parts of any size, in short and in long sessions, with and without ties."""
+    import numpy as np
+
+    from rankwright.operators import lambdas
+
+    r = np.random.default_rng(7)
+    for most, pairs, exact in ((256, 1 << 16, 1 << 13), (8, 16, 1)):
+        monkeypatch.setattr(lambdas, "_MATRIX", most)
+        monkeypatch.setattr(lambdas, "_PAIRS", pairs)
+        monkeypatch.setattr(lambdas, "_EXACT_PAIRS", exact)
+        length = np.concatenate([[400, 1, 700], r.integers(1, 40, 60)])
+        first = np.cumsum(length) - length
+        for share, tied in ((0.0, True), (0.1, True), (0.1, False), (1.0, True)):
+            score = r.integers(-3, 4, length.sum()) / 4 if tied else r.normal(size=length.sum())
+            order = lambdas.by_score(first, length, score)
+            assert (order == np.lexsort((np.arange(len(score)), -score, np.repeat(first, length)))).all()
+            score, label = score[order], (r.random(len(score)) < share).astype(np.int64)
+            hits = np.where(np.arange(len(first)) % 4 > 0, np.add.reduceat(label, first), 0)
+            for a, b in zip(lambdas.pair_pulls(first, length, score, label, hits, 10), lambdas.pulls(first, length, score, label, hits, 10)):
+                assert (a == b).all()
+
+
+def test_rates_are_counted_from_rows_alike(spark):
+    """A digest is taken for every row, not for every column of it, before rows become pairs."""
+    rows = spark.createDataFrame([(1, "a", "x", None, 1), (2, "a", "y", "b", 0), (1, "a", "x", None, 0)], "qid long, user_gender string, user_country string, brand string, target_label int")
+    rates = fit_rates(rows, "target_label", prior=0.0)
+    assert {(r["column"], r["value"]): r["rate"] for r in rates.collect() if r["value"]} == {
+        ("user_gender", "a"): pytest.approx(1 / 3), ("user_country", "x"): 0.5, ("user_country", "y"): 0.0, ("brand", "Unknown"): 0.5, ("brand", "b"): 0.0,
+    }
+    plan = rates._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("Generate explode") < plan.rindex("Aggregate")  # the lowest step is the count of rows alike
